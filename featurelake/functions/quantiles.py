@@ -41,27 +41,30 @@ def quantiles(
         ).first()
         return {c: list(row[c]) if row[c] else [None] * len(ps) for c, ps in wanted.items()}
     names = list(wanted)
+    spots = {c: sorted({e for p in wanted[c] for e in _edges(p)}) for c in names}
     row = df.agg(
         *[F.count(cols[c]).alias(f"n{i}") for i, c in enumerate(names)],
         *[F.approx_count_distinct(cols[c], 0.02).alias(f"d{i}") for i, c in enumerate(names)],
+        *[F.percentile_approx(cols[c], spots[c], SKETCH).alias(f"m{i}") for i, c in enumerate(names)],
     ).first()
     count = {c: row[f"n{i}"] for i, c in enumerate(names)}
-    distinct = {c: row[f"d{i}"] for i, c in enumerate(names)}
     out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
-    small = [c for c in names if count[c] and distinct[c] <= max_distinct]
+    filled = [(i, c) for i, c in enumerate(names) if count[c]]
+    small = [c for i, c in filled if row[f"d{i}"] <= max_distinct]
     if small:
-        got = df.agg(*[F.percentile(cols[c], list(wanted[c])).alias(c) for c in small]).first()
-        out.update({c: list(got[c]) for c in small})
-    large = [c for c in names if count[c] and distinct[c] > max_distinct]
-    if large:
-        ranks = {
-            (c, r)
-            for c in large
-            for p in wanted[c]
-            for r in sample_position(count[c], p)[:2]
-        }
-        found = order_values(df, {k: cols[k[0]] for k in ranks}, {k: k[1] for k in ranks}, count, max_distinct)
-        for c in large:
+        out.update(_counted(df, {c: cols[c] for c in small}, {c: wanted[c] for c in small}))
+    ranks, marks = {}, {}
+    for i, c in filled:
+        if c in small:
+            continue
+        mark = dict(zip(spots[c], row[f"m{i}"], strict=True))
+        for p in wanted[c]:
+            for rank in sample_position(count[c], p)[:2]:
+                ranks[(c, rank)] = rank
+                marks[(c, rank)] = tuple(mark[e] for e in _edges(p))
+    if ranks:
+        found = order_values(df, {k: cols[k[0]] for k in ranks}, ranks, count, max_distinct, marks)
+        for c in {k[0] for k in ranks}:
             for i, p in enumerate(wanted[c]):
                 low, high, share = sample_position(count[c], p)
                 a, b = found[(c, low)], found[(c, high)]
@@ -69,24 +72,39 @@ def quantiles(
     return out
 
 
-def order_values(df, columns: dict, ranks: dict, count: dict, max_distinct: int) -> dict:
-    """The value at each 0-based rank, by narrowing one bracket per wanted rank."""
+def _edges(p: float) -> tuple[float, float]:
+    return max(0.0, p - 3 / SKETCH), min(1.0, p + 3 / SKETCH)
+
+
+def _counted(df: DataFrame, cols: dict[str, Column], wanted: dict[str, list[float]]) -> dict:
+    """Quantiles of columns with few distinct values: count values first, all columns in one shuffle,
+    so that the final buffers take one entry per value and not one per value and task."""
+    names = list(cols)
+    pairs = F.array(*[F.struct(F.lit(i).alias("i"), cols[c].alias("v")) for i, c in enumerate(names)])
+    counts = df.select(F.inline(pairs)).filter(F.col("v").isNotNull()).groupBy("i", "v").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    exact = counts.agg(
+        *[F.percentile(F.when(F.col("i") == i, F.col("v")), list(wanted[c]), F.col("n")).alias(f"q{i}")
+          for i, c in enumerate(names)]
+    ).first()
+    return {c: list(exact[f"q{i}"]) for i, c in enumerate(names)}
+
+
+def order_values(df, columns: dict, ranks: dict, count: dict, max_distinct: int, marks: dict | None = None) -> dict:
+    """The value at each 0-based rank, by narrowing one bracket per wanted rank.
+
+    ``marks`` are first brackets known from an earlier sketch.
+    """
     state = {k: (None, None, 0, count[k[0]]) for k in ranks}  # low, high, rows below, rows inside
     found: dict = {}
     while state:
         keys = list(state)
-        marks = []
-        for i, k in enumerate(keys):
-            low, high, below, inside = state[k]
-            p = (ranks[k] - below + 0.5) / inside
-            edge = [max(0.0, p - 3 / SKETCH), min(1.0, p + 3 / SKETCH)]
-            marks.append(
-                F.percentile_approx(_inside(columns[k], low, high), edge, SKETCH).alias(f"m{i}")
-            )
-        row = df.agg(*marks).first()
+        brackets = marks if marks is not None else _brackets(df, columns, ranks, state)
+        marks = None
         checks = []
         for i, k in enumerate(keys):
-            low, high = row[f"m{i}"]
+            low, high = brackets[k]
             held = _inside(columns[k], low, high)
             checks += [
                 F.count(F.when(columns[k] < low, 1)).alias(f"b{i}"),
@@ -96,7 +114,7 @@ def order_values(df, columns: dict, ranks: dict, count: dict, max_distinct: int)
         counted = df.agg(*checks).first()
         ready = {}
         for i, k in enumerate(keys):
-            low, high = row[f"m{i}"]
+            low, high = brackets[k]
             below, inside = counted[f"b{i}"], counted[f"n{i}"]
             if not below <= ranks[k] < below + inside:
                 # the sketch missed: keep the side that holds the rank, using the exact counts
@@ -131,6 +149,17 @@ def order_values(df, columns: dict, ranks: dict, count: dict, max_distinct: int)
     return found
 
 
+def _brackets(df, columns: dict, ranks: dict, state: dict) -> dict:
+    keys = list(state)
+    sketches = []
+    for i, k in enumerate(keys):
+        low, high, below, inside = state[k]
+        edge = list(_edges((ranks[k] - below + 0.5) / inside))
+        sketches.append(F.percentile_approx(_inside(columns[k], low, high), edge, SKETCH).alias(f"m{i}"))
+    row = df.agg(*sketches).first()
+    return {k: tuple(row[f"m{i}"]) for i, k in enumerate(keys)}
+
+
 def _inside(col: Column, low, high) -> Column:
     if low is None and high is None:
         return col

@@ -23,6 +23,11 @@ MAX_SPLITS = 256
 MAX_PIECES = 4096
 
 
+# Profiles by plan, keys and threshold, so that several features over one frame count its keys once.
+# A profile that has grown old costs speed only: results do not depend on which keys are split.
+_PROFILES: dict = {}
+
+
 @dataclass
 class HotKeys:
     """Hot keys of a frame, largest first, with the number of pieces each is cut into."""
@@ -43,14 +48,14 @@ def hot_keys(df: DataFrame, names, hot_rows: int | None = HOT_ROWS) -> HotKeys:
     names = as_list(names)
     if hot_rows is None:
         return HotKeys(names, None)
-    rows = (
-        df.groupBy(*names)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT)
-        .collect()
-    )
+    known = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(names), hot_rows)
+    if known in _PROFILES:
+        rows = _PROFILES[known]
+    else:
+        rows = _largest(df, names, hot_rows)
+        if len(_PROFILES) >= 512:
+            _PROFILES.pop(next(iter(_PROFILES)))
+        _PROFILES[known] = rows
     if not rows:
         return HotKeys(names, None)
     piece = max(hot_rows, math.ceil(sum(r["__n"] for r in rows) / MAX_PIECES))
@@ -66,6 +71,17 @@ def hot_keys(df: DataFrame, names, hot_rows: int | None = HOT_ROWS) -> HotKeys:
     return HotKeys(names, frame, rows[0]["__n"])
 
 
+def _largest(df: DataFrame, names: list[str], hot_rows: int) -> list:
+    return (
+        df.groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > hot_rows)
+        .orderBy(F.desc("__n"))
+        .limit(MAX_HOT)
+        .collect()
+    )
+
+
 def spread(columns) -> Column:
     """A number that differs between rows, and between equal rows of different input partitions.
 
