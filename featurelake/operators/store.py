@@ -13,7 +13,6 @@ import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,16 +47,14 @@ class FeatureStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
+        for name, schema in (("_registry", REGISTRY), ("_versions", VERSIONS)):
+            empty = spark.createDataFrame([], schema).coalesce(1)
+            empty.write.mode("ignore").parquet(f"{self.base}/{name}")
 
     # --- registry ---------------------------------------------------------------------------
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
 
     def groups(self) -> DataFrame:
         return self._table("_registry", REGISTRY)
@@ -180,17 +177,19 @@ class FeatureStore:
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown mode {mode!r}")
         df = df.withColumn(STAMP, F.current_timestamp())
-        if mode == "overwrite" or not self._exists(name):
+        before = self._latest(name)
+        if mode == "overwrite" or before is None:
             return self._write(df, name, mode, partition_columns, epoch_id=epoch_id)
-        before = self._version_row(name)
         old = T.StructType.fromJson(json.loads(before["schema_json"]))
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in old])
         return self._write(
             df, name, mode, before["partition_columns"], before["folders"], epoch_id, before["row_count"]
         )
 
-    def _exists(self, name: str) -> bool:
-        return bool(self.versions().filter(F.col("feature_group") == name).take(1))
+    def _latest(self, name: str):
+        """Row of the latest version, or None."""
+        rows = self.versions().filter(F.col("feature_group") == name)
+        return next(iter(rows.orderBy(F.desc("version")).take(1)), None)
 
     def upsert(self, source: DataFrame, name: str, partition_columns=None, epoch_id: int | None = None) -> VersionInfo:
         """Replace rows of equal entity key and event time, add the others.
@@ -203,9 +202,9 @@ class FeatureStore:
         if source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
             raise ValueError(f"source holds several rows for one {keys}")
         source = source.withColumn(STAMP, F.current_timestamp())
-        if not self._exists(name):
+        before = self._latest(name)
+        if before is None:
             return self._write(source, name, "merge", partition_columns, epoch_id=epoch_id)
-        before = self._version_row(name)
         target = self._load(name, before)
         parts = before["partition_columns"]
         if not parts:
@@ -218,15 +217,15 @@ class FeatureStore:
             inside = inside | s
         rewritten = merge_rows(target.filter(inside), source, keys)
         gone = {
-            f["folder"]
+            f["folder"]: f["count"]
             for f in target.filter(inside)
             .select("_metadata.file_path")
             .groupBy(F.regexp_extract("file_path", rf"/{re.escape(name)}/(_v=\d+(?:/.*)?)/[^/]*$", 1).alias("folder"))
             .count()
-            .collect()
+            .collect()  # one row per rewritten partition
         }
         keep = [f for f in before["folders"] if f not in gone]
-        kept_rows = before["row_count"] - target.filter(inside).count()
+        kept_rows = before["row_count"] - sum(gone.values())
         return self._write(rewritten, name, "merge", parts, keep, epoch_id, kept_rows)
 
     def compact(self, name: str, num_files: int = 16) -> VersionInfo:
