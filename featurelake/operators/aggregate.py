@@ -239,10 +239,17 @@ def correlation_with_target(df: DataFrame, target: str, columns=None) -> DataFra
     """Pearson correlation of every numeric column with the target, from one aggregate."""
     names = [c for c in (present(df, columns) or numeric_columns(df)) if c != target]
     y = measured(df, target).cast("double")
-    row = df.agg(*[F.corr(measured(df, c).cast("double"), y).alias(f"{c}__correlation") for c in names])
+    row = df.agg(*[_corr(measured(df, c).cast("double"), y).alias(f"{c}__correlation") for c in names])
     return _rows_per_column(row, names, ["correlation"])
 
 
+def _corr(x: Column, y: Column) -> Column:
+    """Pearson correlation over the rows that have both values; NULL for a constant column, where
+    ``corr`` divides by zero under ANSI."""
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def variances(df: DataFrame, columns=None) -> DataFrame:
     names = present(df, columns) or numeric_columns(df)
     row = df.agg(*[F.var_samp(measured(df, c).cast("double")).alias(f"{c}__variance") for c in names])

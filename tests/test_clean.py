@@ -166,6 +166,12 @@ def test_skew_kurtosis_match_pandas(spark):
     assert row["skewness"] == round(s.skew(), 4) and row["kurtosis"] == round(s.kurtosis(), 4)
 
 
+def test_profile_of_constants(spark):
+    row = aggregate.numeric_profile(one(spark, [2.0, 2.0, 2.0, 2.0])).first()
+    assert row["std"] == 0.0 and row["mean"] == 2.0
+    assert aggregate.numeric_profile(one(spark, [2.0])).first()["skewness"] is None
+
+
 def test_temporal(spark):
     df = spark.sql("SELECT timestamp_ntz'2024-01-06 13:05:00' AS ts")
     got = scalars.temporal_features(df, "ts").first().asDict()
