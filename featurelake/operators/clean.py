@@ -157,8 +157,13 @@ def clean_data(
     order_by=None,
     observe=None,
 ) -> DataFrame:
-    """The cleaning steps in order. ``observe=(before, after)`` are Observations that receive the
-    row counts from the job that runs the frame, without a count of their own."""
+    """The cleaning steps in order. ``observe=(before, after)`` are names of metrics, or Observations,
+    that receive the row counts from the job that runs the frame, without a count of their own.
+
+    Mind that in Spark 4.1 a session that ever used an Observation can no longer apply logistic
+    regression models: their training summary drags the session into the task. Use names, read by
+    a query listener, or a session of its own.
+    """
     if observe:
         df = df.observe(observe[0], F.count(F.lit(1)).alias("rows"))
     if drop_all_null_cols:

@@ -12,8 +12,9 @@ import json
 import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +31,8 @@ REGISTRY = (
 VERSIONS = (
     "feature_group string, version int, operation string, created_at timestamp, row_count bigint, "
     "column_count int, file_count bigint, size_bytes bigint, hash_sum decimal(38,0), "
-    "schema_json string, partition_columns array<string>, folders array<string>, epoch_id bigint"
+    "schema_json string, partition_columns array<string>, "
+    "folders array<struct<path string, files bigint, bytes bigint, rows bigint, hash decimal(38,0)>>, epoch_id bigint"
 )
 STAMP = "_feature_store_updated_at"
 
@@ -124,7 +126,7 @@ class FeatureStore:
     def _load(self, name: str, row) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(row["schema_json"]))
         root = f"{self.base}/{name}"
-        paths = [f"{root}/{f}" for f in row["folders"]]
+        paths = [f"{root}/{f['path']}" for f in row["folders"]]
         if not paths:
             return self.spark.createDataFrame([], schema)
         full = T.StructType(schema.fields + [T.StructField("_v", T.IntegerType())])
@@ -136,36 +138,40 @@ class FeatureStore:
         top = self.versions().filter(F.col("feature_group") == name).agg(F.max("version")).first()[0]
         return (top or 0) + 1
 
-    def _write(
-        self, df: DataFrame, name: str, operation: str, partition_columns, keep=(), epoch_id=None, kept_rows=None
-    ) -> VersionInfo:
-        """Write one folder, then the row that makes it a version together with ``keep`` folders."""
+    def _write(self, df: DataFrame, name: str, operation: str, partition_columns, keep=(), epoch_id=None) -> VersionInfo:
+        """Write one folder, then the row that makes it a version together with the ``keep`` folders.
+
+        Rows, bytes and content hash are taken from the files as written, in one pass over the new
+        ones. Hash sums add up, so a version made of old and new folders needs no pass over the old.
+        """
         version = self._next_version(name)
         parts = as_list(partition_columns)
         root = f"{self.base}/{name}/_v={version}"
-        seen = Observation()
-        hashed, rows = fingerprint_columns(sorted(c for c in df.columns if c != STAMP))
-        writer = df.observe(seen, rows.alias("rows"), hashed.alias("hash")).write.mode("overwrite")
+        writer = df.write.mode("overwrite")
         if parts:
             writer = writer.partitionBy(*parts)
         writer.parquet(root)
-        files = self.spark.read.schema(df.schema).parquet(root).select(
-            "_metadata.file_path", "_metadata.file_size"
-        ).groupBy("file_path").agg(F.max("file_size").alias("size"))
-        folders = (
-            files.groupBy(F.regexp_extract("file_path", rf"/(_v={version}(?:/.*)?)/[^/]*$", 1).alias("folder"))
-            .agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
-            .collect()  # one row per partition folder
+        hashed, rows = fingerprint_columns(sorted(c for c in df.columns if c != STAMP))
+        files = self.spark.read.schema(df.schema).parquet(root).groupBy("_metadata.file_path").agg(
+            F.max("_metadata.file_size").alias("bytes"), rows.alias("rows"), hashed.alias("hash")
         )
-        got = seen.get
-        spark_rows = got["rows"] + (kept_rows or 0)
+        folders = [
+            tuple(r)
+            for r in files.groupBy(F.regexp_extract("file_path", rf"/(_v={version}(?:/.*)?)/[^/]*$", 1).alias("path"))
+            .agg(
+                F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"),
+                F.sum("hash").cast("decimal(38,0)").alias("hash"),
+            )
+            .collect()  # one row per partition folder
+        ]
+        every = sorted([tuple(f) for f in keep] + folders)
+        files_, bytes_, rows_, hash_ = (sum(f[i] for f in every) for i in range(1, 5))
         row = (
-            name, version, operation, datetime.now(timezone.utc), spark_rows, len(df.columns),
-            sum(f["files"] for f in folders), sum(f["bytes"] for f in folders), got["hash"],
-            df.schema.json(), parts, sorted(keep) + sorted(f["folder"] for f in folders), epoch_id,
+            name, version, operation, datetime.now(timezone.utc), rows_, len(df.columns), files_, bytes_,
+            Decimal(hash_), df.schema.json(), parts, every, epoch_id,
         )
         self.spark.createDataFrame([row], VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.base}/_versions")
-        return VersionInfo(name, version, spark_rows, operation)
+        return VersionInfo(name, version, rows_, operation)
 
     def write(
         self, df: DataFrame, name: str, mode: str = "merge", partition_columns=None, epoch_id: int | None = None
@@ -182,9 +188,7 @@ class FeatureStore:
             return self._write(df, name, mode, partition_columns, epoch_id=epoch_id)
         old = T.StructType.fromJson(json.loads(before["schema_json"]))
         df = df.select(*[F.col(f.name).cast(f.dataType) for f in old])
-        return self._write(
-            df, name, mode, before["partition_columns"], before["folders"], epoch_id, before["row_count"]
-        )
+        return self._write(df, name, mode, before["partition_columns"], before["folders"], epoch_id)
 
     def _latest(self, name: str):
         """Row of the latest version, or None."""
@@ -217,16 +221,14 @@ class FeatureStore:
             inside = inside | s
         rewritten = merge_rows(target.filter(inside), source, keys)
         gone = {
-            f["folder"]: f["count"]
-            for f in target.filter(inside)
-            .select("_metadata.file_path")
-            .groupBy(F.regexp_extract("file_path", rf"/{re.escape(name)}/(_v=\d+(?:/.*)?)/[^/]*$", 1).alias("folder"))
-            .count()
+            r[0]
+            for r in target.filter(inside)
+            .select(F.regexp_extract("_metadata.file_path", rf"/{re.escape(name)}/(_v=\d+(?:/.*)?)/[^/]*$", 1))
+            .distinct()
             .collect()  # one row per rewritten partition
         }
-        keep = [f for f in before["folders"] if f not in gone]
-        kept_rows = before["row_count"] - sum(gone.values())
-        return self._write(rewritten, name, "merge", parts, keep, epoch_id, kept_rows)
+        keep = [f for f in before["folders"] if f["path"] not in gone]
+        return self._write(rewritten, name, "merge", parts, keep, epoch_id)
 
     def compact(self, name: str, num_files: int = 16) -> VersionInfo:
         """Rewrite the latest version into about ``num_files`` files, as a new version."""

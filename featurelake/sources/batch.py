@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -108,14 +109,16 @@ AUDIT = "path string, operation string, record_count bigint, loaded_at timestamp
 def write_audited(
     df: DataFrame, path: str, audit_path: str, mode: str = "append", partition_columns=None, source: str | None = None
 ) -> int:
-    """Write the frame and append one audit row. Rows are counted by the write itself."""
-    seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-    if partition_columns:
-        writer = writer.partitionBy(*as_list(partition_columns))
-    writer.parquet(path)
-    rows = seen.get["rows"]
-    append_audit(df.sparkSession, audit_path, path, mode, rows, {"source": source or ""})
+    """Write the frame as one load and append one audit row.
+
+    Every load is a ``_load`` partition of its own, so its rows are counted from the footers of its
+    own files, without another run of ``df`` and without reading earlier loads.
+    """
+    load = f"load-{uuid.uuid4().hex}"
+    parts = ["_load", *as_list(partition_columns)]
+    df.withColumn("_load", F.lit(load)).write.mode(mode).partitionBy(*parts).parquet(path)
+    rows = df.sparkSession.read.parquet(path).filter(F.col("_load") == load).count()
+    append_audit(df.sparkSession, audit_path, path, mode, rows, {"source": source or "", "load": load})
     return rows
 
 

@@ -124,6 +124,7 @@ def test_derive_with_pandas_udf(spark):
 def test_clean_data_counts_without_a_count_job(spark):
     from pyspark.sql import Observation
 
+    spark = spark.newSession()  # see clean_data on Observations and logistic regression
     df = spark.createDataFrame([(1, None), (1, None), (None, None), (2, 5)], "a int, b int")
     before, after = Observation(), Observation()
     out = clean.clean_data(df, observe=(before, after))

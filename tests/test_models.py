@@ -154,6 +154,17 @@ def test_evaluate(spark, ml):
     assert out["gates"].first()["passed"] and out["strata"].first()["n"] == 300
 
 
+def test_store_and_logistic_regression_share_a_session(spark, ml, base):
+    """Guards against session state that makes models unserialisable (see clean_data)."""
+    from featurelake.operators.store import FeatureStore
+
+    store = FeatureStore(spark, base)
+    store.register("g", "id", "f1")
+    store.write(ml.select("id", "f1"), "g")
+    model = training.make_estimator("logistic_regression", "classification", "features", "label", max_iter=2).fit(ml)
+    assert model.transform(ml).filter("prediction >= 0").count() == 300
+
+
 def test_ranks(spark):
     data = [("r", m, "f1", v) for m, v in (("a", 0.5), ("b", 0.9), ("c", 0.9))] + [("r", "d", "other", 1.0)]
     metrics = spark.createDataFrame(data, "run_id string, model_name string, metric_name string, metric_value double")

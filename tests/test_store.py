@@ -60,7 +60,7 @@ def test_upsert(spark, store, parts):
     assert rows(store.read("g"), "id", "val", "part") == [(1, 10, "a"), (2, 21, "b"), (3, 30, "c"), (4, 40, "a")]
     assert store.history("g").collect()[-1]["row_count"] == 4
     if parts:
-        folders = store.history("g").collect()[-1]["folders"]
+        folders = [f["path"] for f in store.history("g").collect()[-1]["folders"]]
         assert "_v=1/part=c" in folders and "_v=1/part=b" not in folders
 
 
@@ -106,6 +106,15 @@ def test_fingerprint_identifies_content(spark, store):
     assert a == b != c
 
 
+def test_fingerprint_of_a_partly_rewritten_version(spark, store):
+    first, change = frame(spark, [(1, 1, 10, "a"), (2, 1, 20, "b")]), frame(spark, [(2, 1, 21, "b")])
+    store.write(first, "g", partition_columns=["part"])
+    store.write(change, "g", partition_columns=["part"])
+    store.write(frame(spark, [(1, 1, 10, "a"), (2, 1, 21, "b")]), "g", "overwrite")
+    a, b, c = [r["hash_sum"] for r in store.history("g").collect()]
+    assert b == c != a
+
+
 def test_point_in_time_from_store(spark, store):
     store.register("h", "id", "at")
     store.write(frame(spark, [(1, 1, 10, "a"), (1, 5, 50, "a")]), "g", "overwrite")
