@@ -56,6 +56,11 @@ def same_keys(left: DataFrame, right: DataFrame, names, null_safe: bool = True)
     return all_of([left[n] == right[n] for n in names])
 
 
+def one_row(df: DataFrame) -> Column:
+    """The single row of an aggregate as a struct column: a scalar subquery, evaluated once."""
+    return df.select(F.struct("*")).scalar()
+
+
 def order_number(df: DataFrame, name: str) -> Column | None:
     """A number that grows with the column, or None if the type has none.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list, measured, numeric_columns, present, text_columns
+from ..functions.columns import as_list, measured, numeric_columns, one_row, present, text_columns
 from ..functions.quantiles import group_quantiles, quantiles
 from ..functions.skew import HOT_ROWS, attach, group_attach, hot_keys
 
@@ -92,10 +92,8 @@ def group_features(
 def value_frequency(df: DataFrame, column: str) -> DataFrame:
     """Share of each value among the non-NULL values."""
     counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("__total"))
-    return counts.join(F.broadcast(total)).select(  # one row
-        column, "n", (F.col("n") / F.col("__total")).alias("frequency")
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(column, "n", (F.col("n") / total).alias("frequency"))
 
 
 def distinct_count(df: DataFrame, columns, approx: bool = False) -> DataFrame:
@@ -269,7 +267,7 @@ def version_diff(a: DataFrame, b: DataFrame) -> DataFrame:
             *[F.stddev_samp(measured(df, c).cast("double")).alias(f"{c}__std_{tag}") for c in shared],
         )
 
-    both = stats(a, "a").crossJoin(F.broadcast(stats(b, "b")))  # one row each
+    both = stats(a, "a").select("*", one_row(stats(b, "b")).alias("__b")).select("*", "__b.*")
     items = []
     for c in names:
         status = "common" if c in a.columns and c in b.columns else "added" if c in b.columns else "removed"

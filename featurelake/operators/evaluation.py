@@ -7,7 +7,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list
+from ..functions.columns import as_list, one_row
 from ..functions.quantiles import quantiles
 from ..functions.scalars import key_label
 from ..functions.skew import HOT_ROWS
@@ -110,8 +110,8 @@ def classification_metrics(
         (1 - F.try_divide(F.sum("hits"), F.sum("support"))).alias("hammingLoss"),
     )
     if has_p:
-        loss = cells.agg(F.try_divide(F.sum("loss"), F.sum("n")).alias("logLoss"))
-        out = out.crossJoin(F.broadcast(loss))  # one row each
+        loss = cells.agg(F.try_divide(F.sum("loss"), F.sum("n")))
+        out = out.withColumn("logLoss", loss.scalar())
         kind = df.schema[probability].dataType
         if isinstance(kind, VectorUDT):
             score = F.get(vector_to_array(probability), F.lit(1))
@@ -120,7 +120,8 @@ def classification_metrics(
         else:
             score = F.col(probability)
         if df.filter(~F.col(label).cast("double").isin(0.0, 1.0)).limit(1).count() == 0:
-            out = out.crossJoin(F.broadcast(binary_auc(df.withColumn("__score", score), label, "__score", None)))
+            areas = binary_auc(df.withColumn("__score", score), label, "__score", None)
+            out = out.select("*", one_row(areas).alias("__auc")).select("*", "__auc.*").drop("__auc")
     return out.select(*[F.round(c, digits).alias(c) for c in out.columns])
 
 
@@ -233,21 +234,25 @@ def gate_passes(value: Column, operator: Column, threshold: Column) -> Column:
 def quality_gates(metrics: DataFrame, gates: DataFrame, keys) -> DataFrame:
     """Check every gate against every model or run of a long metric table.
 
-    ``gates``: gate, metric_name, operator, threshold. One output row per key and gate; a metric
-    that was not computed fails its gate. Metrics of no gate are dropped before any grouping.
+    ``gates``: gate, metric_name, operator, threshold; a configured list. One output row per key and
+    gate; a metric that was not computed fails its gate. One grouping picks the gated metrics, then
+    each key's row is unfolded into its gates: no join.
     """
-    keys = as_list(keys)
-    small = F.broadcast(gates)  # a configured list
-    known = metrics.select(*keys).distinct()
-    wanted = known.crossJoin(small)
-    values = (
-        metrics.join(F.broadcast(gates.select("metric_name").distinct()), "metric_name", "left_semi")
-        .groupBy(*keys, "metric_name")
-        .agg(F.max("metric_value").alias("actual"))
-    )
-    return wanted.join(values, [*keys, "metric_name"], "left").withColumn(
-        "passed", gate_passes(F.col("actual"), F.col("operator"), F.col("threshold"))
-    )
+    rules = gates.select("gate", "metric_name", "operator", "threshold").collect()  # configuration
+    names = sorted({r["metric_name"] for r in rules})
+    picked = [
+        F.max(F.when(F.col("metric_name") == n, F.col("metric_value"))).alias(f"__m{i}") for i, n in enumerate(names)
+    ]
+    items = [
+        F.struct(
+            F.lit(r["gate"]).alias("gate"), F.lit(r["metric_name"]).alias("metric_name"),
+            F.lit(r["operator"]).alias("operator"), F.lit(r["threshold"]).cast("double").alias("threshold"),
+            F.col(f"__m{names.index(r['metric_name'])}").cast("double").alias("actual"),
+        )
+        for r in rules
+    ]
+    rows = metrics.groupBy(*as_list(keys)).agg(*picked).select(*as_list(keys), F.inline(F.array(*items)))
+    return rows.withColumn("passed", gate_passes(F.col("actual"), F.col("operator"), F.col("threshold")))
 
 
 def evaluate(

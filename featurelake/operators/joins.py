@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_list, same_keys
-from ..functions.skew import HOT_ROWS, attach, hot_keys
+from ..functions.skew import HOT_ROWS, attach, group_attach, hot_keys
 from .series import carry_last
 
 
@@ -99,38 +99,47 @@ def point_in_time_join(
     Both sides are stacked and the last feature row is carried forward along time: one shuffle and
     one sort, O(n log n), where an inequality join would pair each event with its whole past. A
     feature known at the very instant of the event counts. Every entity row is kept, unmatched ones
-    with NULLs. An entity with too many rows is cut in time (see ``series.carry_last``).
+    with NULLs. An entity with too many rows is reduced to its instants and cut in time.
     """
     keys = as_list(entity_key)
     wanted = view.columns or [
         c for c in view.frame.columns if c not in keys + [view.timestamp_column]
     ]
     ties = [t for t in view.tie_break if t in view.frame.columns]
-    kept = [c for c in entities.columns if c not in keys]
-    left = entities.select(
-        *keys,
-        F.col(event_timestamp_column).alias("__ts"),
-        F.lit(1).alias("__kind"),
-        F.struct(*kept).alias("__entity"),
-    )
-    right = view.frame.select(
+    feats = view.frame.select(
         *keys,
         F.col(view.timestamp_column).alias("__ts"),
-        F.lit(0).alias("__kind"),
         F.struct(*[F.col(t) for t in ties], *[F.col(c) for c in wanted if c not in ties]).alias("__feature"),
     ).filter(F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys]))
-    stacked = left.unionByName(right, allowMissingColumns=True)
-    # ties between features of one instant: the largest (tie-break columns, then all values) wins
-    carried = carry_last(
-        stacked, keys, ["__ts", "__kind", "__feature"], {"__match": "__feature"}, hot_rows
+    names = {c: f"{prefix}{c}" for c in wanted}
+    at = event_timestamp_column
+    hot = hot_keys(entities, keys, hot_rows) or hot_keys(feats, keys, hot_rows)
+    if not hot:
+        return _carry_features(entities, feats, keys, at, names, None)
+    # Copies of one instant cannot be cut apart in time. Both sides are reduced to one row per key and
+    # instant before the shuffle, matched, and joined back to the entities with hot pairs salted.
+    moments = entities.select(*keys, at).distinct()
+    newest = feats.groupBy(*keys, "__ts").agg(F.max("__feature").alias("__feature"))
+    matched = _carry_features(moments, newest, keys, at, names, hot_rows)
+    return group_attach(entities, matched, [*keys, at], hot_rows)
+
+
+def _carry_features(entities, feats, keys, at, names: dict[str, str], hot_rows) -> DataFrame:
+    """Stack both sides and carry the last feature row along time."""
+    kept = [c for c in entities.columns if c not in keys]
+    left = entities.select(
+        *keys, F.col(at).alias("__ts"), F.lit(1).alias("__kind"), F.struct(*kept).alias("__entity")
     )
-    known = F.col("__entity.`" + event_timestamp_column + "`") if event_timestamp_column in kept else F.col("__ts")
-    hit = known.isNotNull() & _all([F.col(k).isNotNull() for k in keys])
-    out = carried.filter(F.col("__kind") == 1).select(
+    right = feats.select(*keys, "__ts", F.lit(0).alias("__kind"), "__feature")
+    stacked = left.unionByName(right, allowMissingColumns=True)
+    # features come before entities of the same instant; of several features the largest
+    # (tie-break columns, then all values) is last and wins
+    carried = carry_last(stacked, keys, ["__ts", "__kind", "__feature"], {"__match": "__feature"}, hot_rows)
+    hit = F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys])
+    return carried.filter(F.col("__kind") == 1).select(
         *[F.col(k) if c is None else F.col(f"__entity.`{c}`").alias(c) for c, k in _layout(entities, keys)],
-        *[F.when(hit, F.col("__match")[c]).alias(f"{prefix}{c}") for c in wanted],
+        *[F.when(hit, F.col("__match")[c]).alias(name) for c, name in names.items()],
     )
-    return out
 
 
 def _layout(entities: DataFrame, keys: list[str]):

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list
+from ..functions.columns import as_list, one_row
 from ..functions.quantiles import group_quantiles
 from ..functions.skew import HOT_ROWS, attach, hot_keys
 
@@ -127,7 +127,7 @@ def health_report(metrics: DataFrame, alerts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_alerts"),
     )
     rate = (F.col("total_runs") - F.col("failed_runs")) / F.greatest("total_runs", F.lit(1)) * 100
-    return runs.crossJoin(F.broadcast(active)).select(  # one row each
+    return runs.select("*", one_row(active).alias("__a")).select("*", "__a.*").select(
         "total_runs", "failed_runs", F.round(rate, 2).alias("success_rate_pct"), "active_alerts", "total_alerts",
         "total_metrics", F.when(F.col("active_alerts") > 0, "degraded").otherwise("healthy").alias("status"),
     )

@@ -77,8 +77,7 @@ def stream_update(spark, d):
 @query("stream_complete", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def stream_complete(spark, d):
     out = _latest_counts(spark, d, "stream_complete", "complete")
-    last = out.agg(F.max("epoch").alias("last"))
-    return out.join(F.broadcast(last), F.col("epoch") == F.col("last")).select("event_type", "n")  # one row
+    return out.filter(F.col("epoch") == out.agg(F.max("epoch")).scalar()).select("event_type", "n")
 
 
 @query("stream_checkpoint", "SELECT event_id, value FROM events")
