@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import as_list, same_keys
 from ..functions.skew import HOT_ROWS, attach, group_attach, hot_keys
-from .series import carry_last
+from .series import carry_last, cuts_for
 
 
 def join(
@@ -101,30 +101,42 @@ def point_in_time_join(
     feature known at the very instant of the event counts. Every entity row is kept, unmatched ones
     with NULLs. An entity with too many rows is reduced to its instants and cut in time.
     """
-    keys = as_list(entity_key)
-    wanted = view.columns or [
-        c for c in view.frame.columns if c not in keys + [view.timestamp_column]
-    ]
-    ties = [t for t in view.tie_break if t in view.frame.columns]
-    feats = view.frame.select(
-        *keys,
-        F.col(view.timestamp_column).alias("__ts"),
-        F.struct(*[F.col(t) for t in ties], *[F.col(c) for c in wanted if c not in ties]).alias("__feature"),
-    ).filter(F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys]))
-    names = {c: f"{prefix}{c}" for c in wanted}
-    at = event_timestamp_column
-    hot = hot_keys(entities, keys, hot_rows) or hot_keys(feats, keys, hot_rows)
+    return _join_views(entities, [(view, prefix)], as_list(entity_key), event_timestamp_column, hot_rows)
+
+
+def _join_views(entities: DataFrame, views, keys: list[str], at: str, hot_rows) -> DataFrame:
+    """As-of join of several views; hot entities are looked for once, over all sides together."""
+    prepared = []
+    for view, prefix in views:
+        time = view.timestamp_column
+        wanted = view.columns or [c for c in view.frame.columns if c not in keys + [time]]
+        ties = [t for t in view.tie_break if t in view.frame.columns]
+        feats = view.frame.select(
+            *keys,
+            F.col(time).alias("__ts"),
+            F.struct(*[F.col(t) for t in ties], *[F.col(c) for c in wanted if c not in ties]).alias("__feature"),
+        ).filter(F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys]))
+        prepared.append((feats, {c: f"{prefix}{c}" for c in wanted}))
+    instants = entities.select(*keys, F.col(at).alias("__ts"))
+    for feats, _ in prepared:
+        instants = instants.unionByName(feats.select(*keys, "__ts"))
+    hot = hot_keys(instants, keys, hot_rows)
     if not hot:
-        return _carry_features(entities, feats, keys, at, names, None)
+        out = entities
+        for feats, names in prepared:
+            out = _carry_features(out, feats, keys, at, names, None)
+        return out
     # Copies of one instant cannot be cut apart in time. Both sides are reduced to one row per key and
     # instant before the shuffle, matched, and joined back to the entities with hot pairs salted.
-    moments = entities.select(*keys, at).distinct()
-    newest = feats.groupBy(*keys, "__ts").agg(F.max("__feature").alias("__feature"))
-    matched = _carry_features(moments, newest, keys, at, names, hot_rows)
+    cuts = cuts_for(instants, keys, "__ts", hot)
+    matched = entities.select(*keys, at).distinct()
+    for feats, names in prepared:
+        newest = feats.groupBy(*keys, "__ts").agg(F.max("__feature").alias("__feature"))
+        matched = _carry_features(matched, newest, keys, at, names, cuts)
     return group_attach(entities, matched, [*keys, at], hot_rows)
 
 
-def _carry_features(entities, feats, keys, at, names: dict[str, str], hot_rows) -> DataFrame:
+def _carry_features(entities, feats, keys, at, names: dict[str, str], cuts) -> DataFrame:
     """Stack both sides and carry the last feature row along time."""
     kept = [c for c in entities.columns if c not in keys]
     left = entities.select(
@@ -134,7 +146,8 @@ def _carry_features(entities, feats, keys, at, names: dict[str, str], hot_rows)
     stacked = left.unionByName(right, allowMissingColumns=True)
     # features come before entities of the same instant; of several features the largest
     # (tie-break columns, then all values) is last and wins
-    carried = carry_last(stacked, keys, ["__ts", "__kind", "__feature"], {"__match": "__feature"}, hot_rows)
+    order = ["__ts", "__kind", "__feature"]
+    carried = carry_last(stacked, keys, order, {"__match": "__feature"}, None, cuts=cuts)
     hit = F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys])
     return carried.filter(F.col("__kind") == 1).select(
         *[F.col(k) if c is None else F.col(f"__entity.`{c}`").alias(c) for c, k in _layout(entities, keys)],
@@ -154,12 +167,9 @@ def training_set(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """As-of join of several feature tables; columns are prefixed by the table's name."""
-    out = entities
-    for view in views:
-        out = point_in_time_join(
-            out, view, entity_key, event_timestamp_column, prefix=f"{view.name}_", hot_rows=hot_rows
-        )
-    return out
+    return _join_views(
+        entities, [(v, f"{v.name}_") for v in views], as_list(entity_key), event_timestamp_column, hot_rows
+    )
 
 
 __all__ = ["FeatureView", "join", "point_in_time_join", "same_keys", "training_set"]

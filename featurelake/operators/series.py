@@ -60,7 +60,9 @@ def find_cuts(df: DataFrame, keys, order: str, hot_rows: int | None = HOT_ROWS)
     return cuts_for(df, keys, order, hot) if hot else None
 
 
-def cuts_for(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> Cuts:
+def cuts_for(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> Cuts | None:
+    if order_number(df, order) is None:
+        return None
     small = F.broadcast(hot.frame.withColumnsRenamed({k: f"__hot_{k}" for k in keys}))
     rows = df.select(*keys, order_number(df, order).alias("__at")).join(
         small, all_of([F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]), "inner"
@@ -151,18 +153,17 @@ def _at(order: list[str], when: Column) -> Column:
 
 def carry_last(
     df: DataFrame, keys, order, targets: dict[str, str], hot_rows: int | None = HOT_ROWS,
-    backward: bool = False, order_by: str | None = None,
+    backward: bool = False, cuts: Cuts | None = None,
 ) -> DataFrame:
     """Add ``{new: source}``: the last non-NULL source value up to and including each row.
 
-    ``backward`` takes the next value instead. ``order_by`` names the column that series are cut
-    at (default: the first order column).
+    ``backward`` takes the next value instead. ``cuts`` are known cuts of the series.
     """
     keys, order = as_list(keys), as_list(order)
     pick = F.first if backward else F.last
     frame = (Window.currentRow, Window.unboundedFollowing) if backward else (
         Window.unboundedPreceding, Window.currentRow)
-    cuts = find_cuts(df, keys, order_by or order[0], hot_rows)
+    cuts = cuts or find_cuts(df, keys, order[0], hot_rows)
     if cuts is None:
         w = window_over(keys, order).rowsBetween(*frame)
         return df.withColumns({new: pick(src, ignorenulls=True).over(w) for new, src in targets.items()})
