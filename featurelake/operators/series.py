@@ -8,9 +8,9 @@ what has to cross a cut is passed on through a table with one row per piece:
 * ``carry_last``     the last non-NULL value before each piece,
 * ``running_total``  the sum of all earlier pieces.
 
-Rows that are equal in the first order column stay in one piece. Frames without hot entities
-keep the plain one-shuffle plan. Give enough order columns to make the order total; ties are
-broken arbitrarily, as in any SQL window.
+A value of the first order column that fills several pieces is cut further along the second.
+Frames without hot entities keep the plain one-shuffle plan. Give enough order columns to make the
+order total; ties are broken arbitrarily, as in any SQL window.
 """
 
 from __future__ import annotations
@@ -26,14 +26,19 @@ from ..functions.columns import all_of, as_list, order_number
 from ..functions.skew import HOT_ROWS, HotKeys, hot_keys
 
 PIECE = "__piece"
+GRID = [i / 256 for i in range(1, 256)]
 
 
 @dataclass
 class Cuts:
-    """Where the hot series of a frame are cut: one row per hot key, bounds ascending."""
+    """Where the hot series of a frame are cut: one row per hot key, bounds ascending.
+
+    A bound is a pair of positions in the first and second order column, compared in that order. An
+    infinite second position stands for a cut behind all rows of that first position.
+    """
 
     keys: list[str]
-    order: str
+    order: list[str]
     frame: DataFrame
 
     def assign(self, df: DataFrame) -> DataFrame:
@@ -43,46 +48,73 @@ class Cuts:
         joined = df.join(
             small, all_of([df[k].eqNullSafe(small[names[k]]) for k in self.keys]), "left"
         )
-        position = order_number(df, self.order)
-        piece = F.size(F.filter(F.col("__bounds"), lambda b: b < position))
+        first, second = positions(df, self.order)
+        here = F.struct(first.alias("a"), second.alias("b"))
+        piece = F.size(F.filter(F.col("__bounds"), lambda bound: bound < here))
         return joined.withColumn(
-            PIECE, F.when(F.col("__bounds").isNotNull() & position.isNotNull(), piece).otherwise(0)
+            PIECE, F.when(F.col("__bounds").isNotNull() & first.isNotNull(), piece).otherwise(0)
         ).withColumn("__cut", F.col("__bounds").isNotNull()).drop("__bounds", *names.values())
 
 
-def find_cuts(df: DataFrame, keys, order: str, hot_rows: int | None = HOT_ROWS) -> Cuts | None:
+def positions(df: DataFrame, order: list[str]) -> tuple[Column | None, Column]:
+    """Numbers that grow with the first and the second order column; the second is flat without one."""
+    second = order_number(df, order[1]) if len(order) > 1 else None
+    flat = F.lit(0.0) if second is None else F.coalesce(second.cast("double"), F.lit(float("-inf")))
+    return order_number(df, order[0]), flat
+
+
+def find_cuts(df: DataFrame, keys, order, hot_rows: int | None = HOT_ROWS) -> Cuts | None:
     """None if no key is hot; else quantile bounds, fixed once so every branch sees the same cuts."""
-    keys = as_list(keys)
-    position = order_number(df, order)
-    if position is None or hot_rows is None:
+    keys, order = as_list(keys), as_list(order)
+    if hot_rows is None or order_number(df, order[0]) is None:
         return None
     hot = hot_keys(df, keys, hot_rows)
     return cuts_for(df, keys, order, hot) if hot else None
 
 
-def cuts_for(df: DataFrame, keys: list[str], order: str, hot: HotKeys) -> Cuts | None:
-    if order_number(df, order) is None:
+def cuts_for(df: DataFrame, keys: list[str], order, hot: HotKeys) -> Cuts | None:
+    """Cut every hot key into its number of pieces at quantiles of the first order column, and
+    values of it that fill several pieces at quantiles of the second."""
+    order = as_list(order)
+    first, second = positions(df, order)
+    if first is None:
         return None
     small = F.broadcast(hot.frame.withColumnsRenamed({k: f"__hot_{k}" for k in keys}))
-    rows = df.select(*keys, order_number(df, order).alias("__at")).join(
+    rows = df.select(*keys, first.alias("__a"), second.alias("__b")).join(
         small, all_of([F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]), "inner"
     )
-    grid = [i / 256 for i in range(1, 256)]
     found = (
         rows.groupBy(*keys)
-        .agg(F.percentile_approx("__at", grid, 2000).alias("__grid"), F.max("__splits").alias("__s"))
+        .agg(F.percentile_approx("__a", GRID, 2000).alias("__grid"), F.max("__splits").alias("__s"))
         .collect()
     )
-    kind = T.LongType() if isinstance(rows.schema["__at"].dataType, T.LongType) else T.DoubleType()
-    schema = T.StructType(
-        [T.StructField(k, df.schema[k].dataType) for k in keys]
-        + [T.StructField("__bounds", T.ArrayType(kind))]
-    )
-    data = []
+    key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
+    kind = rows.schema["__a"].dataType
+    marks = {}
     for row in found:
-        marks = row["__grid"] or []
         step = max(1, 256 // row["__s"])
-        data.append(tuple(row[k] for k in keys) + (sorted(set(marks[step - 1 :: step])),))
+        marks[tuple(row[k] for k in keys)] = (row["__grid"] or [])[step - 1 :: step]
+    crowded = [(*k, v) for k, vs in marks.items() for v in set(vs) if vs.count(v) > 1]
+    inner = {}
+    # a decimal's position is rounded, so rows of one position need not be equal: no second cut there
+    if crowded and len(order) > 1 and not isinstance(df.schema[order[0]].dataType, T.DecimalType):
+        spots = F.broadcast(df.sparkSession.createDataFrame(  # at most MAX_PIECES values
+            crowded, T.StructType([T.StructField(f"__k{i}", f.dataType) for i, f in enumerate(key_fields)]
+                                  + [T.StructField("__v", kind)])))
+        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col("__a") == F.col("__v")]
+        for row in (
+            rows.join(spots, all_of(same)).groupBy(*keys, "__a")
+            .agg(F.percentile_approx("__b", GRID, 2000).alias("__grid")).collect()
+        ):
+            spot = tuple(row[k] for k in keys), row["__a"]
+            pieces = marks[spot[0]].count(spot[1])
+            inner[spot] = (row["__grid"] or [])[:: max(1, 256 // pieces)]
+    data = []
+    for key, values in marks.items():
+        bounds = {(v, float("inf")) for v in values} | {(v, b) for v in set(values) for b in inner.get((key, v), ())}
+        data.append((*key, sorted(bounds)))
+    pair = T.StructType([T.StructField("a", kind), T.StructField("b", T.DoubleType())])
+    schema = T.StructType(key_fields + [T.StructField("__bounds", T.ArrayType(pair))])
     return Cuts(keys, order, df.sparkSession.createDataFrame(data, schema))
 
 
@@ -105,7 +137,7 @@ def windowed(
     ``needs`` are the columns the expressions read; only those are copied across cuts.
     """
     keys, order = as_list(keys), as_list(order)
-    cuts = find_cuts(df, keys, order[0], hot_rows)
+    cuts = find_cuts(df, keys, order, hot_rows)
     if cuts is None:
         return df.withColumns(build(window_over(keys, order)))
     rows = cuts.assign(df)
@@ -163,7 +195,7 @@ def carry_last(
     pick = F.first if backward else F.last
     frame = (Window.currentRow, Window.unboundedFollowing) if backward else (
         Window.unboundedPreceding, Window.currentRow)
-    cuts = cuts or find_cuts(df, keys, order[0], hot_rows)
+    cuts = cuts or find_cuts(df, keys, order, hot_rows)
     if cuts is None:
         w = window_over(keys, order).rowsBetween(*frame)
         return df.withColumns({new: pick(src, ignorenulls=True).over(w) for new, src in targets.items()})
@@ -201,7 +233,7 @@ def running_total(
     """Add inclusive running sums ``{new: source}`` and whole-series sums ``totals``."""
     keys, order = as_list(keys), as_list(order)
     totals = totals or {}
-    cuts = find_cuts(df, keys, order[0], hot_rows)
+    cuts = find_cuts(df, keys, order, hot_rows)
     span = (Window.unboundedPreceding, Window.currentRow)
     if cuts is None:
         w, whole = window_over(keys, order).rowsBetween(*span), Window.partitionBy(*keys)

@@ -76,6 +76,19 @@ def test_fill_pieces(spark, strategy):
     assert rows(clean.fill_nulls(df, hot_rows=9, **options)) == rows(clean.fill_nulls(df, hot_rows=None, **options))
 
 
+def test_one_instant_is_cut_along_the_second_column(spark):
+    """Most rows of the hot key share one time; they are cut by the id."""
+    df = build(spark, n=500, seed=12).withColumn(
+        "ts", F.when(F.col("id") % 5 > 0, F.lit(datetime(2024, 1, 1, 0, 1))).otherwise(F.col("ts")))
+    cuts = series.find_cuts(df, "key", ORDER, hot_rows=20)
+    sizes = [r["count"] for r in cuts.assign(df).filter("__cut").groupBy("key", series.PIECE).count().collect()]
+    assert max(sizes) < 0.3 * sum(sizes)
+    args = ("key", ORDER, "value", [1, 4])
+    assert rows(features.lag_features(df, *args, hot_rows=20)) == rows(features.lag_features(df, *args, hot_rows=None))
+    options = dict(strategy="ffill", columns=["value"], partition_by="key", order_by=ORDER)
+    assert rows(clean.fill_nulls(df, hot_rows=20, **options)) == rows(clean.fill_nulls(df, hot_rows=None, **options))
+
+
 @pytest.mark.parametrize("kind", ["timestamp_ntz", "date", "bigint", "double", "decimal(12,3)"])
 def test_order_types(spark, kind):
     df = build(spark, seed=5)
