@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_list, measured, numeric_columns, one_row, present, text_columns
 from ..functions.quantiles import group_quantiles, quantiles
 from ..functions.skew import HOT_ROWS, attach, group_attach, hot_keys
+from ..sources.batch import table_metadata
 
 # Aggregate names and their Spark functions.
 AGGREGATES = {
@@ -177,34 +179,23 @@ def categorical_profile(df: DataFrame, columns=None, top: int = 5) -> DataFrame:
     return best.join(sizes, F.col("column_name") == F.col("__c")).drop("__c")
 
 
-def table_shape(df: DataFrame) -> DataFrame:
-    """Rows, columns and, for files, their bytes."""
-    rows = df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"))
-    return rows
-
-
 def data_profile(df: DataFrame, top: int = 5, approx: bool = False) -> DataFrame:
     """The whole profile as ``column_name, section, field, value`` rows (values as text)."""
-    parts = []
-    types = {f.name: f.dataType.simpleString() for f in df.schema}
-    shape = df.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.lit(None).cast("string").alias("column_name"), F.lit("shape").alias("section"),
-                    F.lit("rows").alias("field"), F.col("rows").cast("string").alias("value"),
-                ),
-                *[
-                    F.struct(
-                        F.lit(c).alias("column_name"), F.lit("dtype").alias("section"),
-                        F.lit("type").alias("field"), F.lit(t).alias("value"),
-                    )
-                    for c, t in types.items()
-                ],
-            )
+    def fact(column, section: str, field: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(column).cast("string").alias("column_name"), F.lit(section).alias("section"),
+            F.lit(field).alias("field"), value.cast("string").alias("value"),
         )
-    )
-    parts.append(shape)
+
+    facts = [fact(None, "shape", "rows", F.col("rows")), fact(None, "shape", "columns", F.lit(len(df.columns)))]
+    facts += [fact(f.name, "dtype", "type", F.lit(f.dataType.simpleString())) for f in df.schema]
+    shape = df.agg(F.count(F.lit(1)).alias("rows"))
+    parts = [shape.select(F.inline(F.array(*facts)))]
+    try:
+        size = table_metadata(df)
+        parts.append(size.select(F.inline(F.array(fact(None, "shape", "bytes", F.col("size_bytes"))))))
+    except AnalysisException:
+        pass  # not read from files
 
     def long(frame: DataFrame, section: str, fields: list[str]) -> DataFrame:
         items = [F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")) for f in fields]

@@ -183,6 +183,7 @@ def categorical_profile(spark, d):
        cols AS (SELECT unnest(['s_suppkey', 's_name', 's_nationkey', 's_acctbal']) AS c,
                        unnest(['bigint', 'string', 'int', 'double']) AS t)
        SELECT NULL::VARCHAR AS column_name, 'shape' AS section, 'rows' AS field, n AS value FROM s
+       UNION ALL SELECT NULL, 'shape', 'columns', '4'
        UNION ALL SELECT c, 'dtype', 'type', t FROM cols
        UNION ALL SELECT c, 'nulls', 'null_count', '0' FROM cols
        UNION ALL SELECT c, 'nulls', 'null_pct', '0.0' FROM cols
@@ -192,9 +193,9 @@ def categorical_profile(spark, d):
        UNION ALL SELECT 's_nationkey', 'numeric', 'max', max(s_nationkey)::DOUBLE::VARCHAR FROM supplier""",
 )
 def data_profile(spark, d):
-    """The full profile; of its numeric section only one field is kept here, as the texts of the
-    others are compared as numbers by numeric_profile."""
-    out = agg.data_profile(table(spark, d, "supplier"))
+    """The full profile, but for the bytes and all but one number: the numbers are compared by
+    numeric_profile, here they are text."""
+    out = agg.data_profile(table(spark, d, "supplier")).filter("field <> 'bytes'")
     return out.filter("section <> 'numeric' OR (column_name = 's_nationkey' AND field = 'max')")
 
 
