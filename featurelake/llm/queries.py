@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import secrets
+from . import packing, pii, secrets, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_pii_feistel")
+def op1_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = pii.pseudonymize(docs, b"the key of this corpus")
+    return out.select("doc_id", "text", F.size("pii_spans").cast("long").alias("n_replaced"))
+
+
+@query("op3_warc_dictionary")
+def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read(warc.write(table(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op4_toxicity_chain")
+def op4_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.label_categories()))
+    return scored.select("doc_id", "p_poor", "p_toxic", (F.col("p_toxic") >= toxicity.REJECT).alias("rejected"))
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.cut(table(spark, sf_dir, "documents")))
+
+
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
