@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
+from .words import BLANKS, Texts, slices, substring_hashes
 
 CLOSING_ID = 0
 CAPACITY = 2048
@@ -34,65 +35,121 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Memo(dict):
-    """Numbers for strings; what is new waits in ``pending``."""
+#: The byte that begins the letters from U+00C0 to U+00FF, and the second bytes of the two signs among them.
+LATIN, LATIN_SIGNS = 0xC3, (0x97, 0xB7)
 
-    def __init__(self):
-        self.pending: list[bytes] = []
 
-    def __missing__(self, key: bytes) -> int:
-        self[key] = n = len(self)
-        self.pending.append(key)
-        return n
+def byte_classes() -> np.ndarray:
+    """0 blank, 1 letter, 2 mark, 3 anything that is left to the tokenizer."""
+    table = np.full(256, 3, np.uint8)
+    table[list(BLANKS)] = 0
+    table[[c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]] = 2
+    table[[c for c in range(128) if chr(c).isalpha()] + [LATIN]] = 1
+    return table
+
+
+CLASSES = byte_classes()
 
 
 class Tokens:
-    """Ids of whole texts. The tokenizer drops white space, lower-cases and never joins what white space parts, so the
-    ids of a text are those of its blank-separated strings in order, and each different string is tokenized once.
+    """Ids of whole texts. The tokenizer drops white space, lower-cases and joins neither what white space parts nor
+    letters with marks, so the ids of a text are those of its words and marks in order, and each different one is
+    tokenized once. What holds digits, apostrophes or other scripts is parted at white space only.
 
-    Texts that may hold a special token go through the tokenizer whole. At most ``most`` strings are remembered.
+    Texts that may hold a special token go through the tokenizer whole. Strings are known by their hash; at most
+    ``most`` are remembered.
     """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.specials = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        words = sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])
+        self.closes = np.array([bool(suffix) and w.endswith(suffix) for w, _ in words])
         self.forget()
 
     def forget(self) -> None:
-        self.memo, self.ids = Memo(), np.empty(0, np.uint32)
+        self.known, self.ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
         self.starts, self.lengths = np.empty(0, np.int64), np.empty(0, np.int64)
 
-    def learn(self) -> None:
-        if not self.memo.pending:
-            return
-        made = [e.ids for e in self.tokenizer.encode_batch_fast([c.decode() for c in self.memo.pending], add_special_tokens=False)]
-        lengths = np.fromiter(map(len, made), np.int64, len(made))
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in made for i in ids), np.uint32, int(lengths.sum()))])
-        self.memo.pending = []
-
-    def of(self, texts: list[bytes | None]) -> list[np.ndarray]:
-        if len(self.memo) > self.most:
-            self.forget()
-        out: list = []
-        for text in texts:
-            text = text or b""
-            lower = text.lower()
-            if any(s in lower for s in self.specials):
-                out.append(np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32))
+    def parts(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text number, start, end, whether it is all letters or all marks) of what is tokenized on its own."""
+        owner, starts, ends = texts.words()
+        if not len(starts):
+            return owner, starts, ends, np.empty(0, bool)
+        classes = CLASSES[texts.bytes]
+        second = np.flatnonzero(texts.bytes[:-1] == LATIN) + 1
+        classes[second[~np.isin(texts.bytes[second], LATIN_SIGNS)]] = 1
+        other = np.concatenate([[0], np.cumsum(classes == 3)])
+        plain = other[ends] == other[starts]
+        inner = np.flatnonzero((classes[1:] != classes[:-1]) & (classes[1:] > 0) & (classes[:-1] > 0)) + 1
+        of = np.searchsorted(starts, inner, "right") - 1
+        inner, of = (x[plain[of] & (starts[of] != inner)] for x in (inner, of))
+        at = np.searchsorted(starts, inner)
+        return (np.insert(owner, at, owner[of]), np.insert(starts, at, inner), np.insert(ends, np.searchsorted(ends, inner), inner),
+                np.insert(plain, at, True))
+
+    def tokenized(self, words: list[str], plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of all strings, where those of each begin, how many they are).
+
+        Plain strings go in one text, in which each ends with a token that closes a word.
+        """
+        starts, lengths, made, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        alone = np.flatnonzero(~plain).tolist()
+        together = np.flatnonzero(plain)
+        for k in range(0, len(together), 2000):
+            some = together[k : k + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join([words[i] for i in some.tolist()]), add_special_tokens=False).ids, np.uint32)
+            cuts = np.concatenate([[0], np.flatnonzero(self.closes[ids]) + 1])
+            if len(cuts) == len(some) + 1:
+                starts[some], lengths[some] = total + cuts[:-1], np.diff(cuts)
+                made.append(ids)
+                total += len(ids)
             else:
-                words = lower.split()
-                out.append(np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words)))
-        self.learn()
-        return [self.gathered(x) if x.dtype == np.int64 else x for x in out]
-
-    def gathered(self, words: np.ndarray) -> np.ndarray:
+                alone += some.tolist()
+        for k in range(0, len(alone), 2000):
+            some = alone[k : k + 2000]
+            for i, e in zip(some, self.tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False), strict=True):
+                starts[i], lengths[i] = total, len(e.ids)
+                made.append(np.array(e.ids, np.uint32))
+                total += len(e.ids)
+        return np.concatenate([np.empty(0, np.uint32), *made]), starts, lengths
+
+    def learn(self, hashes: np.ndarray, words: list[str], plain: np.ndarray) -> None:
+        """``hashes`` are in rising order and new."""
+        ids, starts, lengths = self.tokenized(words, plain)
+        at = np.searchsorted(self.known, hashes)
+        self.starts = np.insert(self.starts, at, len(self.ids) + starts)
+        self.lengths = np.insert(self.lengths, at, lengths)
+        self.known = np.insert(self.known, at, hashes)
+        self.ids = np.concatenate([self.ids, ids])
+
+    def of(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of every text of a column of bytes."""
+        texts = Texts(column)
+        if len(self.known) > self.most:
+            self.forget()
+        owner, starts, ends, plain = self.parts(texts)
+        hashes, first, which = np.unique(substring_hashes(texts.sums(fold=True), starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = at == len(self.known) if not len(self.known) else self.known[np.minimum(at, len(self.known) - 1)] != hashes
+        if new.any():
+            data = texts.bytes.tobytes()
+            fresh = first[new]
+            self.learn(hashes[new], [data[s:e].decode() for s, e in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)], plain[fresh])
+            at = np.searchsorted(self.known, hashes)
+        words = at[which]
         lengths = self.lengths[words]
-        ends = np.cumsum(lengths)
-        return self.ids[np.repeat(self.starts[words] - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        done = np.cumsum(lengths)
+        ids = self.ids[np.repeat(self.starts[words] - done + lengths, lengths) + np.arange(done[-1] if len(done) else 0)]
+        cuts = np.concatenate([[0], done])[np.searchsorted(owner, np.arange(len(column) + 1))]
+        out = [ids[a:z] for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        for i, text in enumerate(column.to_pylist()):
+            if text and any(s in text.lower() for s in self.specials):
+                out[i] = np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+        return out
 
 
 @cache
@@ -110,21 +167,14 @@ def cut(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str
     def run(batches):
         tokens = tokens_of(path)
         for b in batches:
-            texts, keys = b.column(1), b.column(0).to_pylist()
-            at = 0
-            while at < len(keys):  # about 4 MB of text at a time
-                size, end = 0, at
-                while end < len(keys) and size < 4_000_000:
-                    size += texts[end].as_buffer().size if texts[end].is_valid else 0
-                    end += 1
+            for at, column in slices(b.column(1)):
                 rows = []
-                for key, found in zip(keys[at:end], tokens.of(texts[at:end].to_pylist()), strict=True):
+                for key, found in zip(b.column(0).slice(at, len(column)).to_pylist(), tokens.of(column), strict=True):
                     whole = np.append(found, np.uint32(CLOSING_ID)).astype("<u4")
                     for k, start in enumerate(range(0, len(whole), capacity)):
                         part = whole[start : start + capacity]
                         rows.append((key, k, start, len(part), zlib.crc32(part.tobytes()), *([part.astype(np.int32)] if ids else [])))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], names=[f.name for f in fields])
-                at = end
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
     return docs.select(F.col(id).cast("long"), F.col(text).cast("binary")).mapInArrow(run, schema)

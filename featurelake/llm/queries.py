@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, pii, secrets, toxicity, warc
+from . import decontaminate, hostgraph, packing, pii, secrets, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_pii_feistel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", F.size("pii_spans").cast("long").alias("n_replaced"))
 
 
+@query("op2_host_graph")
+def op2_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hostgraph.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op3_warc_dictionary")
 def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read(warc.write(table(spark, sf_dir, "pages")))
@@ -51,6 +56,26 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut(table(spark, sf_dir, "documents")))
 
 
+@query("op7_decontamination", """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS t FROM documents),
+i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '') AS t FROM benchmark),
+items AS (
+  SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(t) - width + 2), lambda k: array_to_string(t[k:k + width - 1], ' '))) AS s
+  FROM (SELECT item_id, t, least(len(t), 5) AS width FROM i WHERE len(t) > 0)),
+docs AS (
+  SELECT DISTINCT doc_id, width, unnest(list_transform(range(1, len(t) - width + 2), lambda k: array_to_string(t[k:k + width - 1], ' '))) AS s
+  FROM d, (SELECT DISTINCT width FROM items) WHERE len(t) >= width),
+sizes AS (SELECT item_id, count(*) AS n FROM items GROUP BY 1)
+SELECT doc_id, item_id, any_value(n) AS n_shingles, count(*) AS n_shared
+FROM docs JOIN items USING (width, s) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id HAVING count(*) >= ceil(0.8 * any_value(n) - 1e-9)
+""")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))

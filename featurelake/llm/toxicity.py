@@ -3,7 +3,7 @@ probabilities that the earlier ones gave.
 
 While training, the earlier probabilities are out-of-fold: each row's come from a model that did not see the row, so
 that later models do not learn to trust them too much. Features are the presence of whole words and of their first
-four letters (inflected forms share them), hashed; nothing but these leaves the text, and whole texts are read.
+four bytes (inflected forms share them), hashed; whole texts are read.
 
 The training rows are a bounded sample of the labelled rows (``most``, the first by hash); scoring covers every row.
 NULL and empty texts have no features. NULL labels and NULL ids do not train. A category with a single class among its
@@ -15,97 +15,147 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, whole_text
+from .common import stage
+from .words import MARKS, Texts, mix, slices, substring_hashes
 
 STEM = 4
+BITS = 16
 #: Documents of at least this probability are rejected.
 REJECT = 0.5
+FOLDS, STEPS, RATE, DECAY = 3, 100, 0.1, 1e-4
+#: Features take part if this many training rows have them and their share of class 1 is this many deviations off.
+LEAST_ROWS, LEAST_DEVIATIONS = 5, 6
 
 
 @dataclass(frozen=True)
 class Chain:
-    """Categories in order, each with its model or, where there was nothing to learn, its constant probability."""
+    """Categories in order, and the weights of each: one per hashed feature, one per earlier category, and the bias."""
 
     categories: tuple[str, ...]
-    models: tuple[LogisticRegressionModel | float, ...]
-    dims: int
-
-
-def terms(text: Column) -> Column:
-    """Distinct words, lower-cased, and their first letters."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}\p{N}]+"))
-    words = F.filter(words, lambda w: w != "")
-    return F.array_union(words, F.transform(words, lambda w: F.concat(F.lit("^"), F.substring(w, 1, STEM))))
-
-
-def featurized(df: DataFrame, text: str, dims: int) -> DataFrame:
-    """Adds ``_features``."""
-    hashed = HashingTF(numFeatures=dims, binary=True, inputCol="_terms", outputCol="_features")
-    return hashed.transform(df.withColumn("_terms", terms(whole_text(text)))).drop("_terms")
-
-
-def with_chances(df: DataFrame, names: list[str]) -> DataFrame:
-    """Adds ``_input``: the hashed features followed by the earlier probabilities."""
-    return VectorAssembler(inputCols=["_features", *names], outputCol="_input").transform(df)
-
-
-def fit(rows: DataFrame, label: str, reg: float) -> LogisticRegressionModel | float:
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}  # two classes
-    if len(counts) < 2:
-        return float(next(iter(counts), 0))
-    return LogisticRegression(featuresCol="_input", labelCol=label, regParam=reg, maxIter=40, standardization=False).fit(rows)
-
-
-def chance(df: DataFrame, model: LogisticRegressionModel | float, name: str) -> DataFrame:
-    """Adds the probability of class 1 as ``name``."""
-    if isinstance(model, float):
-        return df.withColumn(name, F.lit(model))
-    raw = model.copy().setFeaturesCol("_input").setProbabilityCol("_p").setRawPredictionCol("").setPredictionCol("")
-    return raw.transform(df).withColumn(name, vector_to_array("_p")[1]).drop("_p")
+    weights: tuple[np.ndarray, ...]
+
+
+def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all texts, each once per text and in the order of the texts, and how many each text has."""
+    owner, starts, ends = texts.words(MARKS)
+    sums = texts.sums(fold=True)
+    found = [substring_hashes(sums, starts, ends), mix(substring_hashes(sums, starts, np.minimum(ends, starts + STEM)) ^ np.uint64(STEM))]
+    keys = np.unique(np.concatenate([owner.astype(np.uint64) << np.uint64(BITS) | h >> np.uint64(64 - BITS) for h in found]))
+    counts = np.bincount((keys >> np.uint64(BITS)).astype(np.int64), minlength=len(texts.starts))
+    return (keys & np.uint64((1 << BITS) - 1)).astype(np.int64), counts
+
+
+def logistic(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def margins(weights: np.ndarray, numbers: np.ndarray, counts: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    sums = np.concatenate([[0.0], np.cumsum(weights[numbers])])
+    ends = np.cumsum(counts)
+    return sums[ends] - sums[ends - counts] + earlier @ weights[1 << BITS : -1] + weights[-1]
+
+
+def fit(numbers: np.ndarray, counts: np.ndarray, earlier: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Logistic regression by adaptive gradient steps over all rows, on the features that the classes clearly differ in."""
+    weights = np.zeros((1 << BITS) + earlier.shape[1] + 1)
+    if not len(y) or y.min() == y.max():
+        weights[-1] = 30 if len(y) and y[0] == 1 else -30
+        return weights
+    share = y.mean()
+    had, of_one = (np.bincount(numbers, w, 1 << BITS) for w in (None, np.repeat(y, counts)))
+    off = np.abs(of_one - had * share) / np.sqrt(np.maximum(had, 1) * share * (1 - share))
+    telling = ((had >= LEAST_ROWS) & (off >= LEAST_DEVIATIONS))[numbers]
+    row = np.repeat(np.arange(len(y)), counts)[telling]
+    numbers, counts = numbers[telling], np.bincount(row, minlength=len(y))
+    weights[-1] = np.log(share / (1 - share))
+    first, second = np.zeros_like(weights), np.zeros_like(weights)
+    for k in range(1, STEPS + 1):
+        error = (logistic(margins(weights, numbers, counts, earlier)) - y) / len(y)
+        slope = np.concatenate([np.bincount(numbers, np.repeat(error, counts), 1 << BITS), error @ earlier, [error.sum()]]) + DECAY * weights
+        first, second = 0.9 * first + 0.1 * slope, 0.999 * second + 0.001 * slope**2
+        weights -= RATE * (first / (1 - 0.9**k)) / (np.sqrt(second / (1 - 0.999**k)) + 1e-8)
+    return weights
+
+
+def fitted(k: int, before: list[dict[int, np.ndarray]]):
+    """Fits category ``k`` on the rows of all folds but the one that the group leaves out."""
+
+    def run(key, part):
+        lists = part.column("numbers").combine_chunks()
+        numbers, counts = lists.flatten().to_numpy().astype(np.int64), np.diff(lists.offsets.to_numpy())
+        own, y = part.column("fold").to_numpy(), part.column(f"_y{k}").to_numpy()
+        earlier = np.zeros((len(y), 0))
+        for models in before:  # the chance of each row by the model that left its fold out
+            chances = np.zeros(len(y))
+            for f in range(FOLDS):
+                chances[own == f] = logistic(margins(models[f], numbers, counts, earlier))[own == f]
+            earlier = np.column_stack([earlier, chances])
+        kept = own != key[0].as_py()
+        made = fit(numbers[np.repeat(kept, counts)], counts[kept], earlier[kept], y[kept])
+        return pa.table({"left_out": pa.array([key[0].as_py()], pa.int32()), "weights": pa.array([made.tobytes()], pa.binary())})
+
+    return run
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id: str = "doc_id", text: str = "text",
-          most: int = 10_000, folds: int = 3, dims: int = 1 << 16, reg: float = 1e-4) -> Chain:
+          most: int = 6_000) -> Chain:
     """Fit the chain; ``categories`` maps each name, in order, to its 0/1 column of ``labels``.
 
-    Rows whose categories are all known train, ``most`` of them at most.
+    Rows whose categories are all known train, ``most`` of them at most. The models of the folds and the one of all rows
+    are fitted in tasks of their own.
     """
-    known = labels.select(F.col(id).alias("_id"), *(c.cast("double").alias(f"_y_{n}") for n, c in categories.items()))
+    names = list(categories)
+    known = labels.select(F.col(id).alias("_id"), *(c.cast("double").alias(f"_y{k}") for k, c in enumerate(categories.values())))
     known = known.dropna().orderBy(F.xxhash64("_id"), "_id").limit(most)
-    rows = docs.select(F.col(id).alias("_id"), F.col(text)).join(F.broadcast(known), "_id")  # ``most`` rows of numbers
-    rows = featurized(rows, text, dims).drop(text).withColumn("_fold", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(folds)))
-    rows = stage(rows, "toxicity-train")
-    models, earlier = [], []
-    for k, name in enumerate(categories):
-        label, p = f"_y_{name}", f"_p_{name}"
-        seen = with_chances(rows, earlier).persist()
-        models.append(fit(seen, label, reg))
-        if k + 1 < len(categories):  # what later models see of this one
-            parts = [chance(seen.filter(F.col("_fold") == f), fit(seen.filter(F.col("_fold") != f), label, reg), p) for f in range(folds)]
-            out = parts[0]
-            for part in parts[1:]:
-                out = out.unionByName(part)
-            rows = stage(out.drop("_input"), "toxicity-fold")
-        seen.unpersist()
-        earlier.append(p)
-    return Chain(tuple(categories), tuple(models), dims)
+    truth = [f"_y{k}" for k in range(len(names))]
+    rows = docs.select(F.col(id).alias("_id"), F.col(text).cast("binary").alias("_text"))
+    rows = rows.join(F.broadcast(known), "_id")  # ``most`` rows of a few numbers
+    fold = F.pmod(F.xxhash64("_id", F.lit("fold")), F.lit(FOLDS)).cast("int").alias("fold")
+
+    def extracted(batches):
+        for b in batches:
+            for at, column in slices(b.column(0)):
+                numbers, counts = features(Texts(column))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(numbers, pa.int32()))
+                yield pa.RecordBatch.from_arrays([lists, *(c.slice(at, len(column)) for c in b.columns[1:])], names=["numbers", "fold", *truth])
+
+    schema = "numbers array<int>, fold int, " + ", ".join(f"{t} double" for t in truth)
+    sample = stage(rows.select("_text", fold, *truth).mapInArrow(extracted, schema), "toxicity-sample")
+    groups = sample.withColumn("left_out", F.explode(F.array(*(F.lit(f) for f in range(FOLDS + 1)))))
+    found: list[dict[int, np.ndarray]] = []
+    for k in range(len(names)):
+        models = groups.groupBy("left_out").applyInArrow(fitted(k, list(found)), "left_out int, weights binary").collect()  # FOLDS + 1 rows
+        nothing = fit(np.empty(0, np.int64), np.empty(0, np.int64), np.zeros((0, k)), np.empty(0))
+        found.append({f: nothing for f in range(FOLDS + 1)} | {r[0]: np.frombuffer(r[1]) for r in models})
+    return Chain(tuple(names), tuple(models[FOLDS] for models in found))
 
 
 def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     """The documents with a column ``p_<category>`` for every category; it replaces one of that name."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
-    out, names = featurized(rows, "_text", chain.dims), []
-    for name, model in zip(chain.categories, chain.models, strict=True):
-        out = chance(with_chances(out, names), model, f"_p_{name}").drop("_input")
-        names.append(f"_p_{name}")
-    new = [n[1:] for n in names]
-    return out.select(*(F.col("_row")[c].alias(c) for c in docs.columns if c not in new), *(F.col(f"_{n}").alias(n) for n in new))
+    names = [f"p_{c}" for c in chain.categories]
+    docs = docs.drop(*names)
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index(text)
+            parts = []
+            for _, column in slices(b.column(at).cast(pa.binary())):
+                numbers, counts = features(Texts(column))
+                chances = np.zeros((len(column), 0))
+                for weights in chain.weights:
+                    chances = np.column_stack([chances, logistic(margins(weights, numbers, counts, chances))])
+                parts.append(chances)
+            if parts:
+                for name, column in zip(names, np.concatenate(parts).T, strict=True):
+                    b = b.append_column(name, pa.array(column))
+                yield b
+
+    return docs.mapInArrow(run, docs.withColumns({n: F.lit(0.0) for n in names}).schema)
 
 
 def label_categories() -> dict[str, Column]:
