@@ -63,7 +63,8 @@ def from_low_bytes(data: np.ndarray) -> np.ndarray:
 
 def messages(rows: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int32(), pa.int64(), pa.string(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], NAMES)
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
 
 
 def bucket_count(docs: DataFrame, text: str) -> int:
@@ -111,7 +112,7 @@ def batch_messages(ids, hashes, owner, found, sizes, batch: int, buckets: int) -
     return rows
 
 
-def answered(key, table: pa.Table) -> pa.Table:
+def answered(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """The answers of one bucket: per batch the keys of at least two documents and how many have them."""
     about, payloads, batches = (table.column(n).to_pylist() for n in ("about", "payload", "batch"))
     rows = [(0, b, "docs", p) for a, p, b in zip(about, payloads, batches, strict=True) if a == "docs"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, hostgraph, packing, pii, secrets, toxicity, warc
+from . import collisions, decontaminate, hostgraph, jaccard, packing, pii, repeats, secrets, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,19 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op9_jaccard_join")
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
+@query("op5_collision_search")
+def op5_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op10_repeated_bytes")
+def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.remove(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

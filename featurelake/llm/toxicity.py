@@ -26,8 +26,8 @@ from .words import MARKS, Texts, mix, slices, substring_hashes
 STEM = 4
 BITS = 16
 #: Documents of at least this probability are rejected.
-REJECT = 0.5
-FOLDS, STEPS, RATE, DECAY = 3, 100, 0.1, 1e-4
+REJECT = 0.3
+FOLDS, STEPS, RATE, DECAY = 3, 300, 0.1, 1e-5
 #: Features take part if this many training rows have them and their share of class 1 is this many deviations off.
 LEAST_ROWS, LEAST_DEVIATIONS = 5, 6
 
