@@ -24,7 +24,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
@@ -97,8 +97,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(common * 100 >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-def linked(sets: DataFrame) -> DataFrame:
-    """Links (a, b) between classes that connect whatever is connected."""
+def rooted(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two tables (node, root): what pivots connect, and how the rest of the links connects those roots."""
     rows = sets.select("class", "n", "unshared", F.posexplode("prefix").alias("at", "key"))
     rows = rows.select("key", F.struct("class", "n", (F.col("at") + F.col("unshared")).alias("position")).alias("doc"))
     groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("pivot")).filter("size > 1")
@@ -116,7 +116,10 @@ def linked(sets: DataFrame) -> DataFrame:
     y = open_.select("key", F.col("doc").alias("y"), F.col("root").alias("root_y"), "main")
     met = x.join(y, "key").filter((F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("main")) | (F.col("x.class") < F.col("y.class"))))
     rest = promising(met.select("x", "y")).join(first, ["a", "b"], "left_anti")
-    return found.unionByName(stage(verified(stage(rest, "other-pairs"), sets), "other-links"))
+    more = stage(verified(stage(rest, "other-pairs"), sets), "other-links")
+    for c in ("a", "b"):
+        more = more.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+    return roots, components(more.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -135,11 +138,25 @@ def joined(docs: DataFrame, id: str, text: str) -> DataFrame:
     sets = members.select("doc_id", "text_hash", "class", "n", "keys", "prefix", "unshared", "parts")
     sets = sets.join(heads.select("head", F.col("class").alias("of")), own & (F.col("of") == F.col("class")), "left_semi")
     sets = stage(sets.drop("doc_id", "text_hash").dropDuplicates(["class"]), "class-sets")
-    roots = components(linked(sets))
-    named = heads.select("class", "least").join(roots.withColumnRenamed("node", "class"), "class", "left")
-    named = named.withColumn("root", F.coalesce("root", "class"))
+    named = heads.select("class", "least").withColumn("root", F.col("class"))
+    for roots in rooted(sets):
+        named = named.join(roots.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
+        named = named.select("class", "least", F.coalesce("next", "root").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stage(named.join(least, "root").select("class", "component_id"), "class-components")
     rows = profiles.select("doc_id", "text_hash", "n", "class").join(named, "class", "left")
     rows = rows.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def clean(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each component, all columns kept: the one with the least id, and of repeated rows any one.
+
+    Rows without an id stay unless they are linked to one with an id.
+    """
+    found = joined(docs, id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    rows = docs.withColumns({"__id": F.col(id).cast("long"), "__hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    first = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash"))).filter("__nth = 1")
+    same = F.col("a.__id").eqNullSafe(F.col("b._id")) & (F.col("a.__hash") == F.col("b._hash"))
+    return first.alias("a").join(kept.alias("b"), same, "left_semi").select(*(F.col(f"a.`{c}`") for c in docs.columns))

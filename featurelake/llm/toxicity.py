@@ -26,7 +26,7 @@ from .words import MARKS, Texts, mix, slices, substring_hashes
 STEM = 4
 BITS = 16
 #: Documents of at least this probability are rejected.
-REJECT = 0.3
+REJECT = 0.4
 FOLDS, STEPS, RATE, DECAY = 3, 300, 0.1, 1e-5
 #: Features take part if this many training rows have them and their share of class 1 is this many deviations off.
 LEAST_ROWS, LEAST_DEVIATIONS = 5, 6
@@ -103,7 +103,7 @@ def fitted(k: int, before: list[dict[int, np.ndarray]]):
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id: str = "doc_id", text: str = "text",
-          most: int = 6_000) -> Chain:
+          most: int = 10_000) -> Chain:
     """Fit the chain; ``categories`` maps each name, in order, to its 0/1 column of ``labels``.
 
     Rows whose categories are all known train, ``most`` of them at most. The models of the folds and the one of all rows
@@ -158,6 +158,12 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
     return docs.mapInArrow(run, docs.withColumns({n: F.lit(0.0) for n in names}).schema)
 
 
+def clean(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are not rejected, all columns kept."""
+    scored = score(docs, train(docs, labels, label_categories(), id=id, text=text), text)
+    return scored.filter(F.col("p_toxic") < REJECT).select(docs.columns)
+
+
 def label_categories() -> dict[str, Column]:
     """The categories of the ``labels`` table: poor text, then toxic text."""
     return {"poor": 1 - F.col("quality"), "toxic": F.col("toxic")}
