@@ -7,9 +7,10 @@
 3. Prefix shingles are joined. A pair passes the length filter, the positional filter (what can still follow the
    shared shingle in both) and the suffix filter (the sets are parted by hash, and parts overlap by the smaller one at
    most), is made once, and is verified by counting its common shingles.
-4. Only components are asked for, so pairs inside one component need not be looked at. First every document of a shingle meets
-   the least document of it; then documents of different components that still share a prefix shingle meet all the
-   others of it, the largest component of a shingle never within itself.
+4. Only components are asked for, so pairs inside one component need not be looked at. In rounds, every document of a
+   prefix shingle meets some documents of it, picked at random; a large group of near copies is connected by few such
+   rounds, each linear in its size. After the rounds, documents of different components that still share a
+   prefix shingle meet all the others of it, the largest component of a shingle never within itself.
 
 Words are what ASCII blanks part, with A-Z lower-cased. A text of fewer words than a shingle is one shingle of all its
 words; NULL and blank texts have none and link with nothing. Shingles are compared by 64-bit hashes. A document is known
@@ -34,6 +35,9 @@ from .words import Texts, shingles
 
 WIDTH, PERCENT = 5, 80
 PARTS = 16
+#: Documents of a shingle that all others meet, round by round; what is apart then is looked at in full. In the first
+#: round shingles of one family tend to pick the same document, so that few pairs arise.
+PICKED, FAMILIES = (1, 32, 128), 8
 
 PROFILE = ("doc_id long, text_hash long, n int, class binary, keys array<long>, prefix array<long>, unshared int, parts array<int>")
 
@@ -79,47 +83,69 @@ def needed(a: Column, b: Column) -> Column:
 
 
 def promising(pairs: DataFrame) -> DataFrame:
-    """Pairs (x, y: struct<class, n, position>) that pass the length and positional filters, each once, least class first."""
+    """Pairs (x, y: struct<class, n, position>, root_x, root_y) of different roots that pass the length and positional
+    filters, each once as (a, b, root_a, root_b), the roots in order."""
     x, y = F.col("x"), F.col("y")
     length = F.lit(100) * F.least(x["n"], y["n"]) >= F.lit(PERCENT) * F.greatest(x["n"], y["n"])
     position = F.least(x["n"] - x["position"], y["n"] - y["position"]) >= needed(x["n"], y["n"])
-    out = pairs.filter((x["class"] != y["class"]) & length & position)
-    return out.select(F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b")).distinct()
+    out = pairs.filter((F.col("root_x") != F.col("root_y")) & length & position)
+    return out.select(
+        F.least(x["class"], y["class"]).alias("a"), F.greatest(x["class"], y["class"]).alias("b"),
+        F.least("root_x", "root_y").alias("root_a"), F.greatest("root_x", "root_y").alias("root_b")).distinct()
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that pass the suffix filter and are linked; ``sets`` has class, n, parts and keys."""
+    """The roots (root_a, root_b) of the pairs that pass the suffix filter and are linked; ``sets`` has class, n, parts and keys."""
     named = lambda c: sets.select(F.col("class").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "parts", "keys")))
     both = pairs.join(named("b"), "b").join(named("a"), "a")
     most = F.aggregate(F.zip_with("parts_a", "parts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda acc, v: acc + v)
     common = F.size(F.array_intersect("keys_a", "keys_b"))
     both = both.filter(most >= needed(F.col("n_a"), F.col("n_b")))
-    return both.filter(common * 100 >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+    return both.filter(common * 100 >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("root_a", "root_b")
 
 
-def rooted(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two tables (node, root): what pivots connect, and how the rest of the links connects those roots."""
+def rooted(sets: DataFrame) -> list[DataFrame]:
+    """Tables (node, root) that, one after the other, lead from each class to the least class that links reach."""
     rows = sets.select("class", "n", "unshared", F.posexplode("prefix").alias("at", "key"))
     rows = rows.select("key", F.struct("class", "n", (F.col("at") + F.col("unshared")).alias("position")).alias("doc"))
-    groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc").alias("pivot")).filter("size > 1")
-    postings = stage(rows.join(groups, "key").select("key", "doc", "pivot"), "postings")
-    first = stage(promising(postings.select(F.col("doc").alias("x"), F.col("pivot").alias("y"))), "pivot-pairs")
-    found = stage(verified(first, sets), "pivot-links")
-    roots = components(found)
-    labelled = postings.select("key", "doc", F.col("doc.class").alias("node")).join(roots, "node", "left")
-    labelled = stage(labelled.select("key", "doc", F.coalesce("root", "node").alias("root")), "labelled-postings")
-    sizes = labelled.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    several = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
+    postings = stage(rows.join(several, "key").select("key", "doc", F.col("doc.class").alias("root")), "postings")
+    tried, steps = [], []
+    for k, slots in enumerate(PICKED):
+        # every document of a shingle meets some of them, picked at random: one in each slot
+        slot = F.pmod(F.xxhash64("doc.class", F.lit(k)), F.lit(slots)).alias("slot")
+        chance = F.xxhash64("doc.class", F.pmod("key", F.lit(FAMILIES)), F.lit(k))
+        parted = postings.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b").select("key")
+        postings = postings.join(parted, "key")
+        picked = postings.groupBy("key", slot).agg(F.min_by(F.struct("doc", "root"), chance).alias("pivot"))
+        met = postings.join(picked, "key").select(
+            F.col("doc").alias("x"), F.col("root").alias("root_x"), F.col("pivot.doc").alias("y"), F.col("pivot.root").alias("root_y"))
+        pairs = without(promising(met), tried)
+        tried.append(stage(pairs, "pairs"))
+        links = stage(verified(tried[-1], sets), "links")
+        if links.isEmpty():
+            break
+        steps.append(components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
+        next_ = steps[-1].select(F.col("node").alias("root"), F.col("root").alias("next"))
+        postings = postings.join(next_, "root", "left").select("key", "doc", F.coalesce("next", "root").alias("root"))
+        postings = stage(postings, "postings")
+    sizes = postings.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
     parted = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
     parted = stage(parted.filter("roots > 1").select("key", F.col("main.root").alias("main")), "parted-keys")
-    open_ = labelled.join(parted, "key")
+    open_ = postings.join(parted, "key")
     x = open_.filter("root != main").select("key", F.col("doc").alias("x"), F.col("root").alias("root_x"))
     y = open_.select("key", F.col("doc").alias("y"), F.col("root").alias("root_y"), "main")
-    met = x.join(y, "key").filter((F.col("root_x") != F.col("root_y")) & ((F.col("root_y") == F.col("main")) | (F.col("x.class") < F.col("y.class"))))
-    rest = promising(met.select("x", "y")).join(first, ["a", "b"], "left_anti")
-    more = stage(verified(stage(rest, "other-pairs"), sets), "other-links")
-    for c in ("a", "b"):
-        more = more.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
-    return roots, components(more.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")))
+    met = x.join(y, "key").filter((F.col("root_y") == F.col("main")) | (F.col("x.class") < F.col("y.class")))
+    rest = stage(without(promising(met), tried), "other-pairs")
+    links = stage(verified(rest, sets), "other-links")
+    return [*steps, components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))]
+
+
+def without(pairs: DataFrame, tried: list[DataFrame]) -> DataFrame:
+    """The pairs that have not been verified before."""
+    for before in tried:
+        pairs = pairs.join(before, ["a", "b"], "left_anti")
+    return pairs
 
 
 def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
