@@ -1,8 +1,8 @@
 """Removal of byte strings that an earlier document has, with a collection Burrows-Wheeler transform per share of the text.
 
-Every 50-byte string is named by the least hash of its 16-byte substrings, so equal strings have equal names wherever
+Every 50-byte string is named by the least hash of its 24-byte substrings, so equal strings have equal names wherever
 they stand. Names that several documents have (``postings``) select the text that takes part; its strings of one name are
-runs, cut into pieces of at most 84 bytes, and the pieces of all documents meet in the bucket of their name. A bucket builds the
+runs, cut into pieces of at most 76 bytes, and the pieces of all documents meet in the bucket of their name. A bucket builds the
 transform of its different pieces with the common prefixes of their sorted suffixes (``bwt``); suffixes that share 50
 bytes are one string, and it is removed in every document but those of its least id. Buckets are bounded by bytes of text,
 and equal pieces enter the transform once, so a passage of a third of all documents is one piece there.
@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 
 from .bwt import common_windows
 from .common import stage
-from .postings import LOW, MESSAGE, Answers, bucket_count, keyed, messages, parts, shared_keys, unpacked
+from .postings import LOW, MESSAGE, Answers, bucket_count, from_low_bytes, keyed, low_bytes, messages, parts, shared_keys, unpacked
 from .words import Texts, mix, powers, slices, substring_hashes
 
-WIDTH, SEED = 50, 16
+WIDTH, SEED = 50, 24
 MOST_WINDOWS = WIDTH - SEED + 1
 
 
@@ -47,7 +47,7 @@ def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     counts = np.maximum(texts.ends - texts.starts - WIDTH + 1, 0)
     owner = np.repeat(np.arange(len(counts)), counts)
     place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    name = least[place + texts.starts[owner]]
+    name = mix(least[place + texts.starts[owner]] ^ np.uint64(WIDTH))  # least hashes are small: spread them again
     if not len(owner):
         return empty, empty, empty, name
     new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])]))
@@ -95,13 +95,13 @@ def piece_messages(ids, hashes, names: pa.ListArray, texts: Texts, batch: int, b
     taken = np.zeros(len(owner), bool)
     for i in range(len(ids)):
         taken[first[i] : first[i + 1]] = np.isin(name[first[i] : first[i + 1]], names[i].values.to_numpy())
-    owner, start, windows, to = owner[taken], start[taken], windows[taken], to[taken].astype(np.int64)
+    owner, start, windows, to, name = owner[taken], start[taken], windows[taken], to[taken].astype(np.int64), name[taken]
     many = -(-windows // MOST_WINDOWS)  # text of a short period has one name for long
     part = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    owner, start, windows, to = (np.repeat(x, many) for x in (owner, start, windows, to))
+    owner, start, windows, to, name = (np.repeat(x, many) for x in (owner, start, windows, to, name))
     start, windows = start + part * MOST_WINDOWS, np.minimum(windows - part * MOST_WINDOWS, MOST_WINDOWS)
     order = np.argsort(to, kind="stable")
-    owner, start, windows, to = owner[order], start[order], windows[order], to[order]
+    owner, start, windows, to, name = (x[order] for x in (owner, start, windows, to, name))
     rows = [(batch % buckets, batch, "docs", parts(ids.astype(np.int64), hashes.astype(np.int64), to.astype(np.int32), owner.astype(np.int32), start.astype(np.int64), windows.astype(np.uint8)))]
     lengths = windows + WIDTH - 1
     begun = start + texts.starts[owner]
@@ -109,26 +109,32 @@ def piece_messages(ids, hashes, names: pa.ListArray, texts: Texts, batch: int, b
     for a, z in zip(edges[:-1], edges[1:], strict=True):
         ends = np.cumsum(lengths[a:z])
         places = np.repeat(begun[a:z] - ends + lengths[a:z], lengths[a:z]) + np.arange(ends[-1])
-        rows.append((int(to[a]), batch, "keys", parts(ids[owner[a:z]].astype(np.int64), windows[a:z].astype(np.uint8), texts.bytes[places])))
+        rows.append((int(to[a]), batch, "keys", parts(ids[owner[a:z]].astype(np.int64), windows[a:z].astype(np.uint8), low_bytes(name[a:z]), texts.bytes[places])))
     return rows
 
 
-def later(docs: np.ndarray, windows: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """For every window of every piece, whether a document with a smaller id has its string."""
+def later(docs: np.ndarray, windows: np.ndarray, names: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """For every window of every piece, whether a document with a smaller id has its string.
+
+    Equal pieces are one string of the collection, with the least of their ids. A piece whose name no other piece has
+    shares no window with any, so only the others enter the transform.
+    """
     lengths = windows.astype(np.int64) + WIDTH - 1
     ends = np.cumsum(lengths)
     texts = Texts(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(np.concatenate([[0], ends])), pa.py_buffer(data)]))
-    names, first, which = np.unique(substring_hashes(texts.sums(fold=False), ends - lengths, ends), return_index=True, return_inverse=True)
-    least = np.full(len(names), np.iinfo(np.int64).max)
+    _, first, which = np.unique(substring_hashes(texts.sums(fold=False), ends - lengths, ends), return_index=True, return_inverse=True)
+    least = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(least, which, docs)
-    string, place, group = common_windows(data, (ends - lengths)[first], lengths[first], WIDTH)
-    lowest = np.full(group.max() + 1, np.iinfo(np.int64).max)
-    np.minimum.at(lowest, group, least[string])
+    _, of_name, several = np.unique(names[first], return_inverse=True, return_counts=True)
     counts = windows.astype(np.int64)
-    of_name = counts[first]
-    offset = np.cumsum(of_name) - of_name
-    by_window = np.empty(of_name.sum(), np.int64)
-    by_window[offset[string] + place] = lowest[group]
+    offset = np.cumsum(counts[first]) - counts[first]
+    by_window = np.repeat(least, counts[first])
+    compared = np.flatnonzero(several[of_name] > 1)
+    if len(compared):
+        string, place, group = common_windows(data, (ends - lengths)[first[compared]], lengths[first[compared]], WIDTH)
+        lowest = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(lowest, group, least[compared[string]])
+        by_window[offset[compared[string]] + place] = lowest[group]
     here = np.repeat(offset[which] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     return by_window[here] < np.repeat(docs, counts)
 
@@ -140,11 +146,12 @@ def judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         if about == "docs":
             rows.append((0, batch, about, payload))
         else:
-            asked.append((batch, *unpacked(payload, "i8", "u1", "u1")))
+            ids, windows, names, data = unpacked(payload, "i8", "u1", "u1", "u1")
+            asked.append((batch, ids, windows, from_low_bytes(names), data))
     if asked:
-        found = later(*(np.concatenate([x[k] for x in asked]) for k in (1, 2, 3)))
+        found = later(*(np.concatenate([x[k] for x in asked]) for k in (1, 2, 3, 4)))
         at = 0
-        for batch, _, windows, _ in asked:
+        for batch, _, windows, _, _ in asked:
             n = int(windows.sum(dtype=np.int64))
             rows.append((key[0].as_py(), batch, "keys", np.packbits(found[at : at + n]).tobytes()))
             at += n

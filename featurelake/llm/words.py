@@ -17,7 +17,7 @@ BLANKS = bytes([0x20, *range(0x09, 0x0E)])
 #: Everything in ASCII but letters and digits.
 MARKS = bytes(c for c in range(128) if not chr(c).isalnum())
 #: Bytes of text that are treated together.
-BATCH = 2_000_000
+BATCH = 1_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
