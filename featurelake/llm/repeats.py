@@ -27,6 +27,7 @@ from .words import Texts, mix, powers, slices, substring_hashes
 
 WIDTH, SEED = 50, 24
 MOST_WINDOWS = WIDTH - SEED + 1
+NO_ID = -(1 << 63)  # stands for NULL
 
 
 def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -36,7 +37,7 @@ def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     if n < WIDTH:
         return empty, empty, empty, np.empty(0, np.uint64)
     sums = texts.sums(fold=False)
-    least = mix((sums[SEED:] - sums[:-SEED]) * powers(n + 1, True)[: n - SEED + 1])
+    least = (sums[SEED:] - sums[:-SEED]) * powers(n + 1, True)[: n - SEED + 1]
     del sums
     span = 1
     while 2 * span <= MOST_WINDOWS:
@@ -74,7 +75,7 @@ def shared_names(batch: Answers) -> pa.Table:
 
 
 def pieces_sent(docs: DataFrame, buckets: int) -> DataFrame:
-    """Messages of all batches of ``docs`` (doc_id, text_hash, text, names): per bucket its pieces, and where they stood."""
+    """Messages of all batches of ``docs`` (doc_key, text_hash, text, names): per bucket its pieces, and where they stood."""
 
     def run(batches):
         made = 0
@@ -84,7 +85,7 @@ def pieces_sent(docs: DataFrame, buckets: int) -> DataFrame:
                 yield messages(piece_messages(ids.to_numpy(), hashes.to_numpy(), names, Texts(column), made | TaskContext.get().partitionId() << 32, buckets))
                 made += 1
 
-    return docs.select("doc_id", "text_hash", "text", "names").mapInArrow(run, MESSAGE)
+    return docs.select("doc_key", "text_hash", "text", "names").mapInArrow(run, MESSAGE)
 
 
 def piece_messages(ids, hashes, names: pa.ListArray, texts: Texts, batch: int, buckets: int) -> list[tuple]:
@@ -102,10 +103,12 @@ def piece_messages(ids, hashes, names: pa.ListArray, texts: Texts, batch: int, b
     start, windows = start + part * MOST_WINDOWS, np.minimum(windows - part * MOST_WINDOWS, MOST_WINDOWS)
     order = np.argsort(to, kind="stable")
     owner, start, windows, to, name = (x[order] for x in (owner, start, windows, to, name))
-    rows = [(batch % buckets, batch, "docs", parts(ids.astype(np.int64), hashes.astype(np.int64), to.astype(np.int32), owner.astype(np.int32), start.astype(np.int64), windows.astype(np.uint8)))]
+    edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, np.int64)
+    own = parts(ids.astype(np.int64), hashes.astype(np.int64), to[edges[:-1]].astype(np.int32), np.diff(edges).astype(np.int32),
+                owner.astype(np.int32), start.astype(np.int32), windows.astype(np.uint8))
+    rows = [(batch % buckets, batch, "docs", own)]
     lengths = windows + WIDTH - 1
     begun = start + texts.starts[owner]
-    edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else []
     for a, z in zip(edges[:-1], edges[1:], strict=True):
         ends = np.cumsum(lengths[a:z])
         places = np.repeat(begun[a:z] - ends + lengths[a:z], lengths[a:z]) + np.arange(ends[-1])
@@ -158,7 +161,7 @@ def judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([messages(rows)])
 
 
-SPANS = "doc_id long, text_hash long, starts array<long>, ends array<long>"
+SPANS = "doc_key long, text_hash long, starts array<long>, ends array<long>"
 
 
 def spans(table: pa.Table) -> pa.Table:
@@ -169,43 +172,45 @@ def spans(table: pa.Table) -> pa.Table:
             own = payload
         else:
             bits[bucket] = np.unpackbits(np.frombuffer(payload, np.uint8))
-    ids, hashes, to, owner, start, windows = unpacked(own, "i8", "i8", "i4", "i4", "i8", "u1")
+    ids, hashes, to, pieces, owner, start, windows = unpacked(own, "i8", "i8", "i4", "i4", "i4", "i4", "u1")
     counts = windows.astype(np.int64)
-    edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, np.int64)
-    lost = [bits[int(to[a])][: counts[a:z].sum()] for a, z in zip(edges[:-1], edges[1:], strict=True)]
+    edges = np.concatenate([[0], np.cumsum(pieces)])
+    lost = [bits[b][: counts[a:z].sum()] for b, a, z in zip(to.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
     lost = np.concatenate(lost).astype(bool) if lost else np.empty(0, bool)
-    place = np.repeat(start - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+    place = np.repeat(start.astype(np.int64) - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
     owner, place = np.repeat(owner, counts)[lost], place[lost]
     order = np.lexsort((place, owner))
     owner, place = owner[order], place[order]
     if not len(owner):
-        return pa.table({"doc_id": pa.array([], pa.int64()), "text_hash": pa.array([], pa.int64()), "starts": pa.array([], pa.list_(pa.int64())), "ends": pa.array([], pa.list_(pa.int64()))})
+        return pa.table({"doc_key": pa.array([], pa.int64()), "text_hash": pa.array([], pa.int64()), "starts": pa.array([], pa.list_(pa.int64())), "ends": pa.array([], pa.list_(pa.int64()))})
     apart = (owner[1:] != owner[:-1]) | (place[1:] > place[:-1] + WIDTH)
     first, last = np.concatenate([[True], apart]), np.concatenate([apart, [True]])
     per_doc = np.bincount(owner[first], minlength=len(ids))
     some = np.flatnonzero(per_doc)
     offsets = pa.array(np.concatenate([[0], np.cumsum(per_doc[some])]), pa.int32())
     return pa.table({
-        "doc_id": ids[some], "text_hash": hashes[some], "starts": pa.ListArray.from_arrays(offsets, pa.array(place[first])),
+        "doc_key": ids[some], "text_hash": hashes[some], "starts": pa.ListArray.from_arrays(offsets, pa.array(place[first])),
         "ends": pa.ListArray.from_arrays(offsets, pa.array(place[last] + WIDTH))})
 
 
-def find(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, starts, ends): the byte spans that each document loses; documents that lose none are absent."""
-    rows = keyed(docs, id, text)
-    known = rows.filter("doc_id IS NOT NULL")
+def found(rows: DataFrame) -> DataFrame:
+    """(doc_key, text_hash, starts, ends): the byte spans that rows (doc_key, text_hash, text) lose, if any."""
+    known = rows.filter(F.col("doc_key") != NO_ID).withColumnRenamed("doc_key", "doc_id")
     buckets = bucket_count(known, "text")
     names = shared_keys(known, distinct_names, shared_names, "doc_id long, text_hash long, names array<long>")
-    names = stage(names.dropDuplicates(["doc_id", "text_hash"]), "shared-names")
-    asked = pieces_sent(known.join(names, ["doc_id", "text_hash"]), buckets)
+    names = stage(names.dropDuplicates(["doc_id", "text_hash"]).withColumnRenamed("doc_id", "doc_key"), "shared-names")
+    asked = pieces_sent(rows.join(names, ["doc_key", "text_hash"]), buckets)
     answers = asked.groupBy("bucket").applyInArrow(judged, MESSAGE)
-    found = answers.groupBy("batch").applyInArrow(spans, SPANS)
-    return stage(found.dropDuplicates(["doc_id", "text_hash"]), "repeated-spans")
+    return answers.groupBy("batch").applyInArrow(spans, SPANS).dropDuplicates(["doc_key", "text_hash"])
 
 
 def remove(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the bytes that stay, in order."""
-    rows, found = keyed(docs, id, text), find(docs, id, text)
+    """(doc_id, n_bytes, n_removed, n_spans, kept) of every row; ``kept`` are the bytes that stay, in order.
+
+    The texts are joined twice on the same keys, which are never NULL, so that one shuffle of them serves both.
+    """
+    rows = keyed(docs, id, text)
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_key"), "text_hash", "text")
 
     def run(batches):
         for b in batches:
@@ -217,5 +222,6 @@ def remove(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    both = rows.join(found, ["doc_id", "text_hash"], "left").select("doc_id", F.col("text").cast("binary"), "starts", "ends")
+    both = rows.join(found(rows), ["doc_key", "text_hash"], "left")
+    both = both.select(F.nullif("doc_key", F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary"), "starts", "ends")
     return both.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
