@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .columns import as_list
 
+# Names of calendar parts.
 CALENDAR = {
     "year": F.year,
     "month": F.month,
@@ -56,14 +57,14 @@ def ratio_features(df: DataFrame, numerator_denominator_pairs, fill_value: float
 
 
 def clip(col: Column | str, lower=None, upper=None) -> Column:
-    """Bounded value; NULL stays NULL (greatest and least would skip it)."""
+    """Bounded value; NULL and NaN stay (greatest and least would skip the one and take the other for the largest)."""
     c = F.col(col) if isinstance(col, str) else col
     bounded = c
     if lower is not None:
         bounded = F.greatest(bounded, F.lit(lower))
     if upper is not None:
         bounded = F.least(bounded, F.lit(upper))
-    return F.when(c.isNotNull(), bounded)
+    return F.when(F.isnan(c.cast("double")), c).when(c.isNotNull(), bounded)
 
 
 def signed_error(prediction: str, label: str) -> Column:

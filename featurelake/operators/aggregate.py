@@ -26,15 +26,16 @@ AGGREGATES = {
 }
 
 
-def _one(column: str, fn: str, order) -> Column:
+def _one(df: DataFrame, column: str, fn: str, order) -> Column:
+    value = measured(df, column)
     if fn in ("first", "last"):
         if not order:
             raise ValueError(f"{fn} needs order_by: rows of a table have no order")
-        at = F.when(F.col(column).isNotNull(), F.struct(*order))
-        return (F.min_by if fn == "first" else F.max_by)(column, at)
+        at = F.when(value.isNotNull(), F.struct(*order))
+        return (F.min_by if fn == "first" else F.max_by)(value, at)
     if fn not in AGGREGATES:
         raise ValueError(f"unknown aggregate {fn!r}")
-    return AGGREGATES[fn](column)
+    return AGGREGATES[fn](value)
 
 
 def aggregate(
@@ -47,7 +48,7 @@ def aggregate(
 ) -> DataFrame:
     """Grouped aggregation with columns named ``{column}_{function}``.
 
-    All functions but the median combine on the map side. Medians are exact: groups too large for
+    NaN counts as missing. All functions but the median combine on the map side. Medians are exact: groups too large for
     one buffer are ranked by counted values instead.
     """
     keys, order = as_list(group_columns), as_list(order_by)
@@ -61,7 +62,7 @@ def aggregate(
             if fn == "median":
                 medians[column] = {name: 0.5}
             else:
-                plain.append(_one(column, fn, order).alias(name))
+                plain.append(_one(df, column, fn, order).alias(name))
     if not medians:
         return df.groupBy(*keys).agg(*plain)
     middle = group_quantiles(df, keys, medians, hot_rows)
@@ -82,7 +83,7 @@ def group_features(
     keys = as_list(group_columns)
     stats = df.groupBy(*keys).agg(
         *[
-            AGGREGATES[fn](c).alias(f"{c}_grp_{fn}")
+            AGGREGATES[fn](measured(df, c)).alias(f"{c}_grp_{fn}")
             for c in as_list(value_columns)
             for fn in as_list(aggregations)
             if fn in AGGREGATES

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import as_list, numeric_columns, text_columns
+from ..functions.columns import as_list, measured, numeric_columns, text_columns
 from ..functions.skew import HOT_ROWS
 from .aggregate import correlation_with_target, variances
 from .series import windowed
@@ -31,7 +31,7 @@ def rolling_features(
 ) -> DataFrame:
     """Add ``{column}_w{n}_{function}`` over the current row and the n-1 rows before it.
 
-    All frames share one partitioning and order, so Spark sorts once whatever their number.
+    NaN counts as missing. All frames share one partitioning and order, so Spark sorts once whatever their number.
     """
     sizes = [window_sizes] if isinstance(window_sizes, int) else list(window_sizes)
     values = as_list(value_columns)
@@ -39,7 +39,7 @@ def rolling_features(
 
     def build(w):
         return {
-            f"{c}_w{n}_{fn}": ROLLING[fn](c).over(w.rowsBetween(-(n - 1), 0))
+            f"{c}_w{n}_{fn}": ROLLING[fn](measured(df, c)).over(w.rowsBetween(-(n - 1), 0))
             for n in sizes
             for c in values
             for fn in fns

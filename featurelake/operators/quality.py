@@ -48,14 +48,14 @@ def not_null(column: str, max_null_fraction: float = 0.0, severity: str = CRITIC
 def in_range(
     column: str, min_value=None, max_value=None, max_out_of_range_fraction: float = 0.0, severity: str = WARNING
 ) -> Rule:
-    """Inclusive bounds; NULL is never outside but counts in the denominator."""
+    """Inclusive bounds; NULL and NaN are never outside but count in the denominator."""
 
     def bad(df, _):
         outside = [F.lit(False)]
         if min_value is not None:
-            outside.append(F.col(column) < min_value)
+            outside.append(measured(df, column) < min_value)
         if max_value is not None:
-            outside.append(F.col(column) > max_value)
+            outside.append(measured(df, column) > max_value)
         return F.count_if(any_of(outside))
 
     return Rule(

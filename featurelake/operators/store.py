@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import all_of, as_list, present
 from ..functions.scalars import fingerprint_columns
-from ..functions.skew import HOT_ROWS
+from ..functions.skew import HOT_ROWS, group_attach, hashable, spread
 from .aggregate import version_diff
 from .joins import FeatureView, training_set
 
@@ -186,8 +186,7 @@ class FeatureStore:
         before = self._latest(name)
         if mode == "overwrite" or before is None:
             return self._write(df, name, mode, partition_columns, epoch_id=epoch_id)
-        old = T.StructType.fromJson(json.loads(before["schema_json"]))
-        df = df.select(*[F.col(f.name).cast(f.dataType) for f in old])
+        df = appended(df, T.StructType.fromJson(json.loads(before["schema_json"])))
         return self._write(df, name, mode, before["partition_columns"], before["folders"], epoch_id)
 
     def _latest(self, name: str):
@@ -233,8 +232,18 @@ class FeatureStore:
     def compact(self, name: str, num_files: int = 16) -> VersionInfo:
         """Rewrite the latest version into about ``num_files`` files, as a new version."""
         before = self._version_row(name)
-        df = self._load(name, before).repartition(num_files)
-        return self._write(df, name, "compact", before["partition_columns"])
+        df, parts = self._load(name, before), before["partition_columns"]
+        if parts:  # files per partition value in proportion to its bytes, one at least
+            total = max(1, sum(f["bytes"] for f in before["folders"]))
+            per_file = max(1, -(-total // num_files))
+            size = F.max("_metadata.file_size").alias("bytes")
+            sizes = df.groupBy(*parts, "_metadata.file_path").agg(size).groupBy(*parts).agg(
+                F.greatest(F.lit(1), F.round(F.sum("bytes") / per_file)).cast("int").alias("__files"))
+            df = group_attach(df, sizes, parts)
+            df = df.withColumn("__file", F.pmod(spread(hashable(df)), F.col("__files"))).repartition(*parts, "__file").drop("__files", "__file")
+        else:
+            df = df.repartition(num_files)
+        return self._write(df, name, "compact", parts)
 
     # --- use --------------------------------------------------------------------------------
 
@@ -263,6 +272,16 @@ class FeatureStore:
         return training_set(entities, views, entity_key, event_timestamp_column, hot_rows)
 
 
+def appended(df: DataFrame, old: T.StructType) -> DataFrame:
+    """The frame in the old column order; columns it lacks are NULL, new ones come last, another type raises."""
+    have = {f.name: f.dataType for f in df.schema}
+    other = [f"{f.name}: {have[f.name].simpleString()} for {f.dataType.simpleString()}" for f in old if have.get(f.name, f.dataType) != f.dataType]
+    if other:
+        raise ValueError(f"an append cannot change types: {', '.join(other)}")
+    kept = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in old]
+    return df.select(*kept, *[c for c in df.columns if c not in old.names])
+
+
 def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
     """Target rows without a counterpart, plus the source; columns by name, missing ones NULL."""
     keys = as_list(keys)

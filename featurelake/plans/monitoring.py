@@ -91,7 +91,9 @@ def metrics_summary(spark, d):
 
 @query(
     "record_metrics",
-    "SELECT 'data_volume' AS type, 'data_' || event_type || '_rows' AS metric_name, count(*)::DOUBLE AS value FROM events GROUP BY event_type",
+    """SELECT 'data_volume' AS type, 'data_' || event_type || '_' || field AS metric_name, max(value)::DOUBLE AS value
+       FROM (SELECT event_type, unnest(['rows', 'columns', 'bytes']) AS field, unnest([count(*), 0, 0]) AS value FROM events GROUP BY event_type)
+       GROUP BY event_type, field""",
 )
 def record_metrics(spark, d):
     """One volume row per stage, appended twice over (half of the stages each) and read back."""
@@ -99,5 +101,4 @@ def record_metrics(spark, d):
     counts = [r for r in table(spark, d, "events").groupBy("event_type").count().collect()]  # one row per stage
     for part in (counts[::2], counts[1::2]):
         monitor.record(spark, path, [row for r in part for row in monitor.volume_rows(r["event_type"], r["count"])])
-    return spark.read.schema(monitor.METRICS).parquet(path).filter("metric_name LIKE '%rows'").select(
-        "type", "metric_name", "value")
+    return spark.read.schema(monitor.METRICS).parquet(path).select("type", "metric_name", "value")

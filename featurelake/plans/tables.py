@@ -210,10 +210,10 @@ def schema_enforce(spark, d):
     return batch.enforce_schema(table(spark, d, "customer"), expected)
 
 
-@query("table_metadata", "SELECT count(*) AS row_count, true AS has_bytes FROM lineitem")
+@query("table_metadata", "SELECT count(*) AS row_count, true AS has_files, true AS has_bytes FROM lineitem")
 def table_metadata(spark, d):
-    meta = batch.table_metadata(table(spark, d, "lineitem"))
-    return meta.select("row_count", (F.col("size_bytes") > 0).alias("has_bytes"))
+    meta = batch.table_metadata(table(spark, d, "lineitem"), rows=True)
+    return meta.select("row_count", (F.col("file_count") > 0).alias("has_files"), (F.col("size_bytes") > F.col("file_count")).alias("has_bytes"))
 
 
 @query("load_audit", "SELECT 'append' AS operation, count(*) AS record_count FROM events")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="featurelake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

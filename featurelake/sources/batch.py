@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,16 +88,15 @@ def enforce_schema(df: DataFrame, expected: T.StructType, strict: bool = False)
     return df.select(*out)
 
 
-def table_metadata(df: DataFrame) -> DataFrame:
-    """Files and bytes behind a file-based frame, as one row; no data column is read."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(
-        F.max("file_size").alias("size"), F.count(F.lit(1)).alias("rows")
-    )
-    return files.agg(
-        F.count(F.lit(1)).alias("file_count"),
-        F.coalesce(F.sum("size"), F.lit(0)).alias("size_bytes"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"),
-    )
+def table_metadata(df: DataFrame, rows: bool = False) -> DataFrame:
+    """Files and bytes behind a file-based frame, as one row, from a listing of its files.
+
+    ``rows`` adds ``row_count``, which reads no data column but visits every file.
+    """
+    spark, paths = df.sparkSession, [unquote(p) for p in df.inputFiles()]
+    files = spark.read.format("binaryFile").load(paths).select("length") if paths else spark.range(0).select(F.col("id").alias("length"))
+    out = files.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("length"), F.lit(0)).alias("size_bytes"))
+    return out.withColumn("row_count", df.agg(F.count(F.lit(1))).scalar()) if rows else out
 
 
 def column_types(df: DataFrame) -> dict[str, str]:
@@ -117,7 +117,7 @@ def write_audited(
     load = f"load-{uuid.uuid4().hex}"
     parts = ["_load", *as_list(partition_columns)]
     df.withColumn("_load", F.lit(load)).write.mode(mode).partitionBy(*parts).parquet(path)
-    rows = df.sparkSession.read.parquet(path).filter(F.col("_load") == load).count()
+    rows = df.sparkSession.read.schema(df.schema).parquet(f"{path}/_load={load}").count()
     append_audit(df.sparkSession, audit_path, path, mode, rows, {"source": source or "", "load": load})
     return rows
 

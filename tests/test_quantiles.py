@@ -1,4 +1,4 @@
-"""Exact quantiles against numpy, with the buffer limit forced low."""
+"""Exact quantiles against numpy, with few and many buckets."""
 
 import random
 
@@ -16,8 +16,8 @@ def frame(spark, values):
     return spark.createDataFrame([(v,) for v in values], "x double").repartition(3)
 
 
-@pytest.mark.parametrize("limit", [1, 5, 50_000])
-@pytest.mark.parametrize("kind", ["spread", "copies", "two", "one"])
+@pytest.mark.parametrize("limit", [2, 5, 4096])
+@pytest.mark.parametrize("kind", ["spread", "copies", "two", "one", "tails", "infinite"])
 def test_against_numpy(spark, kind, limit):
     rng = random.Random(kind)
     values = {
@@ -25,9 +25,15 @@ def test_against_numpy(spark, kind, limit):
         "copies": [7.5] * 1500 + [rng.gauss(0, 100) for _ in range(1501)],
         "two": [1.0] * 700 + [2.0] * 701,
         "one": [4.0],
+        "tails": [rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300) for _ in range(1000)],
+        "infinite": [float("-inf")] * 40 + [rng.gauss(0, 1) for _ in range(920)] + [float("inf")] * 41,
     }[kind]
-    got = q.quantiles(frame(spark, values), {"x": PS}, max_rows=limit)["x"]
-    assert got == pytest.approx(list(np.quantile(values, PS)), rel=1e-12)
+    got = q.quantiles(frame(spark, values), {"x": PS}, buckets=limit)["x"]
+    ordered = sorted(values)
+    spots = [q.sample_position(len(values), p) for p in PS]
+    assert got == [q.between(ordered[a], ordered[b], share) for a, b, share in spots]  # to the last digit
+    if kind != "infinite":
+        assert got == pytest.approx(list(np.quantile(values, PS)), rel=1e-12)
 
 
 def test_null_nan_and_empty(spark):
@@ -43,9 +49,9 @@ def test_approx(spark):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.integers(-4, 4), min_size=1, max_size=80), st.integers(1, 4))
+@given(st.lists(st.integers(-4, 4), min_size=1, max_size=80), st.integers(2, 4))
 def test_any_data(spark, values, limit):
-    got = q.quantiles(frame(spark, [float(v) for v in values]), {"x": PS}, max_rows=limit)["x"]
+    got = q.quantiles(frame(spark, [float(v) for v in values]), {"x": PS}, buckets=limit)["x"]
     assert got == pytest.approx(list(np.quantile(values, PS)), rel=1e-9, abs=1e-9)
 
 
@@ -55,5 +61,5 @@ def test_order_values(spark):
     ranks = {("x", r): r for r in (0, 1, 999, 1998, 1999)}
     from pyspark.sql import functions as F
 
-    found = q.order_values(df, {"x": F.col("x")}, ranks, {"x": 2000}, max_rows=2)
+    found = q.order_values(df, {"x": F.col("x")}, ranks, buckets=2)
     assert [found[k] for k in ranks] == [float(sorted(values)[r]) for r in ranks.values()]

@@ -198,13 +198,12 @@ def test_group_median_pieces(spark):
     assert rows(aggregate.aggregate(df, *args, hot_rows=10)) == rows(aggregate.aggregate(df, *args, hot_rows=None))
 
 
-def test_large_dictionary(spark, monkeypatch):
+def test_dictionary_codes(spark):
     df = spark.range(500).select(F.concat(F.lit("v"), (F.col("id") % 90).cast("string")).alias("c"))
-    plain = rows(encoding.fit_codes(df, "c"))
-    by_count = rows(encoding.fit_codes(df, "c", by_frequency=True))
-    monkeypatch.setattr(encoding, "SMALL_DICTIONARY", 10)
-    assert rows(encoding.fit_codes(df, "c")) == plain
-    assert rows(encoding.fit_codes(df, "c", by_frequency=True)) == by_count
+    counts = {f"v{k}": len(range(k, 500, 90)) for k in range(90)}
+    for by_frequency, order in ((False, sorted(counts)), (True, sorted(counts, key=lambda v: (-counts[v], v)))):
+        expected = sorted((v, i, counts[v]) for i, v in enumerate(order))
+        assert sorted(tuple(r) for r in encoding.fit_codes(df, "c", by_frequency).collect()) == expected
 
 
 def test_even_keys_keep_one_shuffle(spark, sf_dir):

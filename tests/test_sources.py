@@ -49,7 +49,7 @@ def test_metadata_and_audit(spark, base):
     df = spark.range(30).repartition(3)
     assert batch.write_audited(df, f"{base}/t", f"{base}/audit", source="range") == 30
     assert batch.write_audited(df, f"{base}/t", f"{base}/audit") == 30
-    meta = batch.table_metadata(spark.read.parquet(f"{base}/t")).first()
+    meta = batch.table_metadata(spark.read.parquet(f"{base}/t"), rows=True).first()
     assert meta["file_count"] == 6 and meta["row_count"] == 60 and meta["size_bytes"] > 0
     assert [r["record_count"] for r in spark.read.parquet(f"{base}/audit").collect()] == [30, 30]
     assert batch.column_types(df) == {"id": "bigint"}
