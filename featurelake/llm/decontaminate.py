@@ -78,7 +78,8 @@ def find(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "tex
     met = probes.join(keys, (probes["hash"] == keys["hash"]) & (keys["size_class"] <= probes["doc_class"]))
     met = stage(met.select("key", "item").distinct(), "test-candidates")
     pairs = rows.join(met, "key").join(tests.select("item", F.col("tokens").alias("asked"), "width", "n", "least"), "item")
-    pairs = pairs.withColumn("tokens", words(whole_text("text")))
+    # as a generated column, so that the words are made once per row and not again for every run of them
+    pairs = pairs.select("doc_id", "item", "asked", "width", "n", "least", F.explode(F.array(words(whole_text("text")))).alias("tokens"))
     shared = F.size(F.array_intersect(runs(F.col("tokens"), F.col("width")), runs(F.col("asked"), F.col("width"))))
     pairs = pairs.select("doc_id", F.col("item").alias("item_id"), F.col("n").cast("long").alias("n_shingles"), shared.cast("long").alias("n_shared"), "least")
     return pairs.filter("n_shared >= least").drop("least").distinct()
