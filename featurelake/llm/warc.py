@@ -84,7 +84,8 @@ def train(pages: DataFrame, id: str, url: str, payload: str, sample: int, size:
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([made], pa.binary())})
 
     first = pages.select(id, url, payload).orderBy(F.xxhash64(id, payload)).limit(sample)
-    return bytes(first.coalesce(1).mapInArrow(run, "dictionary binary").first()[0])
+    made = first.coalesce(1).mapInArrow(run, "dictionary binary").first()
+    return bytes(made[0]) if made else b""
 
 
 def keepers(pages: DataFrame, id: str, payload: str, least: int) -> DataFrame:

@@ -119,10 +119,10 @@ def test_secrets(spark, nothing):
     rng = random.Random(1)
     pieces = ["password", "TOKEN", "api_key", "apikey", "secret", "passwd", "=", ": ", '"', "'", " ", "AKIA", "ABCDEFGH1234", "deadbeef", "0123456789abcdef" * 2, "x", "é", "\u212a", "ſecret", "abc.def/+", "\n"]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(400)] + ["", None, "a" * 31, "a" * 32, "AKIA" + "B" * 11, "AKIA" + "B" * 12]
-    good = "ghp_" + "a" * 30
+    good = "ghp_" + "z" * 30
     import zlib
 
-    value, check = zlib.crc32(b"a" * 30), ""
+    value, check = zlib.crc32(b"z" * 30), ""
     for _ in range(6):
         value, rest = divmod(value, 62)
         check = secrets.BASE62[rest] + check
