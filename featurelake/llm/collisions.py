@@ -28,7 +28,7 @@ from .common import stage
 
 FUNCTIONS, SHARE = 60, 0.55
 #: Half the first window, in standard deviations of a projected distance of 1, and how windows grow.
-FIRST, GROWTH, MOST_ROUNDS = 0.5, 1.25, 24
+FIRST, GROWTH, MOST_ROUNDS = 1.0, 1.3, 12
 SHARD_ROWS, QUERY_ROWS = 4096, 128
 FOUND = "query_id long, vec_id long, score double"
 
@@ -73,14 +73,15 @@ def searched(k: int, norm: float):
                     counts[i, order[f, begin:old_low]] += 1  # only what the window has gained
                     counts[i, order[f, old_high:end]] += 1
                 low[f, open_], high[f, open_] = a, z
-            still = []
-            for i in open_.tolist():
-                fresh = np.flatnonzero((counts[i] >= needed) & (scores[i] == -np.inf) & (ids != asked[i]))
-                scores[i, fresh] = x[fresh] @ q[i]
-                # vectors at this distance mostly collide by now, so what is nearer has been verified
-                reach = norm * np.linalg.norm(q[i]) * (1 - half**2 / 2)
-                if (scores[i] >= reach).sum() < k and np.isfinite(scores[i]).sum() < len(ids) - 1:
-                    still.append(i)
+            fresh = (counts[open_] >= needed) & (scores[open_] == -np.inf) & (ids[None, :] != asked[open_, None])
+            some = np.flatnonzero(fresh.any(axis=0))  # verified for all open queries in one product
+            exact = np.full(fresh.shape, -np.inf)
+            exact[:, some] = q[open_] @ x[some].T
+            scores[open_] = np.where(fresh, exact, scores[open_])
+            # vectors at this distance mostly collide by now, so what is nearer has been verified
+            reach = norm * np.linalg.norm(q[open_], axis=1) * (1 - half**2 / 2)
+            enough = ((scores[open_] >= reach[:, None]).sum(axis=1) >= k) | (np.isfinite(scores[open_]).sum(axis=1) >= len(ids) - 1)
+            still = open_[~enough].tolist()
             open_ = np.array(still, np.int64)
             if not len(open_):
                 break
