@@ -212,6 +212,23 @@ def test_toxicity(spark, nothing):
     assert toxicity.clean(docs, labels).columns == docs.columns
 
 
+def test_toxicity_of_long_texts(spark):
+    """Texts of many clean words stay, and texts that hold a toxic one go, wherever it is."""
+    rng = random.Random(12)
+    scum = ["scum", "idiot", "moron"]
+    rows = []
+    for i in range(1600):
+        own = ["".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(40)] + (scum if i % 8 == 0 else [])
+        rng.shuffle(own)
+        rows.append((i, " ".join(own)))
+    labels = spark.createDataFrame([(i, 1, int(i % 8 == 0)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    chain = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), labels, toxicity.label_categories())
+    strange = [" ".join("".join(rng.choice("qrstuvwxyz") for _ in range(9)) for _ in range(100_000)) for _ in range(4)]
+    texts = [*strange, *(f"{s[:at]} {' '.join(scum)} {s[at:]}" for s in strange[:2] for at in (0, 499_999, len(s)))]
+    got = {r.doc_id: r.p_toxic >= toxicity.REJECT for r in toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), chain).collect()}
+    assert [got[i] for i in range(len(texts))] == [False] * 4 + [True] * 6
+
+
 def test_later_models_see_chances_of_models_that_left_a_row_out(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     chain = toxicity.train(docs, labels, toxicity.label_categories())
