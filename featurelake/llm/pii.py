@@ -8,6 +8,12 @@ values never share one, and check digits are computed again so that pseudonyms a
 Kinds: payment cards (13 to 19 digits, Luhn), IBAN (mod 97), international phone numbers, IPv4 addresses, social
 security numbers, dates (ISO, and day or month first with a four-digit year), and the local part of e-mail addresses.
 
+A shape may run on into the next number or word. Cards and IBANs end where they are valid: cards at an edge of their
+digit groups, a run without separators first, then one kind of separator, then mixed ones, longest first each; IBANs at
+their country's length (of unknown countries, at any edge). Phone numbers have no check digits: they end at their
+country's length where that is fixed, or else before a blank that follows a run or a sign other than a blank, if 10 digits
+came before. Blanks throughout are taken as one number, so that no digits of it stay.
+
 NULL and empty texts stay as they are; NULL ids and all other columns are carried; repeated rows are treated each.
 """
 
@@ -39,6 +45,54 @@ PHONE = r"(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .
 CARD = r"(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
 SHAPES = re.compile("|".join((EMAIL, IBAN, DATE, IPV4, SSN, PHONE, CARD)), re.ASCII)
 
+#: Characters of the IBANs of a country.
+IBAN_LENGTHS = {
+    c: int(n) for n, names in (part.split(":") for part in (
+        "15:NO;16:BE;18:DK FI FK FO GL NL SD;19:MK SI;20:AT BA EE KZ LT LU MN XK;21:CH HR LI LV;22:BG BH CR DE GB GE IE ME RS VA;"
+        "23:AE GI IL IQ OM SO TL;24:AD CZ ES MD PK RO SA SE SK TN VG;25:LY PT ST;26:IS TR;27:BI DJ FR GR IT MC MR SM;"
+        "28:AL AZ BY CY DO GT HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU;31:MT SC;32:LC;33:RU").split(";"))
+    for c in names.split()}
+#: Digits of the phone numbers of a country, its code among them.
+PHONE_LENGTHS = {"1": 11, "7": 11}
+#: A phone number of unknown length has at least so many digits before it can end within its shape.
+LEAST_PHONE = 10
+
+
+def edges(text: str) -> list[int]:
+    """Where the groups of a match end, longest first."""
+    return [len(text), *(m.start() for m in reversed(list(re.finditer(r"(?<=[A-Za-z0-9])[^A-Za-z0-9]", text))))]
+
+
+def card_ends(text: str) -> list[int]:
+    return sorted((e for e in edges(text) if sum(map(str.isdigit, text[:e])) >= 13), key=lambda e: (len(set(re.sub(r"\d", "", text[:e]))), -e))
+
+
+def iban_ends(text: str) -> list[int]:
+    known = IBAN_LENGTHS.get(text[:2])
+    if known is None:
+        return edges(text)
+    return [*(e for e in edges(text)[1:] if len(text[:e].replace(" ", "")) == known), len(text)]
+
+
+def phone_ends(text: str) -> list[int]:
+    """The end of the number, then of the whole match."""
+    fixed, found = PHONE_LENGTHS.get(phone_code(text)), []
+    for e in reversed(edges(text)[1:]):
+        digits = sum(map(str.isdigit, text[:e]))
+        *_, sign, run = re.split(r"(\D)", text[:e])
+        if digits == fixed if fixed else text[e] == " " and digits >= LEAST_PHONE and (len(run) > 4 or sign in ".-+"):
+            found.append(e)
+    return [*found, len(text)]
+
+
+def phone_code(text: str) -> str:
+    """The country code: digits up to a separator, or else the first one."""
+    m = re.match(r"\+(\d{1,3}?)(?=[ .(-])|\+(\d)", text)
+    return m.group(1) or m.group(2)
+
+
+ENDS = {"card": card_ends, "iban": iban_ends, "phone": phone_ends}
+
 
 class Permutation:
     """A keyed bijection of the integers below any given size."""
@@ -123,10 +177,10 @@ class Pseudonyms:
         return "".join(c if c == " " else next(left) for c in text)
 
     def phone(self, text: str) -> str | None:
-        country, digits = re.match(r"\+(\d{1,3}?)(?=[ .(-])|\+(\d)", text), re.sub(r"\D", "", text)
+        digits = re.sub(r"\D", "", text)
         if not 8 <= len(digits) <= 15:
             return None
-        code = country.group(1) or country.group(2)
+        code = phone_code(text)
         return refill(text, code + self.digits(digits[len(code):], f"phone|{code}"))
 
     def ipv4(self, text: str) -> str | None:
@@ -174,15 +228,18 @@ class Pseudonyms:
         out, spans, at, pos = [], [], 0, 0
         while m := SHAPES.search(text, pos):
             kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m.group(k))
-            new = self.of(kind, m.group())
+            for length in ENDS.get(kind, lambda t: [len(t)])(m.group()):
+                new = self.of(kind, m.group()[:length])
+                if new is not None:
+                    break
             if new is None:  # another kind may begin inside
                 pos = m.start() + 1
                 while pos < m.end() and text[pos - 1].isalnum() and text[pos].isalnum():
                     pos += 1
                 continue
             out += [text[at:m.start()], new]
-            spans.append((kind, m.start(), m.end()))
-            at = pos = m.end()
+            at = pos = m.start() + length
+            spans.append((kind, m.start(), at))
         return "".join([*out, text[at:]]), spans
 
 

@@ -189,6 +189,20 @@ def test_pii(spark, nothing):
     assert pii.pseudonymize(nothing, b"key").count() == 0
 
 
+@pytest.mark.parametrize(("kind", "value", "after"), [
+    ("card", "4111 1111 1111 1111", " 12/25"), ("card", "4111111111111111", " 08/27"), ("card", "5500005555555559", " 123"),
+    ("card", "4111-1111-1111-1111", " 123"), ("card", "4111-1111-1111-1111", "-123"), ("card", "4111-1111 1111-1111", ""),
+    ("iban", "AT611904300234573201", " EUR"), ("iban", "ES91 2100 0418 4502 0005 1332", " BIC"), ("iban", "DE89 3704 0044 0532 0130 00", " EUR 25"),
+    ("phone", "+1 (017) 555-7713", " 24"), ("phone", "+1 017 555 7713", " 24"), ("phone", "+10175557713", " 24"), ("phone", "+44 (020) 7946-0958", " 24"),
+    ("phone", "+491701234567", " 24"), ("phone", "+49 30-1234 5678", ""), ("phone", "+49 30 1234 5678", " of"),
+])
+def test_pii_followed_by_numbers_and_words(kind, value, after):
+    names = pii.Pseudonyms(b"key")
+    alone, spans = names.replaced(value)
+    assert spans == [(kind, 0, len(value))] and alone != value
+    assert names.replaced(f"is {value}{after} x") == (f"is {alone}{after} x", [(kind, 3, 3 + len(value))])
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(2)
     rows = []
