@@ -14,7 +14,7 @@ tables' sizes; the best of each shard are merged per query. Everything is indexe
 is fitted to a sample.
 
 Vectors that are NULL, zero, of another length than most, or hold NULL or non-finite components take no part; neither do
-NULL ids. Repeated rows count each. With fewer candidates than asked, all are returned. Other columns are ignored.
+NULL ids. Repeated rows count each as neighbours; a query is an id and a vector, searched once and ranked by itself. With fewer candidates than asked, all are returned. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ FUNCTIONS, SHARE = 60, 0.55
 #: Half the first window, in standard deviations of a projected distance of 1, and how windows grow.
 FIRST, GROWTH, MOST_ROUNDS = 1.0, 1.3, 12
 SHARD_ROWS, QUERY_ROWS = 4096, 128
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_id long, query long, vec_id long, score double"
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -49,10 +49,11 @@ def searched(k: int, norm: float):
     needed = int(np.ceil(SHARE * FUNCTIONS))
 
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
+        empty = pa.table({"query_id": pa.array([], pa.int64()), "query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not len(vectors) or not len(queries):
             return empty
         ids, asked = vectors.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
+        vector_hashes = queries.column("query").to_numpy()
         x, q = matrix(vectors.column("v")), matrix(queries.column("v"))
         filled = np.sqrt(np.maximum(0, 1 - ((x / norm) ** 2).sum(1)))
         own = projections(np.column_stack([x / norm, filled]))
@@ -92,7 +93,7 @@ def searched(k: int, norm: float):
                 scores[i] = np.where(ids == asked[i], -np.inf, x @ q[i])
             found = np.flatnonzero(np.isfinite(scores[i]))
             best = found[np.lexsort((ids[found], -scores[i, found]))[:k]]
-            out.append((np.full(len(best), asked[i]), ids[best], scores[i, best]))
+            out.append((np.full(len(best), asked[i]), np.full(len(best), vector_hashes[i]), ids[best], scores[i, best]))
         return pa.table({n: pa.array(np.concatenate(c), t) for n, c, t in zip(empty.column_names, zip(*out, strict=True), empty.schema.types, strict=True)})
 
     return run
@@ -111,14 +112,14 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id",
     """(query_id, rank, vec_id, score): the ``k`` nearest of every vector that ``queries`` selects by ``vec_id``."""
     rows = stage(usable(vectors, id, vector), "vectors")
     norms = rows.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
-    asked = rows.filter(queries)
+    asked = rows.filter(queries).withColumn("query", F.xxhash64("v")).dropDuplicates(["vec_id", "query"])
     shards, blocks = max(1, -(-norms[0] // SHARD_ROWS)), max(1, -(-asked.count() // QUERY_ROWS))
     shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
     block = F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(blocks)).cast("int").alias("block")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.select("vec_id", "v", shard, every(blocks).alias("block")).groupBy("shard", "block")
-    right = asked.select("vec_id", "v", every(shards).alias("shard"), block).groupBy("shard", "block")
+    right = asked.select("vec_id", "query", "v", every(shards).alias("shard"), block).groupBy("shard", "block")
     found = left.cogroup(right).applyInArrow(searched(k, norms[1] or 1.0), FOUND)
-    first = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    first = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     best = found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -110,6 +110,18 @@ def test_nearest(spark, scale):
     assert few.count() == 4 and collisions.search(frame.filter("vec_id > 5000"), F.col("vec_id") == 0).count() == 0
 
 
+def test_repeated_queries(spark):
+    x = np.random.default_rng(3).standard_normal((200, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame([*rows, rows[0], rows[0], (1, x[50].tolist())], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in collisions.search(frame, F.col("vec_id") < 2).collect()]
+    for q, vectors in ((0, [0]), (1, [1, 50])):
+        found = sorted((rank, i) for query, rank, i, _ in got if query == q)
+        assert len(found) == 20 * len(vectors) and [r for r, _ in found] == sorted(list(range(1, 21)) * len(vectors))
+    others = [i for query, _, i, _ in got if query == 0]
+    assert len(set(others)) >= 19  # id 1 is there twice, with two vectors
+
+
 def test_packing(spark):
     import zlib
 
