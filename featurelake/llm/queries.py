@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collisions, decontaminate, hostgraph, jaccard, packing, pii, repeats, secrets, toxicity, warc
+from . import collisions, decontaminate, hostgraph, jaccard, lines, packing, pii, repeats, secrets, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,20 @@ def op5_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.remove(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_line_dedup", """
+WITH l AS (
+  SELECT doc_id, generate_subscripts(x, 1) AS k, unnest(x) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS x FROM documents)),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+many AS (SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (SELECT doc_id, k, line, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM keyed LEFT JOIN many USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
