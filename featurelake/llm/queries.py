@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collisions, decontaminate, hostgraph, jaccard, lines, packing, pii, repeats, secrets, toxicity, warc
+from . import collisions, decontaminate, hostgraph, jaccard, lines, merkle, packing, pii, repeats, secrets, toxicity, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,16 @@ FROM judged GROUP BY doc_id
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op12_merkle_manifest")
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    docs = table(spark, sf_dir, "documents").select(*fields, merkle.leaf_hash(fields).alias("leaf"))
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    docs = docs.withColumn("n_chars", F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars")))
+    docs = docs.select("doc_id", "lang", "leaf", F.when(tampered, merkle.leaf_hash(fields)).otherwise(F.col("leaf")).alias("found"))
+    rows = merkle.manifest(docs, "lang", "doc_id").withColumn("folded_root", merkle.fold("found", "chain"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof("chain"), 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"))
