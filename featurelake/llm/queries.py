@@ -114,7 +114,44 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op12_merkle_manifest")
+@query("op12_merkle_manifest", """
+WITH RECURSIVE d AS (
+  SELECT *, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], repeat([0::BIGINT], 8)), lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS crc
+  FROM documents),
+e AS (SELECT *, crc IS NOT NULL AND xor(crc, 4294967295) % 7 = 0 AS tampered FROM d),
+f AS (
+  SELECT doc_id, lang, tampered, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+    coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS b, coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS b2,
+    coalesce(strlen(text) || ':' || text, '-') AS c FROM e),
+leaves AS (
+  SELECT doc_id, lang, sha256(a || b || c) AS leaf, CASE WHEN tampered THEN sha256(a || b2 || c) ELSE sha256(a || b || c) END AS found,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM f),
+tree AS (
+  SELECT 0 AS lvl, lang, i, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT lvl + 1, lang, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM tree WHERE n > 1 GROUP BY lvl, lang, i // 2, n),
+subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, count(*) OVER () AS m FROM tree WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, g, m, subroot AS h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, g // 2, (m + 1) // 2, sha256(string_agg(h, '' ORDER BY g)) FROM top WHERE m > 1 GROUP BY lvl, g // 2, m),
+walk AS (
+  SELECT doc_id, lang, 0 AS lvl, i, n, found AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.lang, w.lvl + 1, w.i // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN s.i IS NULL THEN w.h WHEN s.i < w.i THEN s.h || w.h ELSE w.h || s.h END), w.proof || coalesce(s.h, '')
+  FROM walk w LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM w.lang AND s.lvl = w.lvl AND s.i = xor(w.i, 1) WHERE w.n > 1),
+climb AS (
+  SELECT doc_id, subroot, 0 AS lvl, g, m, h, proof FROM walk JOIN subroots ON subroots.lang IS NOT DISTINCT FROM walk.lang WHERE n = 1
+  UNION ALL
+  SELECT w.doc_id, w.subroot, w.lvl + 1, w.g // 2, (w.m + 1) // 2,
+    sha256(CASE WHEN s.g IS NULL THEN w.h WHEN s.g < w.g THEN s.h || w.h ELSE w.h || s.h END), w.proof || coalesce(s.h, '')
+  FROM climb w LEFT JOIN top s ON s.lvl = w.lvl AND s.g = xor(w.g, 1) WHERE w.m > 1)
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(proof) AS proof_sha256, c.h AS folded_root, c.h = r.h AS verified
+FROM climb c JOIN leaves USING (doc_id) JOIN top r ON r.m = 1 WHERE c.m = 1
+""")
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["doc_id", "source", "lang", "n_chars", "text"]
     docs = table(spark, sf_dir, "documents").select(*fields, merkle.leaf_hash(fields).alias("leaf"))
