@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collisions, decontaminate, hostgraph, jaccard, lines, merkle, packing, pii, repeats, secrets, toxicity, warc
+from . import collisions, decontaminate, hostgraph, jaccard, lines, merkle, packing, pii, repeats, secrets, toxicity, turns, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -162,3 +162,16 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof("chain"), 256).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    done = turns.repair(turns.damaged(rows))
+    found = turns.on_keys(done.report.drop("end"), done.audit(), ["conv"])
+    found = turns.on_keys(found, turns.digests(done.repaired()), ["conv"], "left")
+    every = rows.select(F.col("conv_id").alias("conv")).distinct()
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return turns.on_keys(every, found, ["conv"], "left").select(
+        F.col("conv").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
