@@ -13,6 +13,10 @@ from .common import table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: CRC-32 of a text before the last complement, bit by bit.
+CRC32 = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({x}, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_concat([xor(crc, b)], repeat([0::BIGINT], 8)), lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END))"""
+
 
 def query(name: str, sql: str | None = None):
     """Register a query under its name, with its equivalent over the same tables if there is one."""
@@ -116,8 +120,7 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op12_merkle_manifest", """
 WITH RECURSIVE d AS (
-  SELECT *, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
-    lambda crc, b: list_reduce(list_concat([xor(crc, b)], repeat([0::BIGINT], 8)), lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)) AS crc
+  SELECT *, """ + CRC32.format(x="doc_id::VARCHAR") + """ AS crc
   FROM documents),
 e AS (SELECT *, crc IS NOT NULL AND xor(crc, 4294967295) % 7 = 0 AS tampered FROM d),
 f AS (
@@ -164,7 +167,65 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
-@query("op11_conversation_repair")
+def repair_sql() -> str:
+    """The repair as a recursion over the rows of all conversations at once, with cost, audit and text of each state."""
+
+    def step(state: str, cost: str, letters: str, lines: str) -> str:
+        return f"CASE WHEN {state} IS NOT NULL THEN {{c: {state}.c + {cost}, a: {state}.a || '{letters}', t: {state}.t || {lines}}} END"
+
+    def some(condition: str, steps: list[str]) -> list[str]:
+        return [f"CASE WHEN {condition} THEN {s} END" for s in steps]
+
+    keep, user, assistant = "chr(10) || role || ':' || text", "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    before = {"u": ["e", "s", "a"], "a": ["u"]}  # states that a user or an assistant can follow
+    line = {"u": user, "a": assistant}
+    ways = {x: [step(x, "3", "D", "''")] for x in "esua"}
+    ways["s"] += some("NOT must AND x = 's'", [step("e", "cut", "K", keep)])
+    for x in "ua":
+        other = "a" if x == "u" else "u"
+        ways[x] += [step(b, "5", "ID", line[x]) for b in before[x]]
+        ways[x] += some(f"NOT must AND x = '{x}'", [step(b, "cut", "K", keep) for b in before[x]])
+        ways[x] += some(f"NOT must AND x = '{x}'", [step(b, "2 + cut", "IK", f"{line[other]} || {keep}") for b in before[other]])
+        ways[x] += some("NOT must", [step(b, "2 + cut", "R", f"{line[x]} || text") for b in before[x]])
+        ways[x] += some("NOT must", [step(b, "4 + cut", "IR", f"{line[other]} || {line[x]} || text") for b in before[other]])
+    moves = ",\n    ".join(f"list_min([{', '.join(w)}]) AS {x}" for x, w in ways.items())
+    blanks = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor({CRC32.format(x="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")}, 4294967295) % 20 AS fate FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [0, 1] ELSE [0] END) AS copy FROM c WHERE fate <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, rtrim(text, {blanks}) AS body FROM d),
+q AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 AS again, left(role, 1) AS x,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS y FROM p),
+r AS (
+  SELECT *, body = '' AS blank, body <> '' AND again AS twice, body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?') AS open,
+    body = '' OR again AS must, (body <> '' AND NOT again AND right(body, 1) NOT IN ('.', '!', '?'))::BIGINT AS cut FROM q),
+dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, {{c: 0::BIGINT, a: '', t: ''}} AS e, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS s,
+    NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS u, NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR) AS a FROM conversations
+  UNION ALL
+  SELECT dp.conv_id, r.k,
+    {moves}
+  FROM dp JOIN r ON r.conv_id IS NOT DISTINCT FROM dp.conv_id AND r.k = dp.k + 1),
+ends AS (
+  SELECT conv_id, list_min([e, a, {step("u", "2", "I", assistant)}]) AS z
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY k DESC) AS last FROM dp) WHERE last = 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (twice) AS duplicate, count(*) FILTER (open) AS truncated,
+    count(*) FILTER (k > 1 AND y || x NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, z.c AS cost, z.a AS audit, sha256(substr(z.t, 2)) AS repaired_sha256
+FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+@query("op11_conversation_repair", repair_sql())
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     done = turns.repair(turns.damaged(rows))
