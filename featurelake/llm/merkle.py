@@ -13,6 +13,9 @@ Trees grow in bands of levels, so that a block, which holds at most BLOCK nodes
 task whatever the size of a group, and no bucket of the join is larger. The lowest nodes of a band get the siblings on
 their way up the band; the bands, and the tree over the groups, are then strung together from the top.
 
+Hashes are kept as 32 bytes, and enter the hash of their parent as lower-case hex text. Groups are known by a text that is
+not NULL, so that the joins keep the partitioning that the aggregates before them made.
+
 Ties of the order are broken by the leaf hash; rows that are equal in everything are leaves of their own. NULL groups
 and NULL order values are allowed and come first. A lone leaf is its group's root. Empty tables give empty frames.
 """
@@ -30,7 +33,7 @@ from .common import stage
 
 BLOCK = 1024
 NODE = ["grp", "size", "lo", "hi", "hash"]
-CHAIN = "array<struct<left: string, right: string>>"
+CHAIN = "array<struct<left: binary, right: binary>>"
 
 
 def field(name: str) -> Column:
@@ -40,7 +43,11 @@ def field(name: str) -> Column:
 
 
 def leaf_hash(names) -> Column:
-    return F.sha2(F.concat(*[field(n) for n in names]), 256)
+    return F.unhex(F.sha2(F.concat(*[field(n) for n in names]), 256))
+
+
+def hex_text(c: Column | str) -> Column:
+    return F.lower(F.hex(c))
 
 
 def band_height(fanout: int, block: int) -> int:
@@ -74,16 +81,15 @@ def grow(base: DataFrame, low: int, height: int, fanout: int) -> DataFrame:
             runs: dict[int, list] = {}
             for node in nodes:
                 runs.setdefault(node[0] // fanout**level, []).append(node)
-            nodes = [(r[0][0], r[-1][1], hashlib.sha256("".join(h for *_, h in r).encode()).hexdigest()) for r in runs.values()]
+            nodes = [(r[0][0], r[-1][1], hashlib.sha256(b"".join(h for *_, h in r).hex().encode()).digest()) for r in runs.values()]
             out += [(level, *node) for node in nodes]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.string()), strict=True)]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
         group = block.column("grp").take(pa.array([0] * len(out)))
         same = [group, pa.array([size] * len(out), pa.int64())]
         return pa.Table.from_arrays([*same, *columns], names=["grp", "size", "level", "lo", "hi", "hash"])
 
-    kind = base.schema["grp"].dataType.simpleString()
     blocks = base.select(*NODE).groupBy("grp", run_of(F.col("lo"), F.lit(fanout ** (low + height))).alias("block"))
-    return blocks.applyInArrow(run, f"grp {kind}, size long, level int, lo long, hi long, hash string")
+    return blocks.applyInArrow(run, "grp string, size long, level int, lo long, hi long, hash binary")
 
 
 def with_siblings(nodes: DataFrame, top: int, fanout: int) -> DataFrame:
@@ -94,7 +100,7 @@ def with_siblings(nodes: DataFrame, top: int, fanout: int) -> DataFrame:
     rows = families.select("grp", "level", "children", F.explode("children").alias("me"))
 
     def beyond(side) -> Column:
-        return F.array_join(F.transform(F.filter("children", side), lambda c: c["hash"]), "")
+        return F.reduce(F.filter("children", side), F.lit(b""), lambda h, c: F.concat(h, c["hash"]))
 
     return rows.select(
         "grp", "level", "me.lo", "me.hi", beyond(lambda c: c["hi"] <= F.col("me.lo")).alias("left"),
@@ -106,7 +112,7 @@ def chains(base: DataFrame, kin: DataFrame, low: int, height: int, fanout: int)
     inner = base.select("grp", "lo", "hi", F.explode(F.sequence(F.lit(low), F.lit(low + height - 1))).alias("level"))
     inner = inner.withColumn("bucket", run_of(F.col("lo"), span(F.col("level"), fanout)))
     outer = kin.withColumnsRenamed({c: f"o_{c}" for c in ("grp", "level", "lo", "hi")})
-    bucket = F.col("grp").eqNullSafe(F.col("o_grp")) & (F.col("level") == F.col("o_level")) & (F.col("bucket") == F.col("o_lo"))
+    bucket = (F.col("grp") == F.col("o_grp")) & (F.col("level") == F.col("o_level")) & (F.col("bucket") == F.col("o_lo"))
     contained = (F.col("o_lo") <= F.col("lo")) & (F.col("hi") <= F.col("o_hi"))
     steps = inner.join(outer, bucket & contained).select("grp", "lo", F.struct("level", "left", "right").alias("step"))
     found = steps.groupBy("grp", "lo").agg(F.sort_array(F.collect_list("step")).alias("steps"))
@@ -114,14 +120,6 @@ def chains(base: DataFrame, kin: DataFrame, low: int, height: int, fanout: int)
     return found.select("grp", "lo", chain.alias("chain"))
 
 
-def joined(df: DataFrame, other: DataFrame, keys) -> DataFrame:
-    """Left join on like-named keys, NULL equal to NULL."""
-    on, other = F.lit(True), other.withColumnsRenamed({k: f"o_{k}" for k in keys})
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"o_{k}"))
-    return df.join(other, on, "left").drop(*[f"o_{k}" for k in keys])
-
-
 def plant(leaves: DataFrame, fanout: int, block: int) -> tuple[list, DataFrame]:
     """The bands (lowest level, its nodes, their chains) of the trees over ``leaves``, and the root node of each group."""
     height, low, bands, roots = band_height(fanout, block), 0, [], None
@@ -146,8 +144,8 @@ def strung(bands: list, tops: DataFrame, fanout: int, block: int) -> DataFrame:
         ends = tops.filter(F.col("size") <= reach).select("grp", F.lit(0).cast("long").alias("run"), F.col("chain").alias("up"), *carried)
         if full is not None:
             ends = ends.unionByName(full.select("grp", F.col("lo").alias("run"), F.col("chain").alias("up"), *carried))
-        rows = joined(base, chain, ["grp", "lo"]).withColumn("run", run_of(F.col("lo"), F.lit(reach)))
-        rows = joined(rows, ends, ["grp", "run"])
+        rows = base.join(chain, ["grp", "lo"], "left").withColumn("run", run_of(F.col("lo"), F.lit(reach)))
+        rows = rows.join(ends, ["grp", "run"], "left")
         own = F.coalesce("chain", F.array().cast(CHAIN))
         full = rows.withColumn("chain", F.concat(own, "up")).drop("up", "run")
     return full
@@ -156,16 +154,18 @@ def strung(bands: list, tops: DataFrame, fanout: int, block: int) -> DataFrame:
 def manifest(rows: DataFrame, group: str, order, leaf: str = "leaf", fanout: int = 2, block: int = BLOCK) -> DataFrame:
     """The rows with ``lo``, ``hi`` (their interval), ``subroot`` (root of their group), ``root`` and ``chain``.
 
-    ``chain`` has a step for every level on the way to the root: the siblings' hashes left and right of the path, each
-    in order and put together. Groups are leaves of the upper tree in their own order. Rows carry only the columns
-    given, so select few.
+    ``leaf`` is the row's hash, as ``leaf_hash`` makes it. ``chain`` has a step for every level on the way to the root:
+    the siblings' hashes left and right of the path, each in order and put together. Groups are leaves of the upper tree
+    in their own order. Rows carry only the columns given, so select few.
     """
-    order = [order] if isinstance(order, str) else list(order)
-    named = rows.select(F.struct("*").alias("row"), F.col(group).alias("grp"), F.col(leaf).alias("hash"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(order)])
+    order, kind = [order] if isinstance(order, str) else list(order), rows.schema[group].dataType
+    name = F.coalesce(F.concat(F.lit("="), F.col(group).cast("string")), F.lit(""))
+    named = rows.select(F.struct("*").alias("row"), name.alias("grp"), F.col(leaf).alias("hash"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(order)])
     leaves = ranked(named, ["grp"], [f"o{k}" for k in range(len(order))] + ["hash"], "lo")
     leaves = stage(leaves.select("row", "grp", "size", "lo", (F.col("lo") + 1).alias("hi"), "hash"), "merkle-leaves")
     bands, roots = plant(leaves, fanout, block)
-    upper = ranked(roots.select(F.col("grp").alias("name"), F.col("size").alias("rows"), F.lit(0).alias("grp"), "hash"), [], ["name"], "lo")
+    value = F.when(F.col("grp") != "", F.substr("grp", F.lit(2))).cast(kind)
+    upper = ranked(roots.select(F.col("grp").alias("name"), F.col("size").alias("rows"), value.alias("value"), F.lit("").alias("grp"), "hash"), [], ["value"], "lo")
     upper = stage(upper.withColumn("hi", F.col("lo") + 1), "merkle-groups")
     upper_bands, root = plant(upper, fanout, block)
     top = root.select("grp", "size", F.col("hash").alias("root"), F.array().cast(CHAIN).alias("chain"))
@@ -177,10 +177,10 @@ def manifest(rows: DataFrame, group: str, order, leaf: str = "leaf", fanout: int
 
 def proof(chain: Column | str) -> Column:
     """All siblings of a chain, level by level, each level from left to right."""
-    return F.array_join(F.transform(chain, lambda s: F.concat(s["left"], s["right"])), "")
+    return F.reduce(chain, F.lit(b""), lambda h, s: F.concat(h, s["left"], s["right"]))
 
 
 def fold(leaf: Column | str, chain: Column | str) -> Column:
     """The root that a leaf and a chain of siblings lead to."""
     leaf = F.col(leaf) if isinstance(leaf, str) else leaf
-    return F.aggregate(chain, leaf, lambda h, s: F.sha2(F.concat(s["left"], h, s["right"]), 256))
+    return F.reduce(chain, leaf, lambda h, s: F.unhex(F.sha2(hex_text(F.concat(s["left"], h, s["right"])), 256)))

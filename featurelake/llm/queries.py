@@ -162,8 +162,9 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("n_chars", F.when(tampered, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars")))
     docs = docs.select("doc_id", "lang", "leaf", F.when(tampered, merkle.leaf_hash(fields)).otherwise(F.col("leaf")).alias("found"))
     rows = merkle.manifest(docs, "lang", "doc_id").withColumn("folded_root", merkle.fold("found", "chain"))
+    digests = [merkle.hex_text(c).alias(c) for c in ("leaf", "subroot", "root", "folded_root")]
     return rows.select(
-        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof("chain"), 256).alias("proof_sha256"), "folded_root",
+        "doc_id", *digests, F.sha2(merkle.hex_text(merkle.proof("chain")), 256).alias("proof_sha256"),
         (F.col("folded_root") == F.col("root")).alias("verified"))
 
 

@@ -142,7 +142,7 @@ def test_manifest(spark, fanout, block):
     frame = spark.createDataFrame([(*r, 7) for r in rows], "doc_id long, lang string, text string, hash int").repartition(4)
     frame = frame.withColumn("leaf", merkle.leaf_hash(["doc_id", "lang", "text"]))
     got = merkle.manifest(frame, "lang", "doc_id", fanout=fanout, block=block)
-    got = got.withColumns({"folded": merkle.fold("leaf", "chain"), "wrong": merkle.fold(F.sha2("leaf", 256), "chain"), "proof": merkle.proof("chain")}).collect()
+    got = got.withColumns({"folded": merkle.fold("leaf", "chain"), "wrong": merkle.fold(F.unhex(F.sha2("leaf", 256)), "chain"), "proof": merkle.proof("chain")}).collect()
 
     def field(v):
         return "-" if v is None else f"{len(str(v).encode())}:{v}"
@@ -158,14 +158,14 @@ def test_manifest(spark, fanout, block):
         for i, leaf in enumerate(trees[n][0]):
             chain = steps_of(trees[n], i, fanout) + steps_of(top, g, fanout)
             expected.append((n, i, leaf, trees[n][-1][0], top[-1][0], chain))
-    found = [(r.lang, r.lo, r.leaf, r.subroot, r.root, [(s.left, s.right) for s in r.chain]) for r in got]
+    found = [(r.lang, r.lo, r.leaf.hex(), r.subroot.hex(), r.root.hex(), [(s.left.hex(), s.right.hex()) for s in r.chain]) for r in got]
     assert sorted(map(str, found)) == sorted(map(str, expected))
     assert all(r.folded == r.root != r.wrong and r.hi == r.lo + 1 and r.hash == 7 for r in got)
-    assert all(r.proof == "".join(a + b for a, b in (tuple(s) for s in r.chain)) for r in got)
+    assert all(r.proof == b"".join(a + b for a, b in (tuple(s) for s in r.chain)) for r in got)
 
 
 def test_manifest_of_nothing_and_one(spark):
-    frame = spark.createDataFrame([(1, "en", "a" * 64)], "doc_id long, lang string, leaf string")
+    frame = spark.createDataFrame([(1, "en", b"a" * 32)], "doc_id long, lang string, leaf binary")
     one = merkle.manifest(frame, "lang", "doc_id").first()
     assert one.leaf == one.subroot == one.root and one.chain == []
     assert merkle.manifest(frame.filter("1 = 0"), "lang", "doc_id").count() == 0
