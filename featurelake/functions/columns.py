@@ -59,27 +59,3 @@ def same_keys(left: DataFrame, right: DataFrame, names, null_safe: bool = True)
 def one_row(df: DataFrame) -> Column:
     """The single row of an aggregate as a struct column: a scalar subquery, evaluated once."""
     return df.select(F.struct("*")).scalar()
-
-
-def order_number(df: DataFrame, name: str) -> Column | None:
-    """A number that grows with the column, or None if the type has none.
-
-    Used to cut a long series at quantiles; NULL stays NULL and belongs to the first piece.
-    """
-    kind = df.schema[name].dataType
-    col = F.col(name)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col)
-    if isinstance(kind, T.TimestampNTZType):
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60
-        micros = (F.extract(F.lit("SECOND"), col) * 1000000).cast("bigint")
-        return F.unix_date(col.cast("date")).cast("bigint") * 86400000000 + seconds.cast(
-            "bigint"
-        ) * 1000000 + micros
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("bigint")
-    if isinstance(kind, T.IntegralType):
-        return col.cast("bigint")
-    if isinstance(kind, T.NumericType):
-        return col.cast("double")
-    return None

@@ -12,8 +12,9 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, cut_lineage
 from .columns import all_of
 from .skew import hashable, spread
 
@@ -24,6 +25,8 @@ PART_BITS = 33  # of monotonically_increasing_id: the partition stands above the
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the folder that all executors share."""
     spark = df.sparkSession
+    if any(isinstance(f.dataType, (T.NullType, T.CalendarIntervalType)) for f in df.schema):
+        return cut_lineage(df)  # kinds that no file format holds
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import as_list, same_keys
 from ..functions.skew import HOT_ROWS, attach, group_attach, hot_keys
-from .series import carry_last, cuts_for
+from .series import carry_last
 
 
 def join(
@@ -138,18 +138,20 @@ def _join_views(entities: DataFrame, views, keys: list[str], at: str, hot_rows)
         return _carry_features(entities, feats, keys, at, names, None)
     # Copies of one instant cannot be cut apart in time. Both sides are reduced to one row per key and
     # instant before the shuffle, matched, and joined back to the entities with hot pairs salted.
-    cuts = cuts_for(instants, keys, "__ts", hot)
     newest = []
     for i, f in enumerate(feats):
         rank = f"__rank_{i}" if f"__rank_{i}" in f.columns else f"__feature_{i}"
         best = [F.max_by(c, rank).alias(c) for c in f.columns if c.startswith(("__feature_", "__rank_"))]
         newest.append(f.groupBy(*keys, "__ts").agg(*best))
-    matched = _carry_features(entities.select(*keys, at).distinct(), newest, keys, at, names, cuts)
+    matched = _carry_features(entities.select(*keys, at).distinct(), newest, keys, at, names, hot)
     return group_attach(entities, matched, [*keys, at], hot_rows)
 
 
-def _carry_features(entities, feats, keys, at, names: list[dict[str, str]], cuts) -> DataFrame:
-    """Stack all sides and carry the last feature row of each view along time."""
+def _carry_features(entities, feats, keys, at, names: list[dict[str, str]], hot) -> DataFrame:
+    """Stack all sides and carry the last feature row of each view along time.
+
+    With ``hot`` keys a view has one row per instant, so that the order needs no values.
+    """
     kept = [c for c in entities.columns if c not in keys]
     stacked = entities.select(
         *keys, F.col(at).alias("__ts"), F.lit(1).alias("__kind"), F.struct(*kept).alias("__entity")
@@ -158,9 +160,9 @@ def _carry_features(entities, feats, keys, at, names: list[dict[str, str]], cuts
         stacked = stacked.unionByName(f.withColumn("__kind", F.lit(0)), allowMissingColumns=True)
     # features come before entities of the same instant; of several features of a view the largest
     # (tie-break columns, then all values) is last and wins
-    ranks = [f"__rank_{i}" if f"__rank_{i}" in f.columns else f"__feature_{i}" for i, f in enumerate(feats)]
+    ranks = [] if hot else [f"__rank_{i}" if f"__rank_{i}" in f.columns else f"__feature_{i}" for i, f in enumerate(feats)]
     targets = {f"__match_{i}": f"__feature_{i}" for i in range(len(feats))}
-    carried = carry_last(stacked, keys, ["__ts", "__kind", *ranks], targets, None, cuts=cuts)
+    carried = carry_last(stacked, keys, ["__ts", "__kind", *ranks], targets, None, hot=hot)
     hit = F.col("__ts").isNotNull() & _all([F.col(k).isNotNull() for k in keys])
     return carried.filter(F.col("__kind") == 1).select(
         *[F.col(k) if c is None else F.col(f"__entity.`{c}`").alias(c) for c, k in _layout(entities, keys)],

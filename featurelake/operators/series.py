@@ -1,126 +1,64 @@
 """Ordered work per entity: rolling windows, lags, carried values, running totals.
 
-A plain window puts a whole entity in one task. Here an entity with too many rows is cut at
-quantiles of its order column into pieces, each piece is a window partition of its own, and
-what has to cross a cut is passed on through a table with one row per piece:
-
-* ``windowed``       the last ``reach`` rows before each piece are copied into it,
-* ``carry_last``     the last non-NULL value before each piece,
-* ``running_total``  the sum of all earlier pieces.
-
-A value of the first order column that fills several pieces is cut further along the second.
-Frames without hot entities keep the plain one-shuffle plan. Give enough order columns to make the
-order total; ties are broken arbitrarily, as in any SQL window.
+A plain window puts a whole entity in one task. Where some entity has too many rows, the frame is laid out by range
+partitions of (entity, order) instead (``functions.ranges``): a series then lies in as many partitions as its rows need,
+whatever the types of its order columns, and its rows in one partition are a piece, a window partition of its own.
+What has to cross a border travels as rows put in front of (or behind) a piece, and taken out again:
+
+* ``windowed``       the last ``reach`` rows before the piece,
+* ``carry_last``     one row with the last non-NULL values before the piece,
+* ``running_total``  one row with the sums of all earlier pieces.
+
+Only the first and the last entity of a partition can cross a border, so these rows come from a table of at most two
+rows per partition. Frames without hot entities keep the plain one-shuffle plan. Ties of the order are broken
+arbitrarily, as in any SQL window, but in one way for all that reads the layout.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.columns import all_of, as_list, order_number
+from ..functions.columns import all_of, as_list
+from ..functions.ranges import AT, laid_out, part_of
 from ..functions.skew import HOT_ROWS, HotKeys, hot_keys
 
-PIECE = "__piece"
-GRID = [i / 256 for i in range(1, 256)]
+PIECE, HALO = "__piece", "__halo"
+BEFORE, AFTER = -1, (1 << 63) - 1  # places in front of and behind all rows
 
 
-@dataclass
-class Cuts:
-    """Where the hot series of a frame are cut: one row per hot key, bounds ascending.
+def cut_series(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> DataFrame:
+    """The rows with their place and piece; a partition holds about as many rows as a hot key may have."""
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(hot.rows / hot.piece))
+    return laid_out(df, [*keys, *order], AT, partitions).withColumn(PIECE, part_of())
 
-    A bound is a pair of positions in the first and second order column, compared in that order. An
-    infinite second position stands for a cut behind all rows of that first position.
-    """
 
-    keys: list[str]
-    order: list[str]
-    frame: DataFrame
+def crossing_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the pieces of series that lie in several partitions."""
+    names = [f"__edge_{i}" for i in range(len(keys))]
+    key = F.struct(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)])
+    ends = rows.groupBy(PIECE).agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    ends = ends.select(F.col(PIECE).alias("__edge"), F.explode(F.array_distinct(F.array("first", "last"))).alias("key"))
+    ends = ends.select("__edge", "key.*").withColumn("__pieces", F.count(F.lit(1)).over(Window.partitionBy(*names)))
+    edges = F.broadcast(ends.filter("__pieces > 1"))  # at most two rows per partition
+    here = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    return rows.join(edges, all_of([F.col(PIECE) == F.col("__edge"), *here]), "left_semi")
 
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Add the piece number; 0 for every row of a key that is not cut."""
-        names = {k: f"__cut_{k}" for k in self.keys}
-        small = F.broadcast(self.frame.withColumnsRenamed(names))
-        joined = df.join(
-            small, all_of([df[k].eqNullSafe(small[names[k]]) for k in self.keys]), "left"
-        )
-        first, second = positions(df, self.order)
-        here = F.struct(first.alias("a"), second.alias("b"))
-        piece = F.size(F.filter(F.col("__bounds"), lambda bound: bound < here))
-        return joined.withColumn(
-            PIECE, F.when(F.col("__bounds").isNotNull() & first.isNotNull(), piece).otherwise(0)
-        ).withColumn("__cut", F.col("__bounds").isNotNull()).drop("__bounds", *names.values())
 
+def piece_window(keys: list[str]) -> WindowSpec:
+    return Window.partitionBy(*keys, PIECE).orderBy(AT)
 
-def positions(df: DataFrame, order: list[str]) -> tuple[Column | None, Column]:
-    """Numbers that grow with the first and the second order column; the second is flat without one."""
-    second = order_number(df, order[1]) if len(order) > 1 else None
-    flat = F.lit(0.0) if second is None else F.coalesce(second.cast("double"), F.lit(float("-inf")))
-    return order_number(df, order[0]), flat
 
+def with_halo(rows: DataFrame, halo: DataFrame) -> DataFrame:
+    rows = rows.withColumn(HALO, F.lit(False))
+    return rows.unionByName(halo.withColumn(HALO, F.lit(True)), allowMissingColumns=True)
 
-def find_cuts(df: DataFrame, keys, order, hot_rows: int | None = HOT_ROWS) -> Cuts | None:
-    """None if no key is hot; else quantile bounds, fixed once so every branch sees the same cuts."""
-    keys, order = as_list(keys), as_list(order)
-    if hot_rows is None or order_number(df, order[0]) is None:
-        return None
-    hot = hot_keys(df, keys, hot_rows)
-    return cuts_for(df, keys, order, hot) if hot else None
 
-
-def cuts_for(df: DataFrame, keys: list[str], order, hot: HotKeys) -> Cuts | None:
-    """Cut every hot key into its number of pieces at quantiles of the first order column, and
-    values of it that fill several pieces at quantiles of the second."""
-    order = as_list(order)
-    first, second = positions(df, order)
-    if first is None:
-        return None
-    small = F.broadcast(hot.frame.withColumnsRenamed({k: f"__hot_{k}" for k in keys}))
-    rows = df.select(*keys, first.alias("__a"), second.alias("__b")).join(
-        small, all_of([F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys]), "inner"
-    )
-    found = (
-        rows.groupBy(*keys)
-        .agg(F.percentile_approx("__a", GRID, 2000).alias("__grid"), F.max("__splits").alias("__s"))
-        .collect()
-    )
-    key_fields = [T.StructField(k, df.schema[k].dataType) for k in keys]
-    kind = rows.schema["__a"].dataType
-    marks = {}
-    for row in found:
-        step = max(1, 256 // row["__s"])
-        marks[tuple(row[k] for k in keys)] = (row["__grid"] or [])[step - 1 :: step]
-    crowded = [(*k, v) for k, vs in marks.items() for v in set(vs) if vs.count(v) > 1]
-    inner = {}
-    # a decimal's position is rounded, so rows of one position need not be equal: no second cut there
-    if crowded and len(order) > 1 and not isinstance(df.schema[order[0]].dataType, T.DecimalType):
-        spots = F.broadcast(df.sparkSession.createDataFrame(  # at most MAX_PIECES values
-            crowded, T.StructType([T.StructField(f"__k{i}", f.dataType) for i, f in enumerate(key_fields)]
-                                  + [T.StructField("__v", kind)])))
-        same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] + [F.col("__a") == F.col("__v")]
-        for row in (
-            rows.join(spots, all_of(same)).groupBy(*keys, "__a")
-            .agg(F.percentile_approx("__b", GRID, 2000).alias("__grid")).collect()
-        ):
-            spot = tuple(row[k] for k in keys), row["__a"]
-            pieces = marks[spot[0]].count(spot[1])
-            inner[spot] = (row["__grid"] or [])[:: max(1, 256 // pieces)]
-    data = []
-    for key, values in marks.items():
-        bounds = {(v, float("inf")) for v in values} | {(v, b) for v in set(values) for b in inner.get((key, v), ())}
-        data.append((*key, sorted(bounds)))
-    pair = T.StructType([T.StructField("a", kind), T.StructField("b", T.DoubleType())])
-    schema = T.StructType(key_fields + [T.StructField("__bounds", T.ArrayType(pair))])
-    return Cuts(keys, order, df.sparkSession.createDataFrame(data, schema))
-
-
-def window_over(keys, order, piece: bool = False) -> WindowSpec:
-    parts = as_list(keys) + ([PIECE] if piece else [])
-    return Window.partitionBy(*parts).orderBy(*as_list(order))
+def without_halo(rows: DataFrame) -> DataFrame:
+    return rows.filter(~F.col(HALO)).drop(HALO, PIECE, AT)
 
 
 def windowed(
@@ -134,96 +72,61 @@ def windowed(
 ) -> DataFrame:
     """Add ``build(window)`` columns that look back at most ``reach`` rows.
 
-    ``needs`` are the columns the expressions read; only those are copied across cuts.
+    ``needs`` are the columns the expressions read; only those are copied across borders.
     """
     keys, order = as_list(keys), as_list(order)
-    cuts = find_cuts(df, keys, order, hot_rows)
-    if cuts is None:
-        return df.withColumns(build(window_over(keys, order)))
-    rows = cuts.assign(df)
-    if reach > 0:
-        carried = order + [n for n in dict.fromkeys(as_list(needs)) if n not in order + keys]
-        newest = Window.partitionBy(*keys, PIECE).orderBy(*[F.col(o).desc() for o in order])
-        tails = (
-            rows.filter("__cut")
-            .select(*keys, PIECE, *carried)
-            .withColumn("__back", F.row_number().over(newest))
-            .filter(F.col("__back") <= reach)
-            .groupBy(*keys, PIECE)
-            .agg(
-                F.transform(
-                    F.sort_array(
-                        F.collect_list(
-                            F.struct((-F.col("__back")).alias("__at"), F.struct(*carried).alias("__row"))
-                        )
-                    ),
-                    lambda s: s["__row"],
-                ).alias("__tail")
-            )
-        )
-        before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(-reach, -1)
-        earlier = F.flatten(F.collect_list("__tail").over(before))
-        halo = (
-            tails.withColumn("__earlier", earlier)
-            .withColumn("__from", F.greatest(F.size("__earlier") - reach, F.lit(0)) + 1)
-            .select(
-                *keys, PIECE, F.explode(F.slice("__earlier", F.col("__from"), F.lit(reach))).alias("__row")
-            )
-            .select(*keys, PIECE, "__row.*")
-            .withColumn("__halo", F.lit(True))
-        )
-        rows = rows.withColumn("__halo", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    else:
-        rows = rows.withColumn("__halo", F.lit(False))
-    out = rows.withColumns(build(window_over(keys, order, piece=True)))
-    return out.filter(~F.col("__halo")).drop("__halo", "__cut", PIECE)
-
-
-def _at(order: list[str], when: Column) -> Column:
-    return F.when(when, F.struct(*[F.col(o) for o in order]))
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot:
+        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
+    rows = cut_series(df, keys, order, hot)
+    if reach <= 0:
+        return rows.withColumns(build(piece_window(keys))).drop(PIECE, AT)
+    carried = [AT, *[n for n in dict.fromkeys(as_list(needs)) if n not in keys]]
+    newest = Window.partitionBy(*keys, PIECE).orderBy(F.col(AT).desc())
+    tails = (
+        crossing_rows(rows, keys)
+        .select(*keys, PIECE, *carried)
+        .withColumn("__back", F.row_number().over(newest))
+        .filter(F.col("__back") <= reach)
+        .groupBy(*keys, PIECE)
+        .agg(F.sort_array(F.collect_list(F.struct(*carried))).alias("__tail"))
+    )
+    before = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(-reach, -1)
+    earlier = F.slice(F.reverse(F.flatten(F.collect_list("__tail").over(before))), 1, reach)
+    halo = tails.select(*keys, PIECE, earlier.alias("__earlier")).select(*keys, PIECE, F.inline("__earlier"))
+    return without_halo(with_halo(rows, halo).withColumns(build(piece_window(keys))))
 
 
 def carry_last(
     df: DataFrame, keys, order, targets: dict[str, str], hot_rows: int | None = HOT_ROWS,
-    backward: bool = False, cuts: Cuts | None = None,
+    backward: bool = False, hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add ``{new: source}``: the last non-NULL source value up to and including each row.
 
-    ``backward`` takes the next value instead. ``cuts`` are known cuts of the series.
+    ``backward`` takes the next value instead. ``hot`` are the known hot keys of the series.
     """
     keys, order = as_list(keys), as_list(order)
     pick = F.first if backward else F.last
-    frame = (Window.currentRow, Window.unboundedFollowing) if backward else (
+    span = (Window.currentRow, Window.unboundedFollowing) if backward else (
         Window.unboundedPreceding, Window.currentRow)
-    cuts = cuts or find_cuts(df, keys, order, hot_rows)
-    if cuts is None:
-        w = window_over(keys, order).rowsBetween(*frame)
-        return df.withColumns({new: pick(src, ignorenulls=True).over(w) for new, src in targets.items()})
-    rows = cuts.assign(df)
+    hot = hot or hot_keys(df, keys, hot_rows)
+
+    def filled(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        return rows.withColumns({new: pick(src, ignorenulls=True).over(w.rowsBetween(*span)) for new, src in targets.items()})
+
+    if not hot:
+        return filled(df, Window.partitionBy(*keys).orderBy(*order))
+    rows, sources = cut_series(df, keys, order, hot), list(dict.fromkeys(targets.values()))
     best = F.min_by if backward else F.max_by
-    ends = rows.filter("__cut").groupBy(*keys, PIECE).agg(
-        *[best(src, _at(order, F.col(src).isNotNull())).alias(f"__end_{new}") for new, src in targets.items()]
-    )
+    ends = crossing_rows(rows, keys).groupBy(*keys, PIECE).agg(
+        *[best(src, F.when(F.col(src).isNotNull(), F.col(AT))).alias(src) for src in sources])
     others = Window.partitionBy(*keys).orderBy(PIECE)
     others = others.rowsBetween(1, Window.unboundedFollowing) if backward else others.rowsBetween(
         Window.unboundedPreceding, -1)
-    carries = ends.select(
-        *[F.col(k).alias(f"__c_{k}") for k in keys],
-        F.col(PIECE).alias("__c_piece"),
-        *[pick(f"__end_{new}", ignorenulls=True).over(others).alias(f"__in_{new}") for new in targets],
-    )
-    carries = F.broadcast(carries)  # one row per piece of a hot key: bounded by MAX_PIECES and MAX_HOT
-    w = window_over(keys, order, piece=True).rowsBetween(*frame)
-    local = rows.withColumns({new: pick(src, ignorenulls=True).over(w) for new, src in targets.items()})
-    joined = local.join(
-        carries,
-        all_of([F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys] + [F.col(PIECE) == F.col("__c_piece")]),
-        "left",
-    )
-    out = joined.withColumns({new: F.coalesce(F.col(new), F.col(f"__in_{new}")) for new in targets})
-    return out.drop(
-        "__cut", PIECE, "__c_piece", *[f"__c_{k}" for k in keys], *[f"__in_{n}" for n in targets]
-    )
+    halo = ends.select(
+        *keys, PIECE, F.lit(AFTER if backward else BEFORE).cast("long").alias(AT),
+        *[pick(src, ignorenulls=True).over(others).alias(src) for src in sources])
+    return without_halo(filled(with_halo(rows, halo), piece_window(keys)))
 
 
 def running_total(
@@ -233,41 +136,32 @@ def running_total(
     """Add inclusive running sums ``{new: source}`` and whole-series sums ``totals``."""
     keys, order = as_list(keys), as_list(order)
     totals = totals or {}
-    cuts = find_cuts(df, keys, order, hot_rows)
+    hot = hot_keys(df, keys, hot_rows)
     span = (Window.unboundedPreceding, Window.currentRow)
-    if cuts is None:
-        w, whole = window_over(keys, order).rowsBetween(*span), Window.partitionBy(*keys)
-        return df.withColumns(
-            {new: F.sum(src).over(w) for new, src in sums.items()}
-            | {new: F.sum(src).over(whole) for new, src in totals.items()}
-        )
-    rows = cuts.assign(df)
-    every = {f"s_{n}": s for n, s in sums.items()} | {f"t_{n}": s for n, s in totals.items()}
-    ends = rows.filter("__cut").groupBy(*keys, PIECE).agg(
-        *[F.sum(src).alias(f"__end_{new}") for new, src in every.items()]
-    )
-    earlier = Window.partitionBy(*keys).orderBy(PIECE).rowsBetween(Window.unboundedPreceding, -1)
-    carries = F.broadcast(ends.select(  # one row per piece of a hot key
-        *[F.col(k).alias(f"__c_{k}") for k in keys],
-        F.col(PIECE).alias("__c_piece"),
-        *[F.sum(f"__end_s_{n}").over(earlier).alias(f"__in_{n}") for n in sums],
-        *[F.sum(f"__end_t_{n}").over(Window.partitionBy(*keys)).alias(f"__all_{n}") for n in totals],
-    ))
-    w = window_over(keys, order, piece=True).rowsBetween(*span)
-    whole = Window.partitionBy(*keys, PIECE)
-    local = rows.withColumns(
-        {n: F.sum(s).over(w) for n, s in sums.items()} | {n: F.sum(s).over(whole) for n, s in totals.items()}
-    )
-    joined = local.join(
-        carries,
-        all_of([F.col(k).eqNullSafe(F.col(f"__c_{k}")) for k in keys] + [F.col(PIECE) == F.col("__c_piece")]),
-        "left",
-    )
-    out = joined.withColumns(
-        {n: F.col(n) + F.coalesce(F.col(f"__in_{n}"), F.lit(0)) for n in sums}
-        | {n: F.coalesce(F.col(f"__all_{n}"), F.col(n)) for n in totals}
-    )
-    return out.drop(
-        "__cut", PIECE, "__c_piece", *[f"__c_{k}" for k in keys],
-        *[f"__in_{n}" for n in sums], *[f"__all_{n}" for n in totals],
+    whole = Window.partitionBy(*keys)
+    plain = df.withColumns(
+        {new: F.sum(src).over(whole.orderBy(*order).rowsBetween(*span)) for new, src in sums.items()}
+        | {new: F.sum(src).over(whole) for new, src in totals.items()}
     )
+    if not hot:
+        return plain
+    every = {**sums, **totals}
+    kinds = {new: plain.schema[new].dataType for new in every}
+    rows = cut_series(df, keys, order, hot).withColumns({f"__add_{n}": F.col(s).cast(kinds[n]) for n, s in every.items()})
+    ends = crossing_rows(rows, keys).groupBy(*keys, PIECE).agg(*[F.sum(f"__add_{n}").alias(f"__add_{n}") for n in every])
+    ordered = whole.orderBy(PIECE)
+    earlier, later = ordered.rowsBetween(Window.unboundedPreceding, -1), ordered.rowsBetween(1, Window.unboundedFollowing)
+
+    def others(c: str) -> Column:
+        before, after = F.sum(c).over(earlier), F.sum(c).over(later)
+        return F.coalesce(before + after, before, after)
+
+    halo = ends.select(
+        *keys, PIECE, F.lit(BEFORE).cast("long").alias(AT),
+        *[F.sum(f"__add_{n}").over(earlier).cast(kinds[n]).alias(f"__add_{n}") for n in sums],
+        *[others(f"__add_{n}").cast(kinds[n]).alias(f"__add_{n}") for n in totals])
+    here = Window.partitionBy(*keys, PIECE)
+    out = with_halo(rows, halo).withColumns(
+        {n: F.sum(f"__add_{n}").over(here.orderBy(AT).rowsBetween(*span)).cast(kinds[n]) for n in sums}
+        | {n: F.sum(f"__add_{n}").over(here).cast(kinds[n]) for n in totals})
+    return without_halo(out).drop(*[f"__add_{n}" for n in every])

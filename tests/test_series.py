@@ -9,9 +9,10 @@ import pytest
 from conftest import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from featurelake.functions import encoding, skew
+from featurelake.functions import encoding, ranges, skew
 from featurelake.operators import aggregate, clean, features, joins, series
 
 START = datetime(2024, 1, 1)
@@ -80,22 +81,23 @@ def test_one_instant_is_cut_along_the_second_column(spark):
     """Most rows of the hot key share one time; they are cut by the id."""
     df = build(spark, n=500, seed=12).withColumn(
         "ts", F.when(F.col("id") % 5 > 0, F.lit(datetime(2024, 1, 1, 0, 1))).otherwise(F.col("ts")))
-    cuts = series.find_cuts(df, "key", ORDER, hot_rows=20)
-    sizes = [r["count"] for r in cuts.assign(df).filter("__cut").groupBy("key", series.PIECE).count().collect()]
-    assert max(sizes) < 0.3 * sum(sizes)
+    cut = series.cut_series(df, ["key"], ORDER, skew.hot_keys(df, "key", 20))
+    sizes = [r["count"] for r in cut.filter("key = 'hot'").groupBy("key", series.PIECE).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 0.3 * sum(sizes)
     args = ("key", ORDER, "value", [1, 4])
     assert rows(features.lag_features(df, *args, hot_rows=20)) == rows(features.lag_features(df, *args, hot_rows=None))
     options = dict(strategy="ffill", columns=["value"], partition_by="key", order_by=ORDER)
     assert rows(clean.fill_nulls(df, hot_rows=20, **options)) == rows(clean.fill_nulls(df, hot_rows=None, **options))
 
 
-@pytest.mark.parametrize("kind", ["timestamp_ntz", "date", "bigint", "double", "decimal(12,3)"])
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "date", "bigint", "double", "decimal(12,3)", "string", "binary"])
 def test_order_types(spark, kind):
     df = build(spark, seed=5)
     if kind in ("timestamp_ntz", "date"):
         at = F.col("ts").cast(kind) if kind == "timestamp_ntz" else F.date_add(F.lit("2024-01-01"), F.col("id"))
     else:
-        at = (F.col("id") * 3 % 101).cast(kind)
+        at = F.col("id") * 3 % 101
+        at = at.cast("string").cast(kind) if kind == "binary" else at.cast(kind)
     df = df.withColumn("at", at)
     args = ("key", ["at", "id"], "value", [1, 2])
     assert rows(features.lag_features(df, *args, hot_rows=12)) == rows(features.lag_features(df, *args, hot_rows=None))
@@ -109,6 +111,24 @@ def test_running_total_pieces(spark):
     assert got.columns == [*df.columns, "rank", "n"]
 
 
+def test_series_and_ranks_of_any_length(spark):
+    """Ranks by range partitions, with NULL groups, ties and empty frames; pieces of one row each."""
+    df = build(spark, n=150, seed=13)
+    w = Window.partitionBy("key").orderBy("ts", "id")
+    plain = df.withColumns({"rank": F.row_number().over(w).cast("long") - 1, "size": F.count(F.lit(1)).over(Window.partitionBy("key"))})
+    assert rows(ranges.ranked(df, ["key"], ["ts", "id"]), *plain.columns) == rows(plain)
+    assert ranges.ranked(df.filter("id < 0"), ["key"], ["ts", "id"]).count() == 0
+    assert sorted(r["rank"] for r in ranges.ranked(df, [], ["ts"]).collect()) == list(range(150))
+    args = ("key", ORDER, "value", [1, 2])
+    assert rows(features.lag_features(df, *args, hot_rows=1)) == rows(features.lag_features(df, *args, hot_rows=None))
+
+
+def test_kinds_that_files_do_not_hold(spark):
+    df = build(spark, n=60).withColumn("nothing", F.lit(None))
+    args = ("key", ORDER, "value", [1])
+    assert rows(features.lag_features(df, *args, hot_rows=9)) == rows(features.lag_features(df, *args, hot_rows=None))
+
+
 def brute_asof(entities, feats):
     known = {}
     for f in feats:
@@ -183,6 +203,20 @@ def test_group_features_copies(spark):
     assert salted.select("salt").distinct().count() > 3
 
 
+def test_hot_keys_by_buckets(spark):
+    """Two rounds find what a count of every key finds; the second only where a bucket is heavy."""
+    df = build(spark, n=900, seed=14).withColumn("other", F.col("id") % 7)
+    for names in (["key"], ["key", "other"]):
+        counts = df.groupBy(*names).count().filter("count > 30").collect()
+        hot = skew.hot_keys(df, names, 30)
+        assert sorted(tuple(r)[:-1] for r in hot.frame.collect() if None not in tuple(r)) == sorted(
+            tuple(r)[:-1] for r in counts if None not in tuple(r))
+        assert hot.frame.count() == len(counts) and hot.rows == 900 and hot.largest == max(r["count"] for r in counts)
+    assert not skew.hot_keys(df, "id", 30) and skew.hot_keys(df, "id", 30).rows == 900
+    known = skew.hot_of(df.groupBy("key").count(), "key", "count", 30)
+    assert rows(known.frame) == rows(skew.hot_keys(df, "key", 30).frame)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "outer"])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_salted_join(spark, how, null_safe):
