@@ -1,18 +1,24 @@
 """Versioned feature store on plain parquet.
 
-Layout below the base folder: ``<group>/_v=<n>/…`` data files, ``_registry`` one row per group,
-``_versions`` one row per version. A version is the list of folders in its row: appends add a
-folder, upserts replace only the partitions they touch, and a write that fails before its row is
-appended stays invisible. One writer at a time; any number of readers.
+Layout below the base folder: ``<group>/_w=<id>/…`` data of one write, ``_registry/<group>.json`` what a group is,
+``_versions/<group>/<number>.json`` what a version is: the writes it is made of, and facts about them.
+
+* A version is committed by creating its file, which fails if the file is there. So of two writers one goes on to the
+  next number and states its facts anew against what the other wrote; no version is lost, none is seen half written.
+* Upserts merge on read: they write their own rows only, as a delta. On reading, the newest delta of a key hides its
+  rows in earlier writes. The deltas' keys are grouped, the rest is joined against them; without deltas nothing is.
+  ``compact`` folds deltas into one write, as an upsert does itself once there are many.
+
+Any number of readers and writers. Commits are exclusive on local disks (hard links) and on file systems whose rename
+refuses an existing target, as HDFS does.
 """
 
 from __future__ import annotations
 
 import json
-import re
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,35 +34,88 @@ REGISTRY = (
     "name string, entity_key string, timestamp_column string, description string, "
     "tags map<string,string>, created_at timestamp"
 )
+WRITE = "id string, version int, delta boolean, files bigint, bytes bigint, rows bigint, hash decimal(38,0)"
 VERSIONS = (
     "feature_group string, version int, operation string, created_at timestamp, row_count bigint, "
     "column_count int, file_count bigint, size_bytes bigint, hash_sum decimal(38,0), "
-    "schema_json string, partition_columns array<string>, "
-    "folders array<struct<path string, files bigint, bytes bigint, rows bigint, hash decimal(38,0)>>, epoch_id bigint"
+    f"schema_json string, partition_columns array<string>, writes array<struct<{WRITE.replace(' ', ': ').replace(',:', ',')}>>, epoch_id bigint"
 )
 STAMP = "_feature_store_updated_at"
+FOLD_AFTER = 16
+ATTEMPTS = 100
 
 
 @dataclass(frozen=True)
 class VersionInfo:
     feature_group: str
     version: int
-    row_count: int
+    row_count: int | None
     operation: str
 
 
+class SmallFiles:
+    """The store's own small files, through Hadoop's file systems, so on any storage that Spark reads."""
+
+    def __init__(self, spark: SparkSession):
+        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def _open(self, path: str):
+        where = self.jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.conf)
+
+    def make_folder(self, path: str) -> None:
+        where, fs = self._open(path)
+        fs.mkdirs(where)
+
+    def names(self, path: str) -> list[str]:
+        where, fs = self._open(path)
+        found = fs.listStatus(where) if fs.exists(where) else []
+        return sorted(n for f in found if (n := f.getPath().getName())[0] not in "._")
+
+    def read(self, path: str) -> dict | None:
+        where, fs = self._open(path)
+        if not fs.exists(where):
+            return None
+        stream = fs.open(where)
+        try:
+            return json.loads(self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def create(self, path: str, content: dict) -> bool:
+        """Create a file with its whole content, or return False if it exists."""
+        folder, _, name = path.rpartition("/")
+        where, fs = self._open(path)
+        hidden, _ = self._open(f"{folder}/.{name}-{uuid.uuid4().hex}")
+        stream = fs.create(hidden, False)
+        stream.write(json.dumps(content).encode())
+        stream.close()
+        if fs.getUri().getScheme() != "file":
+            return fs.rename(hidden, where) or not fs.delete(hidden, False)
+        local = [self.jvm.java.io.File(p.toUri().getPath()).toPath() for p in (where, hidden)]
+        try:
+            self.jvm.java.nio.file.Files.createLink(*local)  # a rename would replace the file
+        except Exception as e:
+            if "FileAlreadyExists" not in str(e):
+                raise
+            return False
+        finally:
+            fs.delete(hidden, False)
+        return True
+
+
 class FeatureStore:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
-        for name, schema in (("_registry", REGISTRY), ("_versions", VERSIONS)):
-            empty = spark.createDataFrame([], schema).coalesce(1)
-            empty.write.mode("ignore").parquet(f"{self.base}/{name}")
+        self.files = SmallFiles(spark)
+        for name in ("_registry", "_versions"):
+            self.files.make_folder(f"{self.base}/{name}")
 
     # --- registry ---------------------------------------------------------------------------
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.base}/{name}")
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").json(f"{self.base}/{name}")
 
     def groups(self) -> DataFrame:
         return self._table("_registry", REGISTRY)
@@ -67,16 +126,18 @@ class FeatureStore:
     def register(
         self, name: str, entity_key: str, timestamp_column: str, description: str = "", tags: dict | None = None
     ) -> None:
-        if self.groups().filter(F.col("name") == name).take(1):
+        row = {
+            "name": name, "entity_key": entity_key, "timestamp_column": timestamp_column, "description": description,
+            "tags": tags or {}, "created_at": _now()}
+        if not self.files.create(f"{self.base}/_registry/{name}.json", row):
             raise ValueError(f"feature group {name!r} exists already")
-        row = (name, entity_key, timestamp_column, description, tags or {}, datetime.now(timezone.utc))
-        self.spark.createDataFrame([row], REGISTRY).coalesce(1).write.mode("append").parquet(f"{self.base}/_registry")
+        self.files.make_folder(f"{self.base}/_versions/{name}")
 
-    def group(self, name: str):
-        rows = self.groups().filter(F.col("name") == name).take(1)
-        if not rows:
+    def group(self, name: str) -> dict:
+        row = self.files.read(f"{self.base}/_registry/{name}.json")
+        if row is None:
             raise ValueError(f"feature group {name!r} is not registered")
-        return rows[0]
+        return row
 
     def list_groups(self) -> DataFrame:
         """Groups with their latest version and its rows."""
@@ -86,7 +147,8 @@ class FeatureStore:
             F.max("created_at").alias("updated_at"),
         )
         return self.groups().join(newest, "name", "left").withColumns(
-            {"latest_version": F.coalesce("latest_version", F.lit(0)), "total_rows": F.coalesce("total_rows", F.lit(0))}
+            {"latest_version": F.coalesce("latest_version", F.lit(0)),
+             "total_rows": F.when(F.col("latest_version").isNull(), 0).otherwise(F.col("total_rows"))}
         )
 
     def history(self, name: str) -> DataFrame:
@@ -99,16 +161,26 @@ class FeatureStore:
 
     # --- reading ----------------------------------------------------------------------------
 
-    def _version_row(self, name: str, version: int | None = None, as_of=None):
-        rows = self.versions().filter(F.col("feature_group") == name)
-        if version is not None:
-            rows = rows.filter(F.col("version") == version)
+    def _version_row(self, name: str, version: int | None = None, as_of=None) -> dict:
         if as_of is not None:
-            rows = rows.filter(F.col("created_at") <= F.lit(as_of).cast("timestamp"))
-        best = rows.orderBy(F.desc("version")).take(1)
-        if not best:
+            rows = self.versions().filter((F.col("feature_group") == name) & (F.col("created_at") <= F.lit(as_of).cast("timestamp")))
+            if version is not None:
+                rows = rows.filter(F.col("version") == version)
+            version = rows.agg(F.max("version")).first()[0]
+            row = None if version is None else self._read_version(name, version)
+        else:
+            row = self._latest(name) if version is None else self._read_version(name, version)
+        if row is None:
             raise ValueError(f"no version of {name!r} for version={version}, as_of={as_of}")
-        return best[0]
+        return row
+
+    def _read_version(self, name: str, version: int) -> dict | None:
+        return self.files.read(f"{self.base}/_versions/{name}/{version:09d}.json")
+
+    def _latest(self, name: str) -> dict | None:
+        """Row of the latest version, or None."""
+        names = self.files.names(f"{self.base}/_versions/{name}")
+        return self.files.read(f"{self.base}/_versions/{name}/{names[-1]}") if names else None
 
     def read(
         self, name: str, version: int | None = None, as_of=None, columns=None, filter_condition: str | None = None
@@ -123,55 +195,94 @@ class FeatureStore:
             df = df.filter(filter_condition)
         return df.select(*present(df, columns)) if columns else df
 
-    def _load(self, name: str, row) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(row["schema_json"]))
-        root = f"{self.base}/{name}"
-        paths = [f"{root}/{f['path']}" for f in row["folders"]]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        full = T.StructType(schema.fields + [T.StructField("_v", T.IntegerType())])
-        return self.spark.read.schema(full).option("basePath", root).parquet(*paths).select(*schema.names)
+    def _written(self, name: str, row: dict) -> DataFrame:
+        """All rows of a version's writes, hidden ones too, with the write they are from."""
+        schema, root = T.StructType.fromJson(json.loads(row["schema_json"])), f"{self.base}/{name}"
+        full = T.StructType(schema.fields + [T.StructField("_w", T.StringType())])
+        paths = [f"{root}/_w={w['id']}" for w in row["writes"]]
+        return self.spark.read.schema(full).option("basePath", root).parquet(*paths)
+
+    def _load(self, name: str, row: dict) -> DataFrame:
+        """The rows of a version that no later delta hides."""
+        columns, writes = T.StructType.fromJson(json.loads(row["schema_json"])).names, row["writes"]
+        rows, first = self._written(name, row), min(w["version"] for w in writes)
+        deltas = [w["id"] for w in writes if w["delta"] and w["version"] > first]
+        if not deltas:
+            return rows.select(*columns)
+        meta = self.group(name)
+        keys = [meta["entity_key"], meta["timestamp_column"]]
+        numbers = self.spark.createDataFrame([(w["id"], w["version"]) for w in writes], "_w string, __version int")
+        rows = rows.join(F.broadcast(numbers), "_w")  # one row per write
+        newest = rows.filter(F.col("_w").isin(deltas)).groupBy(*[F.col(k).alias(f"__n_{k}") for k in keys])
+        newest = newest.agg(F.max("__version").alias("__newest"))
+        hidden = [F.col(k) == F.col(f"__n_{k}") for k in keys] + [F.col("__newest") > F.col("__version")]
+        return rows.join(newest, all_of(hidden), "left_anti").select(*columns)
 
     # --- writing ----------------------------------------------------------------------------
 
-    def _next_version(self, name: str) -> int:
-        top = self.versions().filter(F.col("feature_group") == name).agg(F.max("version")).first()[0]
-        return (top or 0) + 1
-
-    def _write(self, df: DataFrame, name: str, operation: str, partition_columns, keep=(), epoch_id=None) -> VersionInfo:
-        """Write one folder, then the row that makes it a version together with the ``keep`` folders.
-
-        Rows, bytes and content hash are taken from the files as written, in one pass over the new
-        ones. Hash sums add up, so a version made of old and new folders needs no pass over the old.
-        """
-        version = self._next_version(name)
-        parts = as_list(partition_columns)
-        root = f"{self.base}/{name}/_v={version}"
-        writer = df.write.mode("overwrite")
-        if parts:
-            writer = writer.partitionBy(*parts)
+    def _write(self, df: DataFrame, name: str, partition_columns, delta: bool = False) -> dict:
+        """Write a folder of its own; files, bytes, rows and content hash are taken from it as written, in one pass."""
+        made = uuid.uuid4().hex
+        root = f"{self.base}/{name}/_w={made}"
+        writer = df.write.partitionBy(*partition_columns) if partition_columns else df.write
         writer.parquet(root)
         hashed, rows = fingerprint_columns(sorted(c for c in df.columns if c != STAMP))
-        files = self.spark.read.schema(df.schema).parquet(root).groupBy("_metadata.file_path").agg(
-            F.max("_metadata.file_size").alias("bytes"), rows.alias("rows"), hashed.alias("hash")
-        )
-        folders = [
-            tuple(r)
-            for r in files.groupBy(F.regexp_extract("file_path", rf"/(_v={version}(?:/.*)?)/[^/]*$", 1).alias("path"))
-            .agg(
-                F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"),
-                F.sum("hash").cast("decimal(38,0)").alias("hash"),
-            )
-            .collect()  # one row per partition folder
-        ]
-        every = sorted([tuple(f) for f in keep] + folders)
-        files_, bytes_, rows_, hash_ = (sum(f[i] for f in every) for i in range(1, 5))
-        row = (
-            name, version, operation, datetime.now(timezone.utc), rows_, len(df.columns), files_, bytes_,
-            Decimal(hash_), df.schema.json(), parts, every, epoch_id,
-        )
-        self.spark.createDataFrame([row], VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.base}/_versions")
-        return VersionInfo(name, version, rows_, operation)
+        per_file = self.spark.read.schema(df.schema).parquet(root).groupBy("_metadata.file_path").agg(
+            F.max("_metadata.file_size").alias("bytes"), rows.alias("rows"), hashed.alias("hash"))
+        facts = per_file.agg(
+            F.count(F.lit(1)), *[F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)") for c in ("bytes", "rows", "hash")]).first()
+        return {"id": made, "delta": delta, **dict(zip(("files", "bytes", "rows", "hash"), map(int, facts), strict=True))}
+
+    def _commit(
+        self, name: str, before: dict | None, operation: str, made: dict, schema: T.StructType, parts, keep=(),
+        replaced: tuple[int, int] | None = (0, 0), epoch_id=None,
+    ) -> VersionInfo | None:
+        """Create the next version's file, or return None if another writer was first.
+
+        ``replaced`` are rows and content hash that ``made`` hides in the ``keep`` writes, None if not counted.
+        """
+        version = before["version"] + 1 if before else 1
+        writes = [*keep, {**made, "version": version}]
+        known = replaced is not None and (not keep or before["row_count"] is not None)
+        old = (before["row_count"], before["hash_sum"]) if keep and known else (0, 0)
+        row = {
+            "feature_group": name, "version": version, "operation": operation, "created_at": _now(),
+            "row_count": old[0] + made["rows"] - replaced[0] if known else None, "column_count": len(schema),
+            "file_count": sum(w["files"] for w in writes), "size_bytes": sum(w["bytes"] for w in writes),
+            "hash_sum": old[1] + made["hash"] - replaced[1] if known else None, "schema_json": schema.json(),
+            "partition_columns": list(parts), "writes": writes, "epoch_id": epoch_id}
+        if not self.files.create(f"{self.base}/_versions/{name}/{version:09d}.json", row):
+            return None
+        return VersionInfo(name, version, row["row_count"], operation)
+
+    def _add(self, df: DataFrame, name: str, operation: str, partition_columns, keys=(), count=True, epoch_id=None) -> VersionInfo:
+        """Write the rows once and commit them on top of whatever is the latest version by then."""
+        before = self._latest(name)
+        parts = before["partition_columns"] if before and operation != "overwrite" else as_list(partition_columns)
+        if before and operation != "overwrite":
+            df = appended(df, _schema(before))
+        made = self._write(df, name, parts, delta=bool(keys))
+        for _ in range(ATTEMPTS):
+            schema, keep, replaced = df.schema, [], (0, 0)
+            if before and operation != "overwrite":
+                if before["partition_columns"] != parts:
+                    raise ValueError(f"{name!r} is partitioned by {before['partition_columns']}, not by {parts}")
+                schema, keep = combined(_schema(before), df.schema), before["writes"]
+                if keys:
+                    replaced = self._replaced(name, before, made["id"], df.schema, keys) if count else None
+            info = self._commit(name, before, operation, made, schema, parts, keep, replaced, epoch_id)
+            if info:
+                return info
+            before = self._latest(name)
+        raise RuntimeError(f"no version of {name!r} could be committed in {ATTEMPTS} attempts")
+
+    def _replaced(self, name: str, before: dict, made: str, schema: T.StructType, keys) -> tuple[int, int]:
+        """Rows and content hash of the rows that a delta hides."""
+        delta = self.spark.read.schema(schema).parquet(f"{self.base}/{name}/_w={made}").select(*keys)
+        rows = self._load(name, before)
+        hashed, number = fingerprint_columns(sorted(c for c in rows.columns if c != STAMP))
+        found = rows.join(delta, list(keys), "left_semi").agg(number, hashed).first()
+        return int(found[0]), int(found[1])
 
     def write(
         self, df: DataFrame, name: str, mode: str = "merge", partition_columns=None, epoch_id: int | None = None
@@ -182,68 +293,48 @@ class FeatureStore:
             return self.upsert(df, name, partition_columns, epoch_id)
         if mode not in ("overwrite", "append"):
             raise ValueError(f"unknown mode {mode!r}")
-        df = df.withColumn(STAMP, F.current_timestamp())
-        before = self._latest(name)
-        if mode == "overwrite" or before is None:
-            return self._write(df, name, mode, partition_columns, epoch_id=epoch_id)
-        df = appended(df, T.StructType.fromJson(json.loads(before["schema_json"])))
-        return self._write(df, name, mode, before["partition_columns"], before["folders"], epoch_id)
+        return self._add(df.withColumn(STAMP, F.current_timestamp()), name, mode, partition_columns, epoch_id=epoch_id)
 
-    def _latest(self, name: str):
-        """Row of the latest version, or None."""
-        rows = self.versions().filter(F.col("feature_group") == name)
-        return next(iter(rows.orderBy(F.desc("version")).take(1)), None)
-
-    def upsert(self, source: DataFrame, name: str, partition_columns=None, epoch_id: int | None = None) -> VersionInfo:
-        """Replace rows of equal entity key and event time, add the others.
+    def upsert(
+        self, source: DataFrame, name: str, partition_columns=None, epoch_id: int | None = None, order_by=None,
+        count: bool = True, fold_after: int | None = FOLD_AFTER,
+    ) -> VersionInfo:
+        """Replace rows of equal entity key and event time, add the others; only the source is written.
 
-        Only an absent table takes the initial-write path; any other error surfaces. With partition
-        columns, partitions without a matching or new row keep their files.
+        A source that repeats a key raises, or with ``order_by`` (columns, or none of them: ``[]``) its last row wins,
+        equal ones by a hash of all values. ``count=False`` spares the look for replaced rows; rows and hash of the
+        version are then unknown until it is compacted. With ``fold_after`` deltas the version is compacted.
         """
         meta = self.group(name)
         keys = [meta["entity_key"], meta["timestamp_column"]]
-        if source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
+        if order_by is not None:
+            source = last_rows(source, keys, order_by)
+        elif source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").take(1):
             raise ValueError(f"source holds several rows for one {keys}")
-        source = source.withColumn(STAMP, F.current_timestamp())
-        before = self._latest(name)
-        if before is None:
-            return self._write(source, name, "merge", partition_columns, epoch_id=epoch_id)
-        target = self._load(name, before)
-        parts = before["partition_columns"]
-        if not parts:
-            return self._write(merge_rows(target, source, keys), name, "merge", None, epoch_id=epoch_id)
-        moved = target.select(*keys, *parts).join(source.select(*keys), keys, "left_semi").select(*parts)
-        touched = moved.unionByName(source.select(*parts)).distinct().collect()  # partition values
-        spots = [all_of([F.col(p).eqNullSafe(F.lit(r[p])) for p in parts]) for r in touched]
-        inside = spots[0] if spots else F.lit(False)
-        for s in spots[1:]:
-            inside = inside | s
-        rewritten = merge_rows(target.filter(inside), source, keys)
-        gone = {
-            r[0]
-            for r in target.filter(inside)
-            .select(F.regexp_extract("_metadata.file_path", rf"/{re.escape(name)}/(_v=\d+(?:/.*)?)/[^/]*$", 1))
-            .distinct()
-            .collect()  # one row per rewritten partition
-        }
-        keep = [f for f in before["folders"] if f["path"] not in gone]
-        return self._write(rewritten, name, "merge", parts, keep, epoch_id)
+        info = self._add(source.withColumn(STAMP, F.current_timestamp()), name, "merge", partition_columns, keys, count, epoch_id)
+        if fold_after and sum(w["delta"] for w in self._read_version(name, info.version)["writes"]) > fold_after:
+            self.compact(name)
+        return info
 
     def compact(self, name: str, num_files: int = 16) -> VersionInfo:
-        """Rewrite the latest version into about ``num_files`` files, as a new version."""
-        before = self._version_row(name)
-        df, parts = self._load(name, before), before["partition_columns"]
-        if parts:  # files per partition value in proportion to its bytes, one at least
-            total = max(1, sum(f["bytes"] for f in before["folders"]))
-            per_file = max(1, -(-total // num_files))
-            size = F.max("_metadata.file_size").alias("bytes")
-            sizes = df.groupBy(*parts, "_metadata.file_path").agg(size).groupBy(*parts).agg(
-                F.greatest(F.lit(1), F.round(F.sum("bytes") / per_file)).cast("int").alias("__files"))
-            df = group_attach(df, sizes, parts)
-            df = df.withColumn("__file", F.pmod(spread(hashable(df)), F.col("__files"))).repartition(*parts, "__file").drop("__files", "__file")
-        else:
-            df = df.repartition(num_files)
-        return self._write(df, name, "compact", parts)
+        """Rewrite the latest version into about ``num_files`` files, as a new version; deltas are folded."""
+        for _ in range(ATTEMPTS):
+            before = self._version_row(name)
+            df, parts = self._load(name, before), before["partition_columns"]
+            if parts:  # files per partition value in proportion to its bytes, one at least
+                total = max(1, sum(w["bytes"] for w in before["writes"]))
+                per_file = max(1, -(-total // num_files))
+                size = F.max("_metadata.file_size").alias("bytes")
+                sizes = self._written(name, before).groupBy(*parts, "_metadata.file_path").agg(size).groupBy(*parts).agg(
+                    F.greatest(F.lit(1), F.round(F.sum("bytes") / per_file)).cast("int").alias("__files"))
+                df = group_attach(df, sizes, parts)
+                df = df.withColumn("__file", F.pmod(spread(hashable(df)), F.col("__files"))).repartition(*parts, "__file").drop("__files", "__file")
+            else:
+                df = df.repartition(num_files)
+            info = self._commit(name, before, "compact", self._write(df, name, parts), df.schema, parts)
+            if info:
+                return info
+        raise RuntimeError(f"{name!r} was written to during all of {ATTEMPTS} attempts to compact it")
 
     # --- use --------------------------------------------------------------------------------
 
@@ -272,14 +363,34 @@ class FeatureStore:
         return training_set(entities, views, entity_key, event_timestamp_column, hot_rows)
 
 
-def appended(df: DataFrame, old: T.StructType) -> DataFrame:
-    """The frame in the old column order; columns it lacks are NULL, new ones come last, another type raises."""
-    have = {f.name: f.dataType for f in df.schema}
+def _now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
+def _schema(row: dict) -> T.StructType:
+    return T.StructType.fromJson(json.loads(row["schema_json"]))
+
+
+def combined(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, then those that are new; another type raises."""
+    have = {f.name: f.dataType for f in new}
     other = [f"{f.name}: {have[f.name].simpleString()} for {f.dataType.simpleString()}" for f in old if have.get(f.name, f.dataType) != f.dataType]
     if other:
-        raise ValueError(f"an append cannot change types: {', '.join(other)}")
-    kept = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in old]
-    return df.select(*kept, *[c for c in df.columns if c not in old.names])
+        raise ValueError(f"a write to an existing group cannot change types: {', '.join(other)}")
+    return T.StructType([*old, *[f for f in new if f.name not in old.names]])
+
+
+def appended(df: DataFrame, old: T.StructType) -> DataFrame:
+    """The frame in the old column order; columns it lacks are NULL, new ones come last, another type raises."""
+    columns = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in combined(old, df.schema)]
+    return df.select(*columns)
+
+
+def last_rows(source: DataFrame, keys, order_by=()) -> DataFrame:
+    """One row per key: the last in ``order_by`` order, of equal ones that with the largest hash of all values."""
+    order = [*[F.col(o).desc() for o in as_list(order_by)], F.xxhash64(*hashable(source)).desc()]
+    newest = Window.partitionBy(*as_list(keys)).orderBy(*order)
+    return source.withColumn("__rn", F.row_number().over(newest)).filter("__rn = 1").drop("__rn")
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
@@ -291,7 +402,4 @@ def merge_rows(target: DataFrame, source: DataFrame, keys) -> DataFrame:
 
 def merge_latest(target: DataFrame, source: DataFrame, keys, order_by) -> DataFrame:
     """Upsert of a source that may repeat keys: its last row in ``order_by`` order wins."""
-    newest = Window.partitionBy(*as_list(keys)).orderBy(*[F.col(o).desc() for o in as_list(order_by)])
-    last = source.withColumn("__rn", F.row_number().over(newest)).filter("__rn = 1").drop("__rn")
-    return merge_rows(target, last, keys)
-
+    return merge_rows(target, last_rows(source, keys, order_by), keys)

@@ -75,11 +75,16 @@ def validating_batch(
     return write
 
 
-def upserting_batch(store, group: str, partition_columns=None) -> Callable[[DataFrame, int], None]:
-    """Per-batch function that upserts into a feature group; a batch seen before is skipped."""
+def upserting_batch(store, group: str, partition_columns=None, order_by=(), count: bool = False) -> Callable[[DataFrame, int], None]:
+    """Per-batch function that upserts into a feature group; a batch seen before is skipped.
+
+    Of rows of a batch that repeat a key the last in ``order_by`` order wins (an offset, a version). A batch writes its
+    own rows only and does not look at the group's, so its cost does not grow with the group; ``count`` keeps the
+    version's row count, which does.
+    """
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         if not store.has_epoch(group, epoch_id):
-            store.upsert(batch, group, partition_columns=partition_columns, epoch_id=epoch_id)
+            store.upsert(batch, group, partition_columns, epoch_id, order_by=list(as_list(order_by)), count=count)
 
     return write
