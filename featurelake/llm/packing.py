@@ -2,7 +2,7 @@
 
 Every partition packs its own pieces by best fit (largest first, each into the fullest bin that still takes it). Bins
 that are nearly full are finished; the underfull ones become the items of the next round, in fewer partitions, until one
-partition has packed the last of them or a round merges hardly any. A task packs ``block`` items at a time, so its memory is bounded.
+partition has packed the last of them or no two of them fit together. A task packs ``block`` items at a time, so its memory is bounded.
 
 NULL and empty texts hold the closing id alone. NULL ids are carried, and repeated rows are packed each. Only documents
 longer than a sequence are cut. Other columns are ignored.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .words import BLANKS, Texts, slices, substring_hashes
+from .words import BLANKS, Texts, released, slices, substring_hashes
 
 CLOSING_ID = 0
 CAPACITY = 2048
@@ -154,7 +154,7 @@ class Tokens:
 
 @cache
 def tokens_of(path: str) -> Tokens:
-    """One per Python worker."""
+    """One per Python worker, kept while its task runs."""
     return Tokens(path)
 
 
@@ -177,7 +177,7 @@ def cut(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], names=[f.name for f in fields])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
-    return docs.select(F.col(id).cast("long"), F.col(text).cast("binary")).mapInArrow(run, schema)
+    return docs.select(F.col(id).cast("long"), F.col(text).cast("binary")).mapInArrow(released(run, tokens_of), schema)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
@@ -240,25 +240,33 @@ def packed(items: DataFrame, capacity: int, slack: int, block: int, level: int)
 def pack(pieces: DataFrame, capacity: int = CAPACITY, *, slack: int = 8, block: int = 50_000, fan_in: int = 8) -> DataFrame:
     """Every piece with its sequence_id and its offset there.
 
-    Bins with at most ``slack`` free places are finished at once. ``fan_in`` partitions of a round feed one of the next,
-    but none gets more than ``block`` bins. A last round that has several partitions and merges less than one bin in a
-    hundred ends the work: what is left then does not fit together.
+    Bins with at most ``slack`` free places are finished at once, and so is, in every round, a bin with less room than
+    the least bin needs. ``fan_in`` partitions of a round feed one of the next, but none gets more than ``block`` bins.
+    Where that leaves several partitions, bins are dealt in turn by hash and by the lesser of size and room, so that
+    those that fill each other up meet; the end is when neither merges anything.
     """
     item = F.struct("doc_id", "piece", "start", "length", "ids_crc32")
     items = pieces.select(F.col("length").cast("int").alias("size"), F.array(item).alias("members"))
+    items = stage(items, "pieces")  # the tokenizer's workers are done before those of the first round begin
     bins = stage(packed(items, capacity, slack, block, 0), "packing")
-    rounds, level, parts = [], 0, max(bins.rdd.getNumPartitions(), 1)
+    rounds, level, parts, idle = [], 0, max(bins.rdd.getNumPartitions(), 1), 0
     while True:
-        rounds.append(bins)
-        left = bins.filter("NOT done").count()
-        level += 1
-        merged = 1.0 if level == 1 else 1 - bins.count() / came
-        if left < 2 or level > 1 and (parts == 1 or merged < 0.01):
+        least, open_bins = bins.filter("NOT done").agg(F.min("size"), F.count(F.lit(1))).first()
+        fits = ~F.col("done") & (F.col("size") <= capacity - (least or 0))
+        left = bins.filter(fits).count() if open_bins > 1 else 0
+        idle = idle + 1 if level and open_bins == came else 0
+        if left < 2 or idle == 2 or level and parts == 1:
+            rounds.append(bins)
             break
-        came, parts = left, max(-(-parts // fan_in), -(-left // block))
-        rounds[-1] = bins.filter("done")
-        key = F.xxhash64("members", F.lit(level))
-        bins = stage(packed(bins.filter("NOT done").repartition(parts, key), capacity, slack, block, level), "packing")
+        rounds.append(bins.filter(~fits))
+        level, came, parts = level + 1, left, max(-(-parts // fan_in), -(-left // block))
+        near = F.least(F.col("size"), capacity - F.col("size"))
+        rest = bins.filter(fits)
+        if parts > 1 and level % 2 == 0:
+            rest = rest.repartitionByRange(parts, near, F.xxhash64("members", F.lit(level)))
+        else:
+            rest = rest.repartition(parts, F.xxhash64("members", F.lit(level)))
+        bins = stage(packed(rest, capacity, slack, block, level), "packing")
     out = rounds[0]
     for r in rounds[1:]:
         out = out.unionByName(r)

@@ -9,7 +9,8 @@ differ in have a weight; they are kept as a sorted list of hashes, so that words
 A long text is not judged by the sum of all it holds, which grows with its length: it is scored in overlapping passages
 of ``PASSAGE`` words that together cover it, and has the highest chance of any of them.
 
-The training rows are a bounded sample of the labelled rows (``most``, the first by hash); scoring covers every row.
+The training rows are a bounded sample of the labelled rows (``most``, the first by hash), their texts whole, not in
+passages; scoring covers every row.
 NULL and empty texts have no features. NULL labels and NULL ids do not train. A category with a single class among its
 labels has that class's share as probability everywhere; without any labels it is 0. Repeated rows are scored each, and
 all columns of the documents are kept.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage
-from .words import MARKS, Texts, mix, slices, substring_hashes
+from .words import MARKS, Texts, mix, released, slices, substring_hashes
 
 STEM = 4
 #: Bits of a feature's hash; the rest of 64 bits number the passages that are treated together.
@@ -145,6 +146,32 @@ def fitted(k: int, before: list[dict[int, np.ndarray]]):
     return run
 
 
+def only_telling(sample: DataFrame, truth: list[str]) -> DataFrame:
+    """The training rows with those features only that some fit may choose, by one grouped count of all features.
+
+    A fit sees the rows of all folds but one. Its features have enough rows and are far enough off in those; the
+    borders are a trifle lower here, as the fit decides for itself.
+    """
+    lots = [F.col("fold") != f for f in range(FOLDS + 1)]
+    sums = {f"{c}_{f}": F.sum(F.when(kept, v)) for f, kept in enumerate(lots) for c, v in (("n", F.lit(1.0)), *((t, F.col(t)) for t in truth))}
+    sums = {k: F.coalesce(v, F.lit(0.0)) for k, v in sums.items()}
+    whole = sample.agg(*[v.alias(k) for k, v in sums.items()]).first()  # one row of totals
+    each = sample.select("row", "fold", *truth, F.explode("numbers").alias("number"))
+    counts = each.groupBy("number").agg(*[v.alias(k) for k, v in sums.items()])
+    telling = F.lit(False)
+    for f in range(FOLDS + 1):
+        for t in truth:
+            share = whole[f"{t}_{f}"] / whole[f"n_{f}"] if whole[f"n_{f}"] else 0.0
+            if 0 < share < 1:
+                had, of_one = F.col(f"n_{f}"), F.col(f"{t}_{f}")
+                off = F.abs(of_one - had * share) / F.sqrt(had * share * (1 - share))
+                telling = telling | (had >= LEAST_ROWS) & (off >= LEAST_DEVIATIONS - 1e-6)
+    kept = each.select("row", "number").join(counts.filter(telling).select("number"), "number")
+    kept = kept.groupBy("row").agg(F.sort_array(F.collect_list("number")).alias("kept"))
+    few = sample.drop("numbers").join(kept, "row", "left")
+    return few.select(F.coalesce("kept", F.array().cast("array<bigint>")).alias("numbers"), "fold", *truth)
+
+
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *, id: str = "doc_id", text: str = "text",
           most: int = 10_000) -> Chain:
     """Fit the chain; ``categories`` maps each name, in order, to its 0/1 column of ``labels``.
@@ -168,8 +195,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], *,
                 yield pa.RecordBatch.from_arrays([lists, *(c.slice(at, len(column)) for c in b.columns[1:])], names=["numbers", "fold", *truth])
 
     schema = "numbers array<bigint>, fold int, " + ", ".join(f"{t} double" for t in truth)
-    sample = stage(rows.select("_text", fold, *truth).mapInArrow(extracted, schema), "toxicity-sample")
-    groups = sample.withColumn("left_out", F.explode(F.array(*(F.lit(f) for f in range(FOLDS + 1)))))
+    sample = rows.select("_text", fold, *truth).mapInArrow(released(extracted), schema)
+    sample = stage(sample.withColumn("row", F.monotonically_increasing_id()), "toxicity-sample")
+    few = stage(only_telling(sample, truth), "toxicity-telling")
+    groups = few.withColumn("left_out", F.explode(F.array(*(F.lit(f) for f in range(FOLDS + 1)))))
     found: list[dict[int, np.ndarray]] = []
     for k in range(len(names)):
         models = groups.groupBy("left_out").applyInArrow(fitted(k, list(found)), MODEL).collect()  # FOLDS + 1 rows
@@ -199,7 +228,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
                     b = b.append_column(name, pa.array(column))
                 yield b
 
-    return docs.mapInArrow(run, docs.withColumns({n: F.lit(0.0) for n in names}).schema)
+    return docs.mapInArrow(released(run), docs.withColumns({n: F.lit(0.0) for n in names}).schema)
 
 
 def clean(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

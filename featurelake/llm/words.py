@@ -6,6 +6,7 @@ costs a subtraction. Equal strings always have equal hashes; different ones shar
 
 from __future__ import annotations
 
+import ctypes
 from functools import cache
 
 import numpy as np
@@ -50,6 +51,26 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
     return kept[:n]
 
 
+def released(run, *tables):
+    """The same function over batches, after which the worker gives its memory back: Spark keeps idle workers alive,
+    and beside the next stage's they would count. ``tables`` are caches to clear."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _powers.clear()
+            for t in tables:
+                t.cache_clear()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except OSError:
+                pass  # another C library
+
+    return wrapped
+
+
 class Texts:
     """The bytes of a batch of texts, and where each begins and ends."""
 
