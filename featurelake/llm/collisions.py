@@ -1,20 +1,23 @@
 """Nearest neighbours by collision counting over query-aware hashes.
 
-Every hash function is one random projection. A shard of the vectors keeps its projections as sorted arrays, one per
-function; the bucket of a query is a window centred at its own projection. A vector collides with the query once for
-each window that holds it. The windows grow by virtual rehashing (by ``GROWTH`` in each round) until a query has enough
-near candidates; vectors that collide in at least ``SHARE`` of the functions are candidates, and each is verified with
-its exact inner product in double precision.
+Every hash function is one random projection. A shard of the vectors keeps its order by each projection, as sorted
+arrays that are built once and written; the bucket of a query is a window centred at its own projection. A vector
+collides with the query once for each window that holds it. Vectors that collide in at least ``SHARE`` of the functions
+are candidates, and each is verified with its exact inner product in double precision; no other vector is touched.
 
-Largest inner product becomes least distance by one more coordinate: vectors are divided by the largest norm, and the new
-coordinate fills them up to length 1; queries are divided by their own norm.
+Windows of half a width h find what is within h / ``MARGIN``. In a query's first shard they grow by virtual rehashing, by
+``GROWTH`` in each round, until the k-th nearest found is nearer than that. Its score bounds the query from then on: in
+every other shard the windows are as wide as the bound asks for, which does not grow with the table.
 
-Shards of the vectors meet blocks of the queries, both of bounded size, so a task holds one of each whatever the
-tables' sizes; the best of each shard are merged per query. Everything is indexed: the projections are random and nothing
-is fitted to a sample.
+Largest inner product becomes least distance by one more coordinate: vectors are divided by the largest norm of their
+shard, and the new coordinate fills them up to length 1; queries are divided by their own norm. Shards are ranges of
+norms, so that little is filled up; the first is that of the largest, and one whose norms cannot reach the bound is
+passed over. A shard has ``SHARD_ROWS`` vectors and meets blocks of queries of bounded size. All vectors are in the
+index, and nothing is fitted to a sample: the projections are random.
 
 Vectors that are NULL, zero, of another length than most, or hold NULL or non-finite components take no part; neither do
-NULL ids. Repeated rows count each as neighbours; a query is an id and a vector, searched once and ranked by itself. With fewer candidates than asked, all are returned. Other columns are ignored.
+NULL ids. Repeated rows count each as neighbours; a query is an id and a vector, searched once and ranked by itself. With
+fewer candidates than asked, all are returned. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import ranked
 from .common import stage
 
-FUNCTIONS, SHARE = 60, 0.55
-#: Half the first window, in standard deviations of a projected distance of 1, and how windows grow.
-FIRST, GROWTH, MOST_ROUNDS = 1.0, 1.3, 12
-SHARD_ROWS, QUERY_ROWS = 4096, 128
-FOUND = "query_id long, query long, vec_id long, score double"
+FUNCTIONS, SHARE = 250, 0.74
+#: Half the first window, in standard deviations of a projected distance of 1, how windows grow, and what they find.
+FIRST, GROWTH, MOST_ROUNDS, MARGIN = 1.0, 1.1, 12, 1.2
+SHARD_ROWS, FIRST_ROWS, QUERY_ROWS = 4096, 512, 4096
+INDEX = "shard long, norm double, ids binary, vectors binary, places binary"
+FOUND = "query_id long, query long, shard long, vec_id long, score double, verified long"
 
 
 def matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -44,57 +49,84 @@ def projections(points: np.ndarray) -> np.ndarray:
     return directions @ points.T
 
 
-def searched(k: int, norm: float):
-    """The search of one block of queries in one shard."""
-    needed = int(np.ceil(SHARE * FUNCTIONS))
-
-    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "query": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not len(vectors) or not len(queries):
-            return empty
-        ids, asked = vectors.column("vec_id").to_numpy(), queries.column("vec_id").to_numpy()
-        vector_hashes = queries.column("query").to_numpy()
-        x, q = matrix(vectors.column("v")), matrix(queries.column("v"))
-        filled = np.sqrt(np.maximum(0, 1 - ((x / norm) ** 2).sum(1)))
-        own = projections(np.column_stack([x / norm, filled]))
-        centres = projections(np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))]))
-        order = np.argsort(own, axis=1, kind="stable")
-        arrays = np.take_along_axis(own, order, axis=1)
-        counts = np.zeros((len(q), len(ids)), np.uint8)
-        low = np.stack([np.searchsorted(a, c) for a, c in zip(arrays, centres, strict=True)])
-        high = low.copy()  # [function, query]: the window that has been counted
-        scores = np.full((len(q), len(ids)), -np.inf)
-        open_ = np.arange(len(q))
-        half = FIRST
+def filled(x: np.ndarray, norm: float) -> np.ndarray:
+    return np.column_stack([x / norm, np.sqrt(np.maximum(0, 1 - ((x / norm) ** 2).sum(1)))])
+
+
+def indexed(key, shard):
+    """The index of a shard: its vectors, and for each function the place of every vector in its sorted array."""
+    x = matrix(shard.column("v"))
+    norm = float(np.sqrt((x**2).sum(1)).max())
+    order = np.argsort(projections(filled(x, norm)), axis=1, kind="stable")
+    places = np.empty(order.shape, np.uint16)
+    np.put_along_axis(places, order, np.arange(len(x), dtype=np.uint16)[None, :], axis=1)
+    ids = shard.column("vec_id").to_numpy()
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "norm": [norm], **{
+        n: pa.array([a.tobytes()], pa.binary()) for n, a in (("ids", ids), ("vectors", x), ("places", places))}})
+
+
+class Shard:
+    def __init__(self, row: dict):
+        self.ids, self.norm = np.frombuffer(row["ids"], np.int64), row["norm"]
+        self.x = np.frombuffer(row["vectors"]).reshape(len(self.ids), -1)
+        self.places = np.frombuffer(row["places"], np.uint16).reshape(FUNCTIONS, -1)
+        own = projections(filled(self.x, self.norm))
+        self.arrays = np.empty_like(own)
+        np.put_along_axis(self.arrays, self.places.astype(np.int64), own, axis=1)
+
+    def candidates(self, centre: np.ndarray, half: float) -> np.ndarray:
+        """Numbers of the vectors in enough of the windows around ``centre``."""
+        low = np.array([a.searchsorted(c) for a, c in zip(self.arrays, centre - half, strict=True)])
+        high = np.array([a.searchsorted(c, "right") for a, c in zip(self.arrays, centre + half, strict=True)])
+        inside = (self.places - low.astype(np.uint16)[:, None]) < (high - low).astype(np.uint16)[:, None]
+        counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+        return np.flatnonzero(counts >= np.ceil(SHARE * FUNCTIONS))
+
+    def search(self, q: np.ndarray, centre: np.ndarray, own_id: int, k: int, bound: float) -> tuple[np.ndarray, np.ndarray, int]:
+        """(ids, scores) of the best found, and how many vectors were verified.
+
+        ``bound`` is a score of which ``k`` others are known already; -inf if there are not.
+        """
+        reach = self.norm * float(np.linalg.norm(q))
+        if bound > reach:
+            return self.ids[:0], np.empty(0), 0
+        half = FIRST if bound == -np.inf else MARGIN * np.sqrt(max(0.0, 2 - 2 * bound / reach))
+        known, rows = np.zeros(len(self.ids), bool), np.empty(0, np.int64)
+        scores = np.empty(0)
         for _ in range(MOST_ROUNDS):
-            for f in range(FUNCTIONS):
-                a = np.searchsorted(arrays[f], centres[f, open_] - half)
-                z = np.searchsorted(arrays[f], centres[f, open_] + half, "right")
-                for i, begin, old_low, old_high, end in zip(open_.tolist(), a.tolist(), low[f, open_].tolist(), high[f, open_].tolist(), z.tolist(), strict=True):
-                    counts[i, order[f, begin:old_low]] += 1  # only what the window has gained
-                    counts[i, order[f, old_high:end]] += 1
-                low[f, open_], high[f, open_] = a, z
-            fresh = (counts[open_] >= needed) & (scores[open_] == -np.inf) & (ids[None, :] != asked[open_, None])
-            some = np.flatnonzero(fresh.any(axis=0))  # verified for all open queries in one product
-            exact = np.full(fresh.shape, -np.inf)
-            exact[:, some] = q[open_] @ x[some].T
-            scores[open_] = np.where(fresh, exact, scores[open_])
-            # vectors at this distance mostly collide by now, so what is nearer has been verified
-            reach = norm * np.linalg.norm(q[open_], axis=1) * (1 - half**2 / 2)
-            enough = ((scores[open_] >= reach[:, None]).sum(axis=1) >= k) | (np.isfinite(scores[open_]).sum(axis=1) >= len(ids) - 1)
-            still = open_[~enough].tolist()
-            open_ = np.array(still, np.int64)
-            if not len(open_):
+            fresh = self.candidates(centre, half)
+            fresh = fresh[~known[fresh]]
+            known[fresh] = True
+            fresh = fresh[self.ids[fresh] != own_id]
+            rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, self.x[fresh] @ q])
+            sure = reach * (1 - (half / MARGIN) ** 2 / 2)
+            if bound > -np.inf or (scores >= sure).sum() >= k:
                 break
             half *= GROWTH
+        else:  # windows never held enough: every vector is verified
+            rows = np.flatnonzero(self.ids != own_id)
+            scores = self.x[rows] @ q
+        best = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows[best]], scores[best], len(rows)
+
+
+def searched(k: int):
+    """The search of one block of queries in one shard."""
+
+    def run(index: pa.Table, queries: pa.Table) -> pa.Table:
+        kinds = {"query_id": pa.int64(), "query": pa.int64(), "shard": pa.int64(), "vec_id": pa.int64(), "score": pa.float64(), "verified": pa.int64()}
+        if not len(index) or not len(queries):
+            return pa.table({n: pa.array([], t) for n, t in kinds.items()})
+        number, shard = index.column("shard")[0].as_py(), Shard(index.to_pylist()[0])
+        q = matrix(queries.column("v"))
+        centres = projections(np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))])).T
         out = []
-        for i in range(len(q)):
-            if i in still:  # windows never held enough: every vector is verified
-                scores[i] = np.where(ids == asked[i], -np.inf, x @ q[i])
-            found = np.flatnonzero(np.isfinite(scores[i]))
-            best = found[np.lexsort((ids[found], -scores[i, found]))[:k]]
-            out.append((np.full(len(best), asked[i]), np.full(len(best), vector_hashes[i]), ids[best], scores[i, best]))
-        return pa.table({n: pa.array(np.concatenate(c), t) for n, c, t in zip(empty.column_names, zip(*out, strict=True), empty.schema.types, strict=True)})
+        names = (queries.column(c).to_pylist() for c in ("vec_id", "query", "bound"))
+        for own_id, name, bound, vector, centre in zip(*names, q, centres, strict=True):
+            ids, scores, verified = shard.search(vector, centre, own_id, k, bound)
+            some = (np.full(len(ids), v) for v in (own_id, name, number))
+            out.append((*some, ids, scores, np.full(len(ids), verified)))
+        return pa.table({n: pa.array(np.concatenate(c), t) for (n, t), c in zip(kinds.items(), zip(*out, strict=True), strict=True)})
 
     return run
 
@@ -108,18 +140,46 @@ def usable(vectors: DataFrame, id: str, vector: str) -> DataFrame:
     return rows.filter(F.size("v") == (sizes[0][0] if sizes else 0))
 
 
-def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest of every vector that ``queries`` selects by ``vec_id``."""
+def index_of(rows: DataFrame) -> DataFrame:
+    """One row per shard, written; shards are ranges of falling norms."""
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    placed = ranked(rows.withColumn("key", -norm), [], ["key"])
+    shard = ((F.col("rank") - F.col("rank") % SHARD_ROWS) / SHARD_ROWS).cast("long").alias("shard")
+    return stage(placed.select("vec_id", "v", shard).groupBy("shard").applyInArrow(indexed, INDEX), "collision-index")
+
+
+def found_in(index: DataFrame, asked: DataFrame, shards: list[int], block_rows: int, k: int) -> DataFrame:
+    """What all queries find in the shards numbered by ``shards`` (first, one behind the last)."""
+    blocks = max(1, -(-asked.count() // block_rows))
+    every = lambda a, z: F.explode(F.sequence(F.lit(a).cast("long"), F.lit(z - 1).cast("long")))
+    left = index.filter(F.col("shard").between(shards[0], shards[1] - 1)).withColumn("block", every(0, blocks))
+    block = F.pmod(F.xxhash64("vec_id", "query"), F.lit(blocks)).alias("block")
+    right = asked.select("vec_id", "query", "v", "bound", block).withColumn("shard", every(*shards))
+    return left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(searched(k), FOUND)
+
+
+def find(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, query, shard, vec_id, score, verified): the ``k`` nearest of each query in each shard, some of them.
+
+    Those that are among the ``k`` nearest of all are there. ``verified`` is how many vectors of the shard were compared
+    exactly with the query.
+    """
     rows = stage(usable(vectors, id, vector), "vectors")
-    norms = rows.agg(F.count(F.lit(1)), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()
+    index = index_of(rows)
+    shards = index.count()
     asked = rows.filter(queries).withColumn("query", F.xxhash64("v")).dropDuplicates(["vec_id", "query"])
-    shards, blocks = max(1, -(-norms[0] // SHARD_ROWS)), max(1, -(-asked.count() // QUERY_ROWS))
-    shard = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard")
-    block = F.pmod(F.xxhash64("vec_id", F.lit("query")), F.lit(blocks)).cast("int").alias("block")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = rows.select("vec_id", "v", shard, every(blocks).alias("block")).groupBy("shard", "block")
-    right = asked.select("vec_id", "query", "v", every(shards).alias("shard"), block).groupBy("shard", "block")
-    found = left.cogroup(right).applyInArrow(searched(k, norms[1] or 1.0), FOUND)
+    asked = stage(asked.withColumn("bound", F.lit(float("-inf"))), "queries")
+    found = stage(found_in(index, asked, [0, 1], FIRST_ROWS, k), "first-found")
+    if shards > 1:
+        bounds = found.groupBy(F.col("query_id").alias("vec_id"), "query").agg(F.min("score").alias("known"), F.count(F.lit(1)).alias("n"))
+        bounds = bounds.filter(F.col("n") >= k).drop("n")
+        bounded = asked.join(bounds, ["vec_id", "query"], "left").withColumn("bound", F.coalesce("known", "bound")).drop("known")
+        found = found.unionByName(found_in(index, bounded, [1, shards], QUERY_ROWS, k))
+    return found
+
+
+def search(vectors: DataFrame, queries: Column, k: int = 20, id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score): the ``k`` nearest of every vector that ``queries`` selects by ``vec_id``."""
     first = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
-    best = found.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
+    best = find(vectors, queries, k, id, vector).withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -110,6 +110,27 @@ def test_nearest(spark, scale):
     assert few.count() == 4 and collisions.search(frame.filter("vec_id > 5000"), F.col("vec_id") == 0).count() == 0
 
 
+def test_few_vectors_are_verified(spark, monkeypatch):
+    """Several shards: the bound of the first one holds in the others, and the threshold filters."""
+    monkeypatch.setattr(collisions, "SHARD_ROWS", 2000)
+    monkeypatch.setattr(collisions, "QUERY_ROWS", 100)
+    x = np.random.default_rng(9).standard_normal((8000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = collisions.find(frame, F.col("vec_id") % 40 == 0)
+    looked = found.select("query_id", "shard", "verified").distinct().agg(F.sum("verified")).first()[0]
+    assert looked < 0.2 * 200 * 8000
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, 8000, 40):
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20].tolist()) & got[q])
+    assert hits >= 0.93 * 20 * 200
+
+
 def test_repeated_queries(spark):
     x = np.random.default_rng(3).standard_normal((200, 8))
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
