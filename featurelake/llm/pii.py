@@ -52,6 +52,9 @@ IBAN_LENGTHS = {
         "23:AE GI IL IQ OM SO TL;24:AD CZ ES MD PK RO SA SE SK TN VG;25:LY PT ST;26:IS TR;27:BI DJ FR GR IT MC MR SM;"
         "28:AL AZ BY CY DO GT HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU;31:MT SC;32:LC;33:RU").split(";"))
     for c in names.split()}
+#: Country codes of two digits; +1 and +7 have one, all others three.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: Digits of the phone numbers of a country, its code among them.
 PHONE_LENGTHS = {"1": 11, "7": 11}
 #: A phone number of unknown length has at least so many digits before it can end within its shape.
@@ -86,9 +89,9 @@ def phone_ends(text: str) -> list[int]:
 
 
 def phone_code(text: str) -> str:
-    """The country code: digits up to a separator, or else the first one."""
-    m = re.match(r"\+(\d{1,3}?)(?=[ .(-])|\+(\d)", text)
-    return m.group(1) or m.group(2)
+    """The country code, by the digits alone: it does not depend on how a number is parted."""
+    digits = re.sub(r"\D", "", text)
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
 
 
 ENDS = {"card": card_ends, "iban": iban_ends, "phone": phone_ends}
@@ -220,8 +223,10 @@ class Pseudonyms:
         return None
 
     def email(self, text: str) -> str | None:
+        """The name is permuted in lower case, and gets the capitals of the one it stands for."""
         local, _, domain = text.partition("@")
-        return f"{self.characters(local, 'email|' + domain.lower())}@{domain}"
+        made = self.characters(local.lower(), f"email|{domain.lower()}")
+        return f"{''.join(n.upper() if c.isupper() else n for c, n in zip(local, made, strict=True))}@{domain}"
 
     def replaced(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and (kind, start, end) of what was replaced in the given text."""
