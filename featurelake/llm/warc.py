@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.skew import attach, hot_of
 from .common import shared_folder, stage
 
 # Fixed values of the format.
@@ -32,6 +33,8 @@ SKIPPABLE = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
+#: Pages of one payload that a task takes at most.
+HOT_PAGES = 50_000
 MANIFEST = "path string, records long, bytes long"
 RECORDS = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
@@ -94,10 +97,14 @@ def keepers(pages: DataFrame, id: str, payload: str, least: int) -> DataFrame:
     rows = pages.select(
         F.col(id).cast("long").alias("page_id"), F.col("url"), body.alias("payload"),
         F.when(F.octet_length(body) >= least, F.sha1(body)).alias("sha1"))
-    shared = rows.groupBy("sha1").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
-    shared = shared.filter("n > 1 AND sha1 IS NOT NULL").select("sha1", "keeper", F.lit(True).alias("shared"))
+    shared = rows.filter("sha1 IS NOT NULL").groupBy("sha1").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
+    shared = stage(shared.filter("n > 1").withColumn("shared", F.lit(True)), "warc-shared")
+    # payloads that many pages share are dealt over as many tasks as their rows need, and short ones by themselves
+    hot = hot_of(shared, "sha1", "n", HOT_PAGES)
+    rows = rows.withColumn("sha1", F.coalesce("sha1", F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))))
+    rows = attach(rows, shared.drop("n"), "sha1", hot)
     revisit = F.col("shared").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keeper"))
-    return rows.join(shared, "sha1", "left").select("page_id", "url", "payload", "keeper", revisit.alias("revisit"))
+    return rows.select("page_id", "url", "payload", "keeper", revisit.alias("revisit"))
 
 
 def write(pages: DataFrame, id: str = "page_id", url: str = "url", payload: str = "html", *, folder: str | None = None,
@@ -198,4 +205,5 @@ def read(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                 if some:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some, strict=True), kinds, strict=True)], names)
 
-    return manifest.select("path").repartition("path").mapInArrow(run, RECORDS)
+    archives = max(1, manifest.count())  # a number of its own is not merged into fewer tasks
+    return manifest.select("path").repartition(archives, "path").mapInArrow(run, RECORDS)
