@@ -7,8 +7,9 @@ meets its sketch and no hash count can miss it. A document probes the partitions
 then counted exactly on the shingles themselves.
 
 Words are runs of letters and digits, lower-cased. A shingle is ``width`` words; an item with fewer words is one shingle of
-all of them. Items without words, NULL texts and empty texts match nothing. Rows that share an id are searched one by one and
-reported once if they hold the same text. NULL ids are carried. Other columns are ignored.
+all of them. Items without words, NULL texts and empty texts match nothing. Documents and items are known by the hash of id and
+text, so NULL ids are searched and reported as any other; rows that share an id are searched one by one and reported once
+if they hold the same text. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,7 +52,7 @@ def size_class(n: Column) -> Column:
 
 
 def sketched(items: DataFrame, width: int, share: float) -> DataFrame:
-    """(item, tokens, width, n, least, size_class, sketch) of every item that has words."""
+    """(item_id, item, tokens, width, n, least, size_class, sketch) of every item that has words."""
     rows = items.filter(F.size("tokens") > 0).withColumn("width", F.least(F.size("tokens"), F.lit(width)))
     own = hashed_runs(F.col("hashes"), width)
     for w in range(1, width):
@@ -59,14 +60,21 @@ def sketched(items: DataFrame, width: int, share: float) -> DataFrame:
     rows = rows.withColumn("own", F.array_sort(F.array_distinct(own))).withColumn("n", F.size("own"))
     rows = rows.withColumn("least", F.ceil(F.lit(share) * F.col("n") - 1e-9).cast("int"))
     sketch = F.slice("own", F.lit(1), F.col("n") - F.col("least") + 1)
-    return rows.select("item", "tokens", "width", "n", "least", size_class(F.col("least")).alias("size_class"), sketch.alias("sketch"))
+    return rows.select("item_id", "item", "tokens", "width", "n", "least", size_class(F.col("least")).alias("size_class"), sketch.alias("sketch"))
 
 
 def find(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
          width: int = WIDTH, share: float = SHARE) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared): every document with every item of which it holds the share at least."""
-    tests = sketched(with_words(items.select(F.col(item).alias("item"), F.col(item_text).alias("text")), "text"), width, share)
-    tests = stage(tests, "test-items")
+    return held(docs, items, id, text, item, item_text, width, share).drop("key").distinct()
+
+
+def held(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
+         width: int = WIDTH, share: float = SHARE) -> DataFrame:
+    """As ``find``, with the ``key`` of the document: the hash of its id and text."""
+    named = items.select(F.col(item).alias("item_id"), F.col(item_text).alias("text"))
+    named = named.withColumn("item", F.xxhash64("item_id", "text")).dropDuplicates(["item"])
+    tests = stage(sketched(with_words(named, "text"), width, share), "test-items")
     keys = tests.select("item", "size_class", F.explode("sketch").alias("hash"))
     if keys.count() <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
@@ -77,15 +85,15 @@ def find(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "tex
     probes = probes.select("key", size_class(F.size("hashes")).alias("doc_class"), F.explode(every).alias("hash"))
     met = probes.join(keys, (probes["hash"] == keys["hash"]) & (keys["size_class"] <= probes["doc_class"]))
     met = stage(met.select("key", "item").distinct(), "test-candidates")
-    pairs = rows.join(met, "key").join(tests.select("item", F.col("tokens").alias("asked"), "width", "n", "least"), "item")
+    pairs = rows.join(met, "key").join(tests.select("item_id", "item", F.col("tokens").alias("asked"), "width", "n", "least"), "item")
     # as a generated column, so that the words are made once per row and not again for every run of them
-    pairs = pairs.select("doc_id", "item", "asked", "width", "n", "least", F.explode(F.array(words(whole_text("text")))).alias("tokens"))
+    pairs = pairs.select("doc_id", "key", "item_id", "asked", "width", "n", "least", F.explode(F.array(words(whole_text("text")))).alias("tokens"))
     shared = F.size(F.array_intersect(runs(F.col("tokens"), F.col("width")), runs(F.col("asked"), F.col("width"))))
-    pairs = pairs.select("doc_id", F.col("item").alias("item_id"), F.col("n").cast("long").alias("n_shingles"), shared.cast("long").alias("n_shared"), "least")
+    pairs = pairs.select("doc_id", "key", "item_id", F.col("n").cast("long").alias("n_shingles"), shared.cast("long").alias("n_shared"), "least")
     return pairs.filter("n_shared >= least").drop("least").distinct()
 
 
 def clean(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that hold no test item, all columns kept; rows without an id are kept."""
-    found = find(docs.filter(F.col(id).isNotNull()), items, id, text, **options)
-    return docs.join(found.select(F.col("doc_id").alias(id)).distinct(), id, "left_anti").select(docs.columns)
+    """The rows that hold no test item, all columns kept; each row is judged by its own text, whatever its id."""
+    gone = held(docs, items, id, text, **options).select(F.col("key").alias("__gone")).distinct()
+    return docs.join(gone, F.xxhash64(id, text) == F.col("__gone"), "left_anti")

@@ -154,7 +154,7 @@ def join(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def joined(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """As ``join``, with the hash of the text."""
+    """As ``join``, with the hash of the text and a number that the rows of a component share (NULL without words)."""
     profiles = stage(shared_keys(keyed(docs, id, text), distinct_shingles, profiled, PROFILE), "shingle-profiles")
     members = profiles.filter("class IS NOT NULL")
     # one member's row stands for each class
@@ -169,19 +169,20 @@ def joined(docs: DataFrame, id: str, text: str) -> DataFrame:
         named = named.join(roots.select(F.col("node").alias("root"), F.col("root").alias("next")), "root", "left")
         named = named.select("class", "least", F.coalesce("next", "root").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stage(named.join(least, "root").select("class", "component_id"), "class-components")
+    named = stage(named.join(least, "root").select("class", "root", "component_id"), "class-components")
     rows = profiles.select("doc_id", "text_hash", "n", "class").join(named, "class", "left")
     rows = rows.withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return rows.select("doc_id", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id", "root")
 
 
 def clean(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component, all columns kept: the one with the least id, and of repeated rows any one.
-
-    Rows without an id stay unless they are linked to one with an id.
+    """One document of each component, all columns kept: the one with the least id, of equal ids that with the least hash
+    of its text, and of repeated rows any one. Rows without an id come after all others. Texts without words stay.
     """
-    found = joined(docs, id, text).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    found = joined(docs, id, text)
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    kept = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(name).alias("name")).select("name._id", "name._hash")
+    kept = kept.unionByName(found.filter("root IS NULL").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
     rows = docs.withColumns({"__id": F.col(id).cast("long"), "__hash": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
     first = rows.withColumn("__nth", F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash"))).filter("__nth = 1")
     same = F.col("a.__id").eqNullSafe(F.col("b._id")) & (F.col("a.__hash") == F.col("b._hash"))
