@@ -167,7 +167,7 @@ def test_decontamination(spark, docs, nothing, corpus):
                 expected.add((i, j, len(one), len(one & two)))
     assert {tuple(r) for r in got} == expected and {x[0] for x in expected} >= {1, 2, 5, None}
     assert len(got) == len(expected)
-    assert sorted(r.doc_id or 0 for r in decontaminate.clean(found, items).collect()) == sorted(set(texts) - {x[0] for x in expected} | {0})
+    assert sorted(r.doc_id or 0 for r in decontaminate.clean(found, items).collect()) == sorted(set(texts) - {x[0] for x in expected})
     assert decontaminate.find(docs, items.filter("1 = 0")).count() == 0 and decontaminate.find(nothing, items).count() == 0
 
 
@@ -203,6 +203,52 @@ def test_pii_followed_by_numbers_and_words(kind, value, after):
     assert names.replaced(f"is {value}{after} x") == (f"is {alone}{after} x", [(kind, 3, 3 + len(value))])
 
 
+def test_pii_links_equal_values():
+    """Every separator style of a number is one value with one country code, and capitals do not part e-mail names."""
+    names = pii.Pseudonyms(b"key")
+    for code, styles in (("44", ["+442079460958", "+44 20 7946 0958", "+44-20-7946-0958", "+44 (20) 7946 0958", "+4420 7946 0958"]),
+                         ("49", ["+4915123456789", "+49 151 2345 6789", "+49-151-2345-6789"]),
+                         ("1", ["+12125550123", "+1 212 555 0123", "+1 (212) 555-0123", "+1.212.555.0123"]),
+                         ("351", ["+351912345678", "+351 912 345 678"])):
+        found = {re.sub(r"\D", "", names.phone(s)) for s in styles}
+        assert len(found) == 1 and found.pop().startswith(code)
+    assert names.email("Alice.B@x.com").lower() == names.email("alice.b@X.com").lower()
+    assert [c.isupper() for c in names.email("Alice.B@x.com")] == [c.isupper() for c in "Alice.B@x.com"]
+
+
+def test_pii_permutes_whole_domains():
+    """Each kind is a bijection of its valid values, tried on whole domains or on all values of a few places."""
+    names = pii.Pseudonyms(b"key")
+    days = [pii.FIRST_DAY.fromordinal(pii.FIRST_DAY.toordinal() + k).isoformat() for k in range((pii.LAST_DAY - pii.FIRST_DAY).days + 1)]
+    assert sorted(names.date(d) for d in days) == days
+    assert len({names.phone(f"+44 20 7946 {k:04d}") for k in range(3000)}) == 3000
+    assert sorted(names.digits(f"{k:04d}", "t") for k in range(10_000)) == [f"{k:04d}" for k in range(10_000)]
+    assert len({names.email(f"{a}{b}7@x.org") for a in "abcdefghij" for b in "klmnop"}) == 60
+    bodies = [f"41111111111{k:04d}" for k in range(2000)]
+    cards = {names.card(b + pii.luhn_digit(b)) for b in bodies}
+    assert len(cards) == 2000 and all(pii.luhn_digit(c[:-1]) == c[-1] for c in cards)
+    addresses = {names.ipv4(f"10.0.{a}.{b}") for a in range(8) for b in range(256)}
+    assert len(addresses) == 2048 and all(max(map(int, a.split("."))) < 256 for a in addresses)
+    numbers = {names.ssn(f"{a:03d}-07-{b:04d}") for a in (1, 665, 667, 899) for b in range(1, 500)}
+    assert len(numbers) == 4 * 499 and not any(s[:3] in ("000", "666") or s[:3] > "899" or "-00-" in s or s.endswith("0000") for s in numbers)
+
+
+def test_cleaning_judges_rows_without_ids(spark):
+    """NULL item ids search, rows are judged by their own text, and one of a group without ids stays."""
+    passage = " ".join(f"word{k}" for k in range(12))
+    items = spark.createDataFrame([(None, passage), (1, "none of this is there at all or anywhere")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "clean text"), (1, f"x {passage} y"), (None, passage), (None, "also clean"), (3, None)], "doc_id long, text string")
+    found = {(r.doc_id, r.item_id, r.n_shared) for r in decontaminate.find(docs, items).collect()}
+    assert found == {(1, None, 8), (None, None, 8)}
+    left = sorted((r.doc_id or 0, r.text or "") for r in decontaminate.clean(docs, items).collect())
+    assert left == [(0, "also clean"), (1, "clean text"), (3, "")]
+    base = [f"w{k}" for k in range(60)]
+    rows = [(None, " ".join(base)), (None, " ".join([*base, "tail"])), (None, "another text of several words here"), (9, " ".join([*base[:30], "q", *base[30:]]))]
+    near = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id or 0 for r in jaccard.clean(near).collect()) == [0, 9]
+    assert jaccard.clean(near.filter("doc_id IS NULL")).count() == 2
+
+
 def test_toxicity(spark, nothing):
     rng = random.Random(2)
     rows = []
