@@ -100,8 +100,16 @@ def value_frequency(df: DataFrame, column: str) -> DataFrame:
 
 
 def distinct_count(df: DataFrame, columns, approx: bool = False) -> DataFrame:
-    count = F.approx_count_distinct if approx else F.count_distinct
-    return df.agg(*[count(c).alias(f"{c}_distinct") for c in as_list(columns)])
+    """Distinct non-NULL values per column, as one row.
+
+    Each column is counted in two steps by a subquery of its own that reads that column only; one aggregate for several
+    would send every row through the shuffle once per column. ``approx`` needs one pass (see ``states`` for counts that merge).
+    """
+    names = as_list(columns)
+    if approx:
+        return df.agg(*[F.approx_count_distinct(c).alias(f"{c}_distinct") for c in names])
+    counts = [df.select(c).filter(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar() for c in names]
+    return df.sparkSession.range(1).select(*[n.alias(f"{c}_distinct") for n, c in zip(counts, names, strict=True)])
 
 
 def _rows_per_column(row: DataFrame, columns, fields: list[str]) -> DataFrame:

@@ -32,6 +32,7 @@ class Rule:
     details: dict = field(default_factory=dict)
     fence: tuple[str, float] | None = None  # column and multiplier of an IQR rule
     schema: Callable[[T.StructType], tuple[bool, dict]] | None = None
+    apart: Callable[[DataFrame], DataFrame] | None = None  # counts violations by a grouping of its own: one row, one number
 
 
 def _share(limit: float) -> Callable[[Column, Column], Column]:
@@ -74,11 +75,17 @@ def in_set(column: str, allowed_values, severity: str = WARNING) -> Rule:
 
 
 def unique(column: str, severity: str = WARNING) -> Rule:
-    """No value twice; NULLs are not compared."""
-    return Rule(
-        f"unique_{column}", severity, lambda df, _: F.count(column) - F.count_distinct(column),
-        lambda total, bad: bad == 0, {"column": column},
-    )
+    """No value twice; NULLs are not compared.
+
+    Values are counted in two steps beside the shared aggregate: inside it, every distinct value would carry the buffers
+    of all other rules through the shuffle, and two such rules would read every row twice.
+    """
+
+    def repeats(df: DataFrame) -> DataFrame:
+        counts = df.select(column).filter(F.col(column).isNotNull()).groupBy(column).agg((F.count(F.lit(1)) - 1).alias("n"))
+        return counts.agg(F.coalesce(F.sum("n"), F.lit(0)))
+
+    return Rule(f"unique_{column}", severity, None, lambda total, bad: bad == 0, {"column": column}, apart=repeats)
 
 
 def iqr_outliers(
@@ -165,6 +172,8 @@ def report(df: DataFrame, rules: list[Rule], fences: dict | None = None) -> Data
                     df.agg(measure)  # resolves the expression; runs nothing
                     aggs.append(measure)
                     bad = F.col(f"__v{i}")
+                elif rule.apart:
+                    bad = rule.apart(df).scalar()
                 passed = F.coalesce(rule.passes(total, bad), F.lit(False))
             if rule.fence:
                 low, high = fences[rule.fence]

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import encoding, scalars
 from ..operators import aggregate as agg
-from ..operators import features, joins
-from .registry import SPARSE_SQL, query, rounded, sparse_events, table
+from ..operators import features, joins, states
+from .registry import SPARSE_SQL, query, rounded, scratch, sparse_events, table
 
 # --- joins ---------------------------------------------------------------------------------
 
@@ -189,13 +189,19 @@ def categorical_profile(spark, d):
        UNION ALL SELECT 's_name', 'categorical', 'unique_count', u FROM s
        UNION ALL (SELECT 's_name', 'top_values', s_name, count(*)::VARCHAR FROM supplier GROUP BY s_name
                   ORDER BY count(*) DESC, s_name LIMIT 5)
-       UNION ALL SELECT 's_nationkey', 'numeric', 'max', max(s_nationkey)::DOUBLE::VARCHAR FROM supplier""",
+       UNION ALL SELECT NULL, 'shape', 'bytes', 'some'
+       UNION ALL SELECT c, 'numeric', unnest(['mean', 'std', 'min', 'max', 'median', 'skewness', 'kurtosis']), unnest([
+         round(avg(x), 4)::VARCHAR, round(stddev_samp(x), 4)::VARCHAR, round(min(x), 4)::VARCHAR, round(max(x), 4)::VARCHAR,
+         round(quantile_cont(x, 0.5), 4)::VARCHAR, (round(skewness(x), 4) + 0.0)::VARCHAR, (round(kurtosis(x), 4) + 0.0)::VARCHAR])
+       FROM (SELECT unnest(['s_suppkey', 's_nationkey', 's_acctbal']) AS c, unnest([s_suppkey::DOUBLE, s_nationkey::DOUBLE, s_acctbal]) AS x
+             FROM supplier) GROUP BY c""",
 )
 def data_profile(spark, d):
-    """The full profile, but for the bytes and all but one number: the numbers are compared by
-    numeric_profile, here they are text."""
-    out = agg.data_profile(table(spark, d, "supplier")).filter("field <> 'bytes'")
-    return out.filter("section <> 'numeric' OR (column_name = 's_nationkey' AND field = 'max')")
+    """The full profile; of the bytes, which SQL does not know, that there are some."""
+    out = agg.data_profile(table(spark, d, "supplier"))
+    some = F.when(F.col("field") == "bytes", F.when(F.col("value").cast("long") > 0, "some"))
+    zero = F.when(F.col("value") == "-0.0", "0.0")
+    return out.withColumn("value", F.coalesce(some, zero, F.col("value")))
 
 
 @query(
@@ -206,6 +212,48 @@ def distinct_count(spark, d):
     return agg.distinct_count(table(spark, d, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
+def order_loads(spark, d):
+    """Line items as two loads, by the parity of the order."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
+    return [lines.filter(F.col("l_orderkey") % 2 == k) for k in (0, 1)]
+
+
+@query(
+    "incremental_profile",
+    """SELECT c AS column_name, count(*) AS rows, 0::BIGINT AS null_count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std,
+         round(min(x), 4) AS min, round(max(x), 4) AS max, round(skewness(x), 3) AS skewness, round(kurtosis(x), 3) AS kurtosis
+       FROM (SELECT unnest(['l_quantity', 'l_extendedprice']) AS c, unnest([l_quantity, l_extendedprice]) AS x FROM lineitem)
+       GROUP BY c""",
+)
+def incremental_profile(spark, d):
+    """The profile of all loads from the states written beside each; quantiles and distinct counts are estimates and left out."""
+    folder = scratch(spark, "states")
+    for k, load in enumerate(order_loads(spark, d)):
+        states.write_states(load, folder, str(k), ["l_quantity", "l_extendedprice"])
+    out = states.profile_from(states.merged_states(states.read_states(spark, folder)))
+    names = ["column_name", "rows", "null_count", "mean", "std", "min", "max"]
+    return out.select(*names, F.round("skewness", 3).alias("skewness"), F.round("kurtosis", 3).alias("kurtosis"))
+
+
+@query(
+    "incremental_drift",
+    """WITH l AS (SELECT l_orderkey % 2 AS k, unnest(['l_quantity', 'l_extendedprice']) AS c, unnest([l_quantity, l_extendedprice]) AS x
+         FROM lineitem),
+       s AS (SELECT c, k, count(*) AS n, avg(x) AS m, stddev_samp(x) AS sd FROM l GROUP BY c, k)
+       SELECT b.c AS column_name, b.n AS rows, a.n AS base_rows, round((b.m - a.m) / a.sd, 6) AS mean_shift,
+         round(b.sd / a.sd, 6) AS std_ratio, 0.0::DOUBLE AS missing_diff, true AS ranks_agree
+       FROM s a JOIN s b ON a.c = b.c AND a.k = 0 AND b.k = 1""",
+)
+def incremental_drift(spark, d):
+    """A new load against the written state of the one before; only the new load is read. Both loads are alike in rank."""
+    before, new = order_loads(spark, d)
+    folder = scratch(spark, "states")
+    states.write_states(before, folder, "0", ["l_quantity", "l_extendedprice"])
+    out = states.drift_from(states.column_states(new, ["l_quantity", "l_extendedprice"]), states.merged_states(states.read_states(spark, folder)))
+    close = F.col("rank_distance") <= 2 * states.RANK_ERROR + 0.05
+    return rounded(out.withColumn("ranks_agree", close).drop("rank_distance"), 6, "mean_shift", "std_ratio", "missing_diff")
+
+
 @query(
     "correlation_with_target",
     """SELECT 'l_quantity' AS column_name, round(corr(l_quantity, l_extendedprice), 6) AS correlation FROM lineitem
