@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_list, one_row
 from ..functions.quantiles import quantiles
+from ..functions.ranges import laid_out, part_of, written
 from ..functions.scalars import key_label
-from ..functions.skew import HOT_ROWS
-from .series import running_total
 
 LOSS_FLOOR = 1e-15
 
@@ -64,7 +63,12 @@ def classification_report(df: DataFrame, label: str = "label", prediction: str =
 
     Grouping twice over the counted classes only; the table itself is read once.
     """
-    classes = _per_class(confusion_matrix(df, label, prediction), label, prediction)
+    return report_of(confusion_matrix(df, label, prediction), label, prediction)
+
+
+def report_of(cells: DataFrame, label: str, prediction: str) -> DataFrame:
+    """The report from confusion cells."""
+    classes = _per_class(cells, label, prediction)
     rows = classes.groupBy(F.col("class").cast("string").alias("class")).agg(
         *[F.max(f).alias(f) for f in ("precision", "recall", "f1", "support")]
     )
@@ -89,18 +93,41 @@ def _true_probability(df: DataFrame, label: str, probability: str) -> Column:
     return F.when(y == 1, F.col(probability)).otherwise(1 - F.col(probability))
 
 
+def _score(df: DataFrame, probability: str) -> Column:
+    """The probability of class 1."""
+    kind = df.schema[probability].dataType
+    if isinstance(kind, VectorUDT):
+        return F.get(vector_to_array(probability), F.lit(1))
+    return F.get(F.col(probability), F.lit(1)) if kind.typeName() == "array" else F.col(probability)
+
+
+def _losses(df: DataFrame, label: str, probability: str | None) -> Column:
+    """Log loss of a row; NULL without probabilities."""
+    if probability is None or probability not in df.columns:
+        return F.lit(None).cast("double")
+    p = F.least(F.greatest(_true_probability(df, label, probability), F.lit(LOSS_FLOOR)), F.lit(1.0))
+    return -F.log(p)
+
+
 def classification_metrics(
     df: DataFrame, label: str = "label", prediction: str = "prediction", probability: str | None = "probability",
     digits: int = 6,
 ) -> DataFrame:
     """Accuracy, weighted precision, recall and F1, hamming loss; log loss and AUC if there are
     probabilities (AUC for two classes only). One row."""
-    has_p = probability is not None and probability in df.columns
-    losses = F.lit(None).cast("double")
-    if has_p:
-        p = F.least(F.greatest(_true_probability(df, label, probability), F.lit(LOSS_FLOOR)), F.lit(1.0))
-        losses = F.sum(-F.log(p))
-    cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"), losses.alias("loss"))
+    cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"), F.sum(_losses(df, label, probability)).alias("loss"))
+    out = metrics_of(cells, label, prediction)
+    if probability is not None and probability in df.columns:
+        # the labels are looked at in the very grouping that the areas are made from
+        counts = written(score_counts(df.select(F.col(label).alias("y"), _score(df, probability).alias("s"))), "scores")
+        out = _with_areas(out, counts)
+    else:
+        out = out.drop("logLoss")
+    return out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+
+
+def metrics_of(cells: DataFrame, label: str, prediction: str) -> DataFrame:
+    """One row of metrics from confusion cells with ``n`` and ``loss``."""
     classes = _per_class(cells, label, prediction)
     out = classes.agg(
         F.try_divide(F.sum("hits"), F.sum("support")).alias("accuracy"),
@@ -109,48 +136,56 @@ def classification_metrics(
         _weighted("f1").alias("f1"),
         (1 - F.try_divide(F.sum("hits"), F.sum("support"))).alias("hammingLoss"),
     )
-    if has_p:
-        loss = cells.agg(F.try_divide(F.sum("loss"), F.sum("n")))
-        out = out.withColumn("logLoss", loss.scalar())
-        kind = df.schema[probability].dataType
-        if isinstance(kind, VectorUDT):
-            score = F.get(vector_to_array(probability), F.lit(1))
-        elif kind.typeName() == "array":
-            score = F.get(F.col(probability), F.lit(1))
-        else:
-            score = F.col(probability)
-        if df.filter(~F.col(label).cast("double").isin(0.0, 1.0)).limit(1).count() == 0:
-            areas = binary_auc(df.withColumn("__score", score), label, "__score", None)
-            out = out.select("*", one_row(areas).alias("__auc")).select("*", "__auc.*").drop("__auc")
-    return out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+    loss = cells.agg(F.try_divide(F.sum("loss"), F.sum("n")))
+    return out.withColumn("logLoss", loss.scalar())
+
+
+def _with_areas(out: DataFrame, counts: DataFrame) -> DataFrame:
+    if counts.filter("other > 0").isEmpty():
+        areas = areas_of(counts)
+        out = out.select("*", one_row(areas).alias("__auc")).select("*", "__auc.*").drop("__auc")
+    return out
+
+
+def score_counts(rows: DataFrame) -> DataFrame:
+    """Per distinct score, highest first by ``__at``: rows, positives, and rows of other labels than 0 and 1; from (y, s)."""
+    y = F.col("y").cast("double")
+    return rows.groupBy((-F.col("s").cast("double")).alias("__at")).agg(
+        F.sum(F.when(y == 1.0, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.when(y.isin(0.0, 1.0), 0).otherwise(F.when(y.isNotNull(), 1).otherwise(0))).alias("other"))
 
 
 def binary_auc(
-    df: DataFrame, label: str = "label", score: str = "score", digits: int | None = 6, hot_rows: int | None = HOT_ROWS
+    df: DataFrame, label: str = "label", score: str = "score", digits: int | None = 6, partitions: int | None = None
 ) -> DataFrame:
-    """Exact areas under the ROC and precision-recall curves, every distinct score a threshold.
+    """Exact areas under the ROC and precision-recall curves, every distinct score a threshold."""
+    out = areas_of(score_counts(df.select(F.col(label).alias("y"), F.col(score).alias("s"))), partitions)
+    return out if digits is None else out.select(*[F.round(c, digits).alias(c) for c in out.columns])
 
-    Scores are counted first, then accumulated from the highest down; the running totals are cut
-    into pieces when there are many distinct scores (see ``series.running_total``).
+
+def areas_of(counts: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The areas from counted scores.
+
+    Scores are dealt in ranges, from the highest down. What stands above a score is the sum of all earlier ranges, from
+    a table of one row per range, and of the rows before it in its own, so no task sees more than its range.
     """
-    y = F.col(label).cast("double") == 1.0
-    counts = (
-        df.select((-F.col(score).cast("double")).alias("__at"), F.when(y, 1).otherwise(0).alias("__y"))
-        .groupBy("__at")
-        .agg(F.sum("__y").alias("pos"), F.count(F.lit(1)).alias("n"))
-        .withColumn("__all", F.lit(1))
-    )
-    ranked = running_total(
-        counts, "__all", "__at", {"cum_pos": "pos", "cum_n": "n"}, {"total_pos": "pos", "total_n": "n"}, hot_rows
-    )
+    laid = laid_out(counts.select("__at", "pos", "n"), ["__at"], "__place", partitions).withColumn("__part", part_of("__place"))
+    sums = laid.groupBy("__part").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
+    parts = Window.partitionBy(F.lit(0))  # one row per range
+    earlier = parts.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(
+        F.col("__part").alias("__p"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"above_{c}") for c in ("pos", "n")],
+        *[F.sum(c).over(parts).alias(f"total_{c}") for c in ("pos", "n")])
+    ranked = laid.join(F.broadcast(sums), F.col("__part") == F.col("__p"))  # one row per range
+    here = Window.partitionBy("__part").orderBy("__place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = ranked.withColumns({f"cum_{c}": F.sum(c).over(here) + F.col(f"above_{c}") for c in ("pos", "n")})
     neg = F.col("n") - F.col("pos")
     before = F.col("cum_pos") - F.col("pos")
     roc = F.try_divide(neg * (before + F.col("pos") / 2), F.col("total_pos") * (F.col("total_n") - F.col("total_pos")))
-    here = F.col("cum_pos") / F.col("cum_n")
-    previous = F.coalesce(F.try_divide(before, F.col("cum_n") - F.col("n")), here)
-    pr = F.try_divide(F.col("pos"), F.col("total_pos")) * (here + previous) / 2
-    out = ranked.agg(F.sum(roc).alias("areaUnderROC"), F.sum(pr).alias("areaUnderPR"))
-    return out if digits is None else out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+    at = F.col("cum_pos") / F.col("cum_n")
+    previous = F.coalesce(F.try_divide(before, F.col("cum_n") - F.col("n")), at)
+    pr = F.try_divide(F.col("pos"), F.col("total_pos")) * (at + previous) / 2
+    return ranked.agg(F.sum(roc).alias("areaUnderROC"), F.sum(pr).alias("areaUnderPR"))
 
 
 def regression_metrics(
@@ -181,12 +216,7 @@ def prediction_distribution(
 ) -> DataFrame:
     """Counts per value of prediction and label, or moments of the prediction for regression."""
     if task_type == "classification":
-        cells = confusion_matrix(df, label, prediction)
-        sides = F.array(
-            F.struct(F.lit("prediction").alias("side"), F.col(prediction).cast("double").alias("value"), "n"),
-            F.struct(F.lit("label").alias("side"), F.col(label).cast("double").alias("value"), "n"),
-        )
-        return cells.select(F.inline(sides)).groupBy("side", "value").agg(F.sum("n").alias("n"))
+        return distribution_of(confusion_matrix(df, label, prediction), label, prediction)
     p = F.col(prediction).cast("double")
     return df.agg(
         *[F.round(f(p), 4).alias(name) for name, f in
@@ -194,6 +224,15 @@ def prediction_distribution(
     )
 
 
+def distribution_of(cells: DataFrame, label: str, prediction: str) -> DataFrame:
+    """Counts per value of either side, from confusion cells."""
+    sides = F.array(
+        F.struct(F.lit("prediction").alias("side"), F.col(prediction).cast("double").alias("value"), "n"),
+        F.struct(F.lit("label").alias("side"), F.col(label).cast("double").alias("value"), "n"),
+    )
+    return cells.select(F.inline(sides)).groupBy("side", "value").agg(F.sum("n").alias("n"))
+
+
 def stratified_metrics(
     df: DataFrame, columns, label: str = "label", prediction: str = "prediction",
     task_type: str = "classification", digits: int = 6,
@@ -208,11 +247,7 @@ def stratified_metrics(
         F.col(label).alias("y"), F.col(prediction).alias("p"), F.explode(keys).alias("stratum")
     )
     if task_type == "classification":
-        cells = rows.groupBy("stratum", "y", "p").agg(F.count(F.lit(1)).alias("n"))
-        classes = _per_class(cells, "y", "p", ["stratum"])
-        return classes.groupBy("stratum").agg(
-            F.round(_weighted("f1"), digits).alias("f1"), F.sum("support").alias("n")
-        )
+        return strata_of(rows.groupBy("stratum", "y", "p").agg(F.count(F.lit(1)).alias("n")), digits)
     e = F.col("p").cast("double") - F.col("y").cast("double")
     return rows.groupBy("stratum").agg(
         F.round(F.sqrt(F.avg(e * e)), digits).alias("rmse"), F.count(F.lit(1)).alias("n")
@@ -255,35 +290,61 @@ def quality_gates(metrics: DataFrame, gates: DataFrame, keys) -> DataFrame:
     return rows.withColumn("passed", gate_passes(F.col("actual"), F.col("operator"), F.col("threshold")))
 
 
+def strata_of(cells: DataFrame, digits: int = 6) -> DataFrame:
+    """F1 and rows per stratum, from cells (stratum, y, p, n)."""
+    return _per_class(cells, "y", "p", ["stratum"]).groupBy("stratum").agg(
+        F.round(_weighted("f1"), digits).alias("f1"), F.sum("support").alias("n"))
+
+
 def evaluate(
     model, test_df: DataFrame, label: str = "label", task_type: str = "classification", stratify_columns=(),
-    gates: DataFrame | None = None, model_name: str = "model",
+    gates: DataFrame | None = None, model_name: str = "model", probability: str | None = "probability", digits: int = 6,
 ) -> dict[str, DataFrame]:
-    """Score once, persist, and derive all evaluation frames from the scored rows.
+    """Score once and derive all evaluation frames: metrics, distribution, confusion and report (classes), strata, gates.
 
-    Returns metrics, distribution, gates and strata as local result frames; nothing stays cached.
+    For classes, one grouping by (stratum, label, prediction), all rows being one more stratum, is written; every frame
+    but the areas comes from its cells, and the areas from the counted scores. For numbers, label, prediction and strata
+    are written. Nothing stays cached and no stratum is collected, so strata may be as many as there are users.
     """
-    scored = model.transform(test_df).persist()
-    try:
-        metrics = classification_metrics if task_type == "classification" else regression_metrics
+    scored, names = model.transform(test_df), [c for c in as_list(stratify_columns) if c in test_df.columns]
+    strata = F.array_compact(F.array(*[key_label(c) for c in names])) if names else F.array().cast("array<string>")
+    kept = [F.col(label).alias("y"), F.col("prediction").alias("p"), strata.alias("strata")]
+    if task_type != "classification":
+        rows = written(scored.select(*kept), "scored")
         out = {
-            "metrics": metrics(scored, label),
-            "distribution": prediction_distribution(scored, label, task_type=task_type),
+            "metrics": regression_metrics(rows, "y", "p", digits),
+            "distribution": prediction_distribution(rows, "y", "p", task_type),
         }
-        if task_type == "classification":
-            out["confusion"] = confusion_matrix(scored, label)
-            out["report"] = classification_report(scored, label)
-        if stratify_columns:
-            out["strata"] = stratified_metrics(scored, stratify_columns, label, task_type=task_type)
-        spark = test_df.sparkSession
-        out = {k: spark.createDataFrame(f.collect(), f.schema) for k, f in out.items()}  # small results
-        if gates is not None:
-            row = out["metrics"].first().asDict()
-            long = spark.createDataFrame(
-                [(model_name, k, float(v)) for k, v in row.items() if v is not None],
-                "model_name string, metric_name string, metric_value double",
-            )
-            out["gates"] = quality_gates(long, gates, "model_name")
-        return out
-    finally:
-        scored.unpersist()
+        e = F.col("p").cast("double") - F.col("y").cast("double")
+        if names:
+            out["strata"] = rows.select(e.alias("e"), F.explode("strata").alias("stratum")).groupBy("stratum").agg(
+                F.round(F.sqrt(F.avg(F.col("e") * F.col("e"))), digits).alias("rmse"), F.count(F.lit(1)).alias("n"))
+    else:
+        has_p = probability is not None and probability in scored.columns
+        score = _score(scored, probability).cast("double") if has_p else F.lit(None).cast("double")
+        rows = written(scored.select(*kept, score.alias("s"), _losses(scored, label, probability).alias("loss")), "scored")
+        every = F.concat(F.array(F.lit(None).cast("string")), "strata")  # NULL: all rows
+        cells = rows.select("y", "p", "loss", F.explode(every).alias("stratum")).groupBy("stratum", "y", "p")
+        cells = written(cells.agg(F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss")), "cells")
+        all_rows = cells.filter("stratum IS NULL").drop("stratum")
+        metrics = metrics_of(all_rows, "y", "p")
+        if has_p:
+            metrics = _with_areas(metrics, written(score_counts(rows.select("y", "s")), "scores"))
+        else:
+            metrics = metrics.drop("logLoss")
+        out = {
+            "metrics": metrics.select(*[F.round(c, digits).alias(c) for c in metrics.columns]),
+            "distribution": distribution_of(all_rows, "y", "p"),
+            "confusion": all_rows.select(F.col("y").alias(label), F.col("p").alias("prediction"), "n"),
+            "report": report_of(all_rows, "y", "p"),
+        }
+        if names:
+            out["strata"] = strata_of(cells.filter("stratum IS NOT NULL"), digits)
+    if gates is not None:
+        row = out["metrics"].first().asDict()  # one row of numbers
+        long = test_df.sparkSession.createDataFrame(
+            [(model_name, k, float(v)) for k, v in row.items() if v is not None],
+            "model_name string, metric_name string, metric_value double",
+        )
+        out["gates"] = quality_gates(long, gates, "model_name")
+    return out

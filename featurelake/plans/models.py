@@ -6,6 +6,7 @@ is predicted to be an error if its value is above 40, with a score that grows wi
 
 from __future__ import annotations
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from ..functions import encoding
@@ -277,66 +278,214 @@ def training_frame(spark, d):
     return out.select("event_id", "event_type", "value", "k", "label", "features")
 
 
-def _metric_rows(spark, results):
-    out = training.metric_rows(spark, "run", [r for r in results if r.model is not None])
-    return rounded(out, 4, "metric_value")
+#: Rows of the training frame with their part and fold: label y as a number, b as a class; feature v, and x that is 0 or 1.
+ROWS = f"""r AS (SELECT event_id, value AS v, k, value + k AS y, (value + k > 80)::INT AS b, (value > 45)::INT AS x, s, fold,
+    CASE WHEN s < 8000 THEN 'train' WHEN s < 9000 THEN 'validation' ELSE 'test' END AS part
+  FROM (SELECT event_id, value, json_extract_string(props, '$.k')::DOUBLE AS k, {SQL_BUCKET.format(key="event_id::VARCHAR")} AS s,
+          ('0x' || substr(md5(event_id || '#42'), 1, 8))::BIGINT % 5 AS fold FROM events) WHERE k IS NOT NULL)"""
 
 
-@query("train_classifiers")
+def line_sql(candidates: list[tuple], source: str, by: str) -> str:
+    """Slope and intercept of y by v for each candidate (model, reg, net) and group of ``source``.
+
+    One feature has a closed form: with both sides scaled to deviation 1 the coefficient is the correlation, shrunk by the
+    absolute penalty and divided by one plus the squared one, each in deviations of the label.
+    """
+    rows = ", ".join(f"('{m}', {i}, {reg}::DOUBLE, {net}::DOUBLE)" for m, i, reg, net in candidates)
+    return f"""(SELECT {by}, model, i, reg, w * sy / sx AS slope, my - w * sy / sx * mx AS base FROM (
+      SELECT *, sign(rho) * greatest(abs(rho) - reg * net / sy, 0) / (1 + reg * (1 - net) / sy) AS w
+      FROM (SELECT {by}, avg(v) AS mx, avg(y) AS my, stddev_pop(v) AS sx, stddev_pop(y) AS sy, corr(v, y) AS rho FROM {source} GROUP BY {by}),
+        (VALUES {rows}) c(model, i, reg, net)))"""
+
+
+def _grid(model: str) -> list[tuple]:
+    grid = training.DEFAULT_GRIDS[model]
+    pairs = [(reg, net) for reg in grid["regParam"] for net in grid.get("elasticNetParam", [0.0])]
+    return [(model, i, reg, net) for i, (reg, net) in enumerate(pairs)]
+
+
+LINES = _grid("linear_regression") + _grid("ridge")
+
+
+def _folds(candidates: list[tuple], rows: str = "t") -> str:
+    """Held-out root mean square error per candidate: the mean over five folds, each by the line of the other four."""
+    return f"""o AS (SELECT h.held, r.v, r.y FROM (SELECT DISTINCT fold AS held FROM {rows}) h JOIN {rows} r ON r.fold <> h.held),
+  lines AS (SELECT * FROM {line_sql(candidates, 'o', 'held')}),
+  cv AS (SELECT model, i, any_value(reg) AS reg, avg(e) AS score FROM (
+    SELECT l.model, l.i, l.held, any_value(l.reg) AS reg, sqrt(avg((l.slope * r.v + l.base - r.y) ** 2)) AS e
+    FROM lines l JOIN {rows} r ON r.fold = l.held GROUP BY l.model, l.i, l.held) GROUP BY model, i)"""
+
+
+def one_feature(spark, d):
+    frame = training_frame(spark, d).filter("k IS NOT NULL").withColumn("label", F.col("value") + F.col("k")).drop("features")
+    return encoding.assemble_features(frame, ["value"])[0]
+
+
+CLASSES = ["accuracy", "f1", "logLoss"]
+
+
+def _shares(train: str, rows: str, by: str, on: str) -> str:
+    """Rows with the fitted chance of their x: a logistic regression on one 0/1 feature gives the share of its class."""
+    return f"""(SELECT r.{by}, r.b, f.p, (f.p > 0.5)::INT AS c FROM {rows} r JOIN
+      (SELECT {on} x, avg(b) AS p FROM {train} GROUP BY ALL) f ON {'f.held = r.fold AND ' if 'held' in on else ''}f.x = r.x)"""
+
+
+def _class_metrics(source: str, by: str) -> str:
+    return f"""(SELECT {by}, (a + d) / n AS accuracy, ((a + e) * coalesce(2 * a / nullif(2 * a + e + g, 0), 0)
+        + (d + g) * coalesce(2 * d / nullif(2 * d + e + g, 0), 0)) / n AS f1, loss AS "logLoss" FROM (
+      SELECT {by}, count(*)::DOUBLE AS n, count(*) FILTER (b = 1 AND c = 1)::DOUBLE AS a, count(*) FILTER (b = 0 AND c = 0)::DOUBLE AS d,
+        count(*) FILTER (b = 1 AND c = 0)::DOUBLE AS e, count(*) FILTER (b = 0 AND c = 1)::DOUBLE AS g,
+        avg(-ln(CASE WHEN b = 1 THEN p ELSE 1 - p END)) AS loss FROM {source} GROUP BY {by}))"""
+
+
+@query(
+    "train_classifiers",
+    f"""WITH {ROWS}, t AS (SELECT * FROM r WHERE part = 'train'),
+        o AS (SELECT h.held, r.x, r.b FROM (SELECT DISTINCT fold AS held FROM t) h JOIN t r ON r.fold <> h.held),
+        m AS (SELECT * FROM {_class_metrics(_shares('t', "(SELECT * FROM r WHERE part <> 'test')", 'part', ''), 'part')})
+        SELECT 'run' AS run_id, 'logistic_regression' AS model_name, part AS dataset, name AS metric_name, round(value, 3) AS metric_value
+        FROM m UNPIVOT (value FOR name IN (accuracy, f1, "logLoss"))
+        UNION ALL SELECT 'run', 'logistic_regression', 'cv', 'cv_0', round(avg(f1), 3)
+        FROM {_class_metrics(_shares('o', 't', 'fold', 'held,'), 'fold')}""",
+)
 def train_classifiers(spark, d):
-    train, valid, _ = splits.split_random(training_frame(spark, d), "event_id")
+    """Five folds; one 0/1 feature, for which the fitted chances are known in closed form."""
+    frame = training_frame(spark, d).filter("k IS NOT NULL").drop("features")
+    frame = encoding.assemble_features(frame.withColumn("x", F.when(F.col("value") > 45, 1.0).otherwise(0.0)), ["x"])[0]
+    train, valid, _ = splits.split_random(frame, "event_id")
     results = training.train(
-        train, ["random_forest", "gradient_boosted_trees", "logistic_regression"], validation_df=valid, folds=2,
-        max_iter=5, grids={"random_forest": {"numTrees": [5]}}, row_key="event_id")
-    return _metric_rows(spark, results)
+        train, ["logistic_regression"], validation_df=valid, grids={"logistic_regression": {"regParam": [0.0]}}, row_key="event_id")
+    rows = training.metric_rows(spark, "run", results).filter(F.col("metric_name").isin(*CLASSES) | (F.col("dataset") == "cv"))
+    return rounded(rows, 3, "metric_value")
 
 
-@query("train_regressors")
+@query(
+    "train_regressors",
+    f"""WITH {ROWS}, t AS (SELECT * FROM r WHERE part = 'train'), {_folds(LINES)},
+        best AS (SELECT model, arg_min(i, score) AS i FROM cv GROUP BY model),
+        fit AS (SELECT l.* FROM {line_sql(LINES, "(SELECT *, 0 AS g FROM t)", 'g')} l JOIN best USING (model, i)),
+        e AS (SELECT model, part, y, slope * v + base - y AS e FROM fit, r WHERE part <> 'test'),
+        m AS (SELECT model, part, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2 FROM e GROUP BY 1, 2)
+        SELECT 'run' AS run_id, model AS model_name, part AS dataset, name AS metric_name, round(value, 3) AS metric_value
+        FROM m UNPIVOT (value FOR name IN (rmse, mae, r2))
+        UNION ALL SELECT 'run', model, 'cv', 'cv_' || i, round(score, 3) FROM cv""",
+)
 def train_regressors(spark, d):
-    frame = training_frame(spark, d).withColumn("label", F.col("value") + F.col("k"))
-    train, valid, _ = splits.split_random(frame, "event_id")
-    results = training.train(
-        train, ["random_forest_regressor", "gradient_boosted_trees_regressor", "linear_regression", "ridge"],
-        task_type="regression", validation_df=valid, folds=2, max_iter=5,
-        grids={"random_forest_regressor": {"numTrees": [5]}}, row_key="event_id")
-    return _metric_rows(spark, results)
+    """Default grids, five folds; one feature, for which every candidate has a closed form."""
+    train, valid, _ = splits.split_random(one_feature(spark, d), "event_id")
+    results = training.train(train, ["linear_regression", "ridge"], task_type="regression", validation_df=valid, row_key="event_id")
+    rows = training.metric_rows(spark, "run", results)
+    rows = rows.filter(F.col("metric_name").isin("rmse", "mae", "r2") | (F.col("dataset") == "cv"))
+    return rounded(rows, 3, "metric_value")
+
+
+@query("train_tree_models")
+def train_tree_models(spark, d):
+    """Forests and boosted trees of either task; a small grid, as the default one is 27 models by five folds each."""
+    train, valid, _ = splits.split_random(training_frame(spark, d).filter("k IS NOT NULL"), "event_id")
+    some = {"folds": 2, "max_iter": 5, "validation_df": valid, "row_key": "event_id"}
+    results = training.train(train, ["random_forest", "gradient_boosted_trees"], grids={"random_forest": {"numTrees": [5]}}, **some)
+    numbers = [f.withColumn("label", F.col("value") + F.col("k")) for f in (train, valid)]
+    results += training.train(
+        numbers[0], ["random_forest_regressor", "gradient_boosted_trees_regressor"], task_type="regression",
+        grids={"random_forest_regressor": {"numTrees": [5]}}, **some | {"validation_df": numbers[1]})
+    return rounded(training.metric_rows(spark, "run", [r for r in results if r.model is not None]), 4, "metric_value")
+
 
+def ridge(spark, d):
+    est = training.make_estimator("ridge", "regression", "features", "label")
+    return training.cross_validate(
+        one_feature(spark, d), est, "regression", "label", training.DEFAULT_GRIDS["ridge"], folds=5, row_key="event_id")
 
-@query("cross_validate_grid")
+
+@query(
+    "cross_validate_grid",
+    f"WITH {ROWS}, {_folds(_grid('ridge'), 'r')} SELECT i AS candidate, round(score, 4) AS rmse FROM cv",
+)
 def cross_validate_grid(spark, d):
-    est = training.make_estimator("logistic_regression", "classification", "features", "label", max_iter=10)
-    cv = training.cross_validate(
-        training_frame(spark, d), est, "classification", "label", {"regParam": [0.0, 0.1]}, folds=3, row_key="event_id")
-    return spark.createDataFrame([(i, round(float(m), 4)) for i, m in enumerate(cv.avgMetrics)], "candidate int, f1 double")
+    rows = [(i, float(m)) for i, m in enumerate(ridge(spark, d).avgMetrics)]
+    return rounded(spark.createDataFrame(rows, "candidate int, rmse double"), 4, "rmse")
 
 
-@query("best_params")
+@query(
+    "best_params",
+    f"""WITH {ROWS}, {_folds(_grid('ridge'), 'r')}
+        SELECT 'regParam' AS parameter, arg_min(reg, score) AS value FROM cv UNION ALL SELECT 'elasticNetParam', 0.0""",
+)
 def best_params(spark, d):
-    est = training.make_estimator("logistic_regression", "classification", "features", "label", max_iter=10)
-    cv = training.cross_validate(
-        training_frame(spark, d), est, "classification", "label", {"regParam": [0.0, 0.1]}, folds=2, row_key="event_id")
-    chosen = training.best_params(cv.bestModel)
-    return spark.createDataFrame([(k, str(chosen[k])) for k in ("regParam", "maxIter")], "parameter string, value string")
+    chosen = training.best_params(ridge(spark, d).bestModel)
+    return spark.createDataFrame([(k, float(chosen[k])) for k in ("regParam", "elasticNetParam")], "parameter string, value double")
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""WITH {ROWS}, {_folds(_grid('ridge'), 'r')}, best AS (SELECT arg_min(i, score) AS i FROM cv)
+        SELECT 'value' AS feature, round(abs(slope), 4) AS importance
+        FROM {line_sql(_grid('ridge'), "(SELECT *, 0 AS g FROM r)", 'g')} JOIN best USING (i)""",
+)
 def feature_importance(spark, d):
-    est = training.make_estimator("random_forest", "classification", "features", "label")
-    model = training.cross_validate(
-        training_frame(spark, d), est, "classification", "label", {"numTrees": [5]}, folds=2, row_key="event_id").bestModel
-    return rounded(
-        training.feature_importance(model, ["value", "k", "ts_hour", "ts_day_of_week"], spark), 4, "importance")
+    return rounded(training.feature_importance(ridge(spark, d).bestModel, ["value"], spark), 4, "importance")
 
 
-@query("cross_val_scores")
+@query(
+    "cross_val_scores",
+    f"""WITH {ROWS}, {_folds([('linear_regression', 0, 0.0, 0.0)], 'r')},
+        e AS (SELECT r.fold, r.y, l.slope * r.v + l.base - r.y AS e FROM lines l JOIN r ON r.fold = l.held),
+        m AS (SELECT fold, sqrt(avg(e * e)) AS rmse, avg(abs(e)) AS mae, 1 - avg(e * e) / var_pop(y) AS r2, avg(e) AS mean_error FROM e GROUP BY fold)
+        SELECT fold::INTEGER AS fold, name AS metric_name, round(value, 3) AS metric_value FROM m UNPIVOT (value FOR name IN (rmse, mae, r2, mean_error))""",
+)
 def cross_val_scores(spark, d):
-    out = training.cross_val_scores(training_frame(spark, d), "logistic_regression", "classification", "event_id", folds=3)
-    return rounded(out, 4, "metric_value")
+    out = training.cross_val_scores(one_feature(spark, d), "linear_regression", "regression", "event_id")
+    return rounded(out.filter(F.col("metric_name").isin("rmse", "mae", "r2", "mean_error")), 3, "metric_value")
+
 
+EVALUATED = [("enough", "accuracy", ">=", 0.5), ("sharp", "areaUnderROC", ">", 0.9), ("calm", "logLoss", "<=", 5.0)]
 
-@query("evaluate")
+
+@query(
+    "evaluate",
+    f"""WITH {PRED}, {PER_CLASS}, t AS (SELECT probability AS s, sum(label) AS pos, count(*) AS n FROM p GROUP BY 1),
+        w AS (SELECT pos, n, sum(pos) OVER w AS cp, sum(pos) OVER () AS tp, sum(n) OVER () AS tn
+              FROM t WINDOW w AS (ORDER BY s DESC ROWS UNBOUNDED PRECEDING)),
+        v AS (SELECT sum(hits) / sum(support) AS accuracy, sum(f1 * support) / sum(support) AS f1,
+          (SELECT avg(-ln(greatest(CASE WHEN label = 1 THEN probability ELSE 1 - probability END, 1e-15))) FROM p) AS "logLoss",
+          (SELECT sum((n - pos) * (cp - pos + pos / 2) / (tp * (tn - tp))) FROM w) AS "areaUnderROC" FROM f),
+        u AS (SELECT name, value FROM v UNPIVOT (value FOR name IN (accuracy, f1, "logLoss", "areaUnderROC"))),
+        s AS (SELECT 'event_type=' || event_type AS k, label, prediction FROM p UNION ALL SELECT 'user_id=' || user_id, label, prediction FROM p),
+        g AS (SELECT k, sum((label = 1 AND prediction = 1)::INT)::DOUBLE AS a, sum((label = 0 AND prediction = 0)::INT)::DOUBLE AS d,
+          sum((label <> prediction)::INT)::DOUBLE AS w, sum((label = 1)::INT)::DOUBLE AS y, count(*) AS n FROM s GROUP BY k)
+        SELECT 'metrics' AS frame, name AS name, 'value' AS field, round(value, 4) AS value FROM u
+        UNION ALL SELECT 'gates', gate, 'passed', CASE WHEN op = '<=' THEN (value <= h)::INT WHEN op = '>' THEN (value > h)::INT ELSE (value >= h)::INT END::DOUBLE
+        FROM (VALUES {', '.join(str(g) for g in EVALUATED)}) q(gate, name, op, h) JOIN u USING (name)
+        UNION ALL SELECT 'report', cls::VARCHAR, 'f1', round(f1, 4) FROM f UNION ALL SELECT 'report', cls::VARCHAR, 'support', support::DOUBLE FROM f
+        UNION ALL SELECT 'confusion', label::VARCHAR || ' ' || prediction::VARCHAR, 'n', count(*)::DOUBLE FROM p GROUP BY label, prediction
+        UNION ALL SELECT 'distribution', 'label ' || label::VARCHAR, 'n', count(*)::DOUBLE FROM p GROUP BY label
+        UNION ALL SELECT 'distribution', 'prediction ' || prediction::VARCHAR, 'n', count(*)::DOUBLE FROM p GROUP BY prediction
+        UNION ALL SELECT 'strata', k, 'f1', round((y * coalesce(2 * a / nullif(2 * a + w, 0), 0) + (n - y) * coalesce(2 * d / nullif(2 * d + w, 0), 0)) / n, 4) FROM g
+        UNION ALL SELECT 'strata', k, 'n', n::DOUBLE FROM g""",
+)
 def evaluate(spark, d):
-    train, _, test = splits.split_random(training_frame(spark, d), "event_id")
-    est = training.make_estimator("logistic_regression", "classification", "features", "label", max_iter=10)
-    out = evaluation.evaluate(est.fit(train), test, stratify_columns=["event_type"])
-    return out["strata"].withColumn("f1", F.round("f1", 4))
+    """Every frame of an evaluation in one table; the model is a rule, so that SQL can follow it."""
+    rule = SQLTransformer(statement="""SELECT *, CASE WHEN event_type = 'error' THEN 1.0D ELSE 0.0D END AS label,
+        CASE WHEN value > 40 THEN 1.0D ELSE 0.0D END AS prediction, value / (value + 40) AS probability FROM __THIS__""")
+    gates = spark.createDataFrame(EVALUATED, "gate string, metric_name string, operator string, threshold double")
+    out = evaluation.evaluate(rule, table(spark, d, "events"), stratify_columns=["event_type", "user_id"], gates=gates, digits=12)
+
+    def rows(frame, name, **fields):
+        items = [F.struct(F.lit(k).alias("field"), c.cast("double").alias("value")) for k, c in fields.items()]
+        return out[frame].select(F.lit(frame).alias("frame"), name.cast("string").alias("name"), F.inline(F.array(*items)))
+
+    metrics = out["metrics"]
+    numbers = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in ("accuracy", "f1", "logLoss", "areaUnderROC")]))
+    parts = [
+        metrics.select(numbers.alias("m")).select(F.lit("metrics").alias("frame"), "m.name", F.lit("value").alias("field"), "m.value"),
+        rows("gates", F.col("gate"), passed=F.col("passed")),
+        rows("report", F.col("class"), f1=F.col("f1"), support=F.col("support")).filter("name NOT LIKE '%avg'"),
+        rows("confusion", F.concat_ws(" ", "label", "prediction"), n=F.col("n")),
+        rows("distribution", F.concat_ws(" ", "side", "value"), n=F.col("n")),
+        rows("strata", F.col("stratum"), f1=F.col("f1"), n=F.col("n")),
+    ]
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.unionByName(p)
+    return rounded(whole, 4, "value")

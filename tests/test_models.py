@@ -1,8 +1,9 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -42,8 +43,12 @@ def test_metrics_match_spark(scored):
 
 
 def test_auc_in_pieces(scored):
-    assert evaluation.binary_auc(scored, "label", "p", hot_rows=8).first() == evaluation.binary_auc(
-        scored, "label", "p", hot_rows=None).first()
+    assert evaluation.binary_auc(scored, "label", "p", partitions=9).first() == evaluation.binary_auc(
+        scored, "label", "p", partitions=1).first()
+    text = plan(evaluation.binary_auc(scored, "label", "p", partitions=9))
+    assert text.count("SinglePartition") <= 2  # the result, and a table of one row per range
+    several = scored.withColumn("label", F.col("id") % 3)
+    assert "areaUnderROC" not in evaluation.classification_metrics(several).columns
 
 
 def test_auc_of_one_class(scored):
@@ -152,6 +157,23 @@ def test_evaluate(spark, ml):
     out = evaluation.evaluate(model, ml.withColumn("seg", F.lit("s")), stratify_columns=["seg"], gates=gates)
     assert set(out) == {"metrics", "distribution", "confusion", "report", "strata", "gates"}
     assert out["gates"].first()["passed"] and out["strata"].first()["n"] == 300
+    done = model.transform(ml)
+    assert out["metrics"].first() == evaluation.classification_metrics(done).first()
+    assert rows(out["report"]) == rows(evaluation.classification_report(done))
+    assert rows(out["distribution"]) == rows(evaluation.prediction_distribution(done))
+    assert rows(out["confusion"]) == rows(evaluation.confusion_matrix(done))
+
+
+def test_evaluate_numbers_and_many_strata(spark, ml):
+    model = training.make_estimator("linear_regression", "regression", "features", "label").fit(ml)
+    frame = ml.withColumn("user", F.col("id").cast("string"))
+    out = evaluation.evaluate(model, frame, task_type="regression", stratify_columns=["user", "absent"])
+    done = model.transform(frame)
+    assert out["metrics"].first() == evaluation.regression_metrics(done).first()
+    assert rows(out["strata"]) == rows(evaluation.stratified_metrics(done, ["user"], task_type="regression")) and out["strata"].count() == 300
+    rule = SQLTransformer(statement="SELECT *, CAST(f1 > 0 AS DOUBLE) AS prediction FROM __THIS__")
+    plain = evaluation.evaluate(rule, frame, stratify_columns=["user"])
+    assert "logLoss" not in plain["metrics"].columns and plain["strata"].count() == 300
 
 
 def test_store_and_logistic_regression_share_a_session(spark, ml, base):
