@@ -49,27 +49,33 @@ def aggregate(
     """Grouped aggregation with columns named ``{column}_{function}``.
 
     NaN counts as missing. All functions but the median combine on the map side. Medians are exact: groups too large for
-    one buffer are ranked by counted values instead.
+    one buffer are ranked by counted values instead. Distinct values are counted in two steps, apart from the rest: inside
+    one aggregate every distinct value would carry the buffers of all others through the shuffle.
     """
     keys, order = as_list(group_columns), as_list(order_by)
     if drop_null_keys:
         df = df.dropna(subset=keys)
-    plain, medians, names = [], {}, list(keys)
+    plain, medians, distinct, names = [], {}, {}, list(keys)
     for column, fns in aggregations.items():
         for fn in as_list(fns):
             name = f"{column}_{fn}"
             names.append(name)
             if fn == "median":
                 medians[column] = {name: 0.5}
+            elif fn == "nunique":
+                distinct[column] = name
             else:
                 plain.append(_one(df, column, fn, order).alias(name))
-    if not medians:
-        return df.groupBy(*keys).agg(*plain)
-    middle = group_quantiles(df, keys, medians, hot_rows)
-    if not plain:
-        return middle.select(*names)
-    grouped = df.groupBy(*keys).agg(*plain)
-    return attach(grouped, middle, keys, hot_keys(grouped, keys, None)).select(*names)
+    parts = [df.groupBy(*keys).agg(*plain)] if plain else []
+    if medians:
+        parts.append(group_quantiles(df, keys, medians, hot_rows))
+    for column, name in distinct.items():
+        values = df.select(*keys, measured(df, column).alias("__v")).distinct()
+        parts.append(values.groupBy(*keys).agg(F.count("__v").alias(name)))
+    out = parts[0]
+    for part in parts[1:]:  # one row per group on either side
+        out = attach(out, part, keys, hot_keys(out, keys, None))
+    return out.select(*names)
 
 
 def group_features(

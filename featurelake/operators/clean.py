@@ -196,15 +196,23 @@ def fit_fill(df: DataFrame, strategy: str, columns=None, approx: bool = False) -
 def modes(df: DataFrame, columns) -> dict:
     """Most frequent value per column, the smallest of ties; 0 for a column without values.
 
-    Values are counted by a shuffle per column (each reads its own column only), then reduced to
-    one row, so no task holds all values of a column.
+    All columns are counted in one round: a row gives a value per column, each in the field of its type, and values of
+    one column are counted where they are before they are shuffled.
     """
-    out = {}
-    for c in as_list(columns):
-        counts = df.select(measured(df, c).alias("v")).filter(F.col("v").isNotNull()).groupBy("v").count()
-        best = counts.agg(F.min(F.struct((-F.col("count")).alias("n"), F.col("v"))).alias("b")).first()["b"]
-        out[c] = 0 if best is None else best["v"]
-    return out
+    names = as_list(columns)
+    if not names:
+        return {}
+    kinds = list(dict.fromkeys(df.schema[c].dataType for c in names))
+    fields = [f"v{k}" for k in range(len(kinds))]
+    items = [
+        F.struct(F.lit(i).alias("at"), *[
+            (measured(df, c) if df.schema[c].dataType == kind else F.lit(None).cast(kind)).alias(v) for kind, v in zip(kinds, fields, strict=True)])
+        for i, c in enumerate(names)]
+    values = df.select(F.inline(F.array(*items))).filter(F.coalesce(*[F.col(v).isNotNull() | F.lit(None) for v in fields], F.lit(False)))
+    counts = values.groupBy("at", *fields).agg((-F.count(F.lit(1))).alias("n"))
+    best = counts.groupBy("at").agg(F.min(F.struct("n", *fields)).alias("b")).collect()  # one row per column
+    found = {names[r["at"]]: next(r["b"][v] for v in fields if r["b"][v] is not None) for r in best}
+    return {c: found.get(c, 0) for c in names}
 
 
 def apply_fill(df: DataFrame, values: dict) -> DataFrame:

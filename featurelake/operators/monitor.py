@@ -90,9 +90,9 @@ def stage_statistics(
 def threshold_alerts(metrics: DataFrame, thresholds: DataFrame, metric: str = "metric_name", value: str = "value") -> DataFrame:
     """Rows below the minimum or above the maximum, with level and reason.
 
-    ``thresholds``: metric_name, min_value, max_value, alert_level; a configured list, broadcast.
+    ``thresholds``: metric_name, min_value, max_value, alert_level. Spark sends it to all executors if its size allows.
     """
-    limits = F.broadcast(thresholds.withColumnRenamed("metric_name", "__m"))
+    limits = thresholds.withColumnRenamed("metric_name", "__m")
     low, high = F.col(value) < F.col("min_value"), F.col(value) > F.col("max_value")
     text = F.format_string("%.4f", F.col(value))
     reason = F.when(

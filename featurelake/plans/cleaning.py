@@ -72,6 +72,17 @@ def cast_types(spark, d):
     )
 
 
+@query(
+    "cast_types_ignore",
+    """SELECT event_id::BIGINT AS event_id, event_type, floor(value)::VARCHAR::DOUBLE::BIGINT AS value FROM events""",
+)
+def cast_types_ignore(spark, d):
+    """A column that would lose values stays as it is; the others are cast, and casts that must succeed raise otherwise."""
+    rows = table(spark, d, "events").select(F.col("event_id").cast("string").alias("event_id"), "event_type", F.floor("value").cast("string").alias("value"))
+    kept = clean.cast_types(rows, {"event_type": "int", "value": "int"}, errors="ignore")
+    return clean.cast_types(kept, {"event_id": "int"}, errors="raise")
+
+
 @query(
     "derive_columns",
     """SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 6) AS net,

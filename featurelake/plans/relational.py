@@ -212,6 +212,30 @@ def distinct_count(spark, d):
     return agg.distinct_count(table(spark, d, "lineitem"), ["l_partkey", "l_suppkey"])
 
 
+@query(
+    "join_null_safe",
+    f"""WITH {SPARSE_SQL}, n AS (SELECT event_type, count(*) AS n FROM sparse GROUP BY 1)
+        SELECT event_id, s.event_type, n FROM sparse s JOIN n ON s.event_type IS NOT DISTINCT FROM n.event_type""",
+)
+def join_null_safe(spark, d):
+    """NULL keys meet, and keys of over 100 rows are salted."""
+    events = sparse_events(spark, d).select("event_id", "event_type")
+    counts = events.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return joins.join(events, counts, "event_type", null_safe=True, hot_rows=100).select("event_id", "event_type", "n")
+
+
+@query(
+    "aggregate_drop_null_keys",
+    f"""WITH {SPARSE_SQL} SELECT event_type, count(DISTINCT user_id) AS user_id_nunique, count(DISTINCT value) AS value_nunique,
+          round(quantile_cont(value, 0.5), 6) AS value_median, count(value) AS value_count
+        FROM sparse WHERE event_type IS NOT NULL GROUP BY event_type""",
+)
+def aggregate_drop_null_keys(spark, d):
+    out = agg.aggregate(
+        sparse_events(spark, d), "event_type", {"user_id": ["nunique"], "value": ["nunique", "median", "count"]}, drop_null_keys=True)
+    return rounded(out, 6, "value_median")
+
+
 def order_loads(spark, d):
     """Line items as two loads, by the parity of the order."""
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_quantity", "l_extendedprice", "l_returnflag")
@@ -583,11 +607,23 @@ def encode_index(spark, d):
     return encoding.encode_index(sparse_events(spark, d), "event_type").select("event_id", "event_type_indexed")
 
 
-@query("encode_onehot_vector")
+@query(
+    "encode_onehot_vector",
+    f"""WITH {SPARSE_SQL}, c AS (SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS code, count(*) OVER () AS size
+          FROM sparse WHERE event_type IS NOT NULL GROUP BY event_type)
+        SELECT event_id, coalesce(code, size) AS code, CASE WHEN code IS NULL THEN 0 ELSE 1 END AS entries, code::INTEGER AS position,
+          CASE WHEN code IS NOT NULL THEN 1.0::DOUBLE END AS value, (SELECT any_value(size) FROM c)::INTEGER AS size
+        FROM (SELECT s.event_id, c.code, (SELECT any_value(size) FROM c) AS size FROM sparse s LEFT JOIN c USING (event_type))""",
+)
 def encode_onehot_vector(spark, d):
-    out, _ = encoding.encode_categorical(table(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"], "onehot")
-    return out.select("o_orderkey", F.col("o_orderpriority_encoded").cast("string").alias("priority"),
-                      F.col("o_orderstatus_encoded").cast("string").alias("status"))
+    """The vector as its only entry (position and value), if it has one, and its size."""
+    out, _ = encoding.encode_categorical(sparse_events(spark, d), "event_type", "onehot")
+    text = F.col("event_type_encoded").cast("string")  # (size,[positions],[values])
+    part = [F.regexp_extract(text, r"^\((\d+),\[(\d*)\],\[([\d.]*)\]\)$", k) for k in (1, 2, 3)]
+    given = [F.when(p != "", p) for p in part]
+    return out.select(
+        "event_id", F.col("event_type_indexed").cast("long").alias("code"), F.when(part[1] != "", 1).otherwise(0).alias("entries"),
+        given[1].cast("int").alias("position"), given[2].cast("double").alias("value"), given[0].cast("int").alias("size"))
 
 
 @query(

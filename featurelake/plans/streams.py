@@ -185,3 +185,14 @@ def _windows(spark, counts):
 def stream_dedup(spark, d):
     rows = ev.with_event_time(event_stream(spark, d), "ts", "60 days")
     return spark.read.parquet(run(ev.drop_repeats(rows, "event_type").select("event_type"), "dedup"))
+
+
+@query(
+    "message_id",
+    """SELECT event_id, coalesce(json_extract_string(props, '$.trade_id'),
+         CASE WHEN event_id % 3 = 0 THEN json_extract_string(props, '$.k') END, 'offset_' || event_id) AS id FROM events""",
+)
+def message_id(spark, d):
+    """The first id field that a message has, else its offset; only every third message keeps its field."""
+    rows = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("props")).otherwise("{}").alias("value"))
+    return rows.select("event_id", ev.message_id("value", ["trade_id", "k"], "event_id").alias("id"))

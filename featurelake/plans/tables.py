@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import one_row
 from ..functions.scalars import content_fingerprint
 from ..operators import features, monitor
 from ..operators.store import STAMP, FeatureStore, merge_latest
@@ -152,6 +153,28 @@ def compact_table(spark, d):
     return store.history("orders").filter("version = 2").select("version", "file_count", "row_count")
 
 
+@query(
+    "compact_partitioned",
+    """SELECT o_orderstatus, count(*) AS n, round(sum(CASE WHEN o_orderstatus = 'P' THEN 1.0 ELSE o_totalprice END), 2) AS total,
+         4 AS version, 0::BIGINT AS deltas, true AS fewer_files
+       FROM orders GROUP BY o_orderstatus""",
+)
+def compact_partitioned(spark, d):
+    """Two upserts of single partitions are folded into files by partition."""
+    store = FeatureStore(spark, scratch(spark, "compact_parts"))
+    store.register("orders", "o_orderkey", "o_orderdate")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    store.write(orders.repartition(8), "orders", "overwrite", "o_orderstatus")
+    for price in (0.0, 1.0):
+        store.upsert(orders.filter("o_orderstatus = 'P'").withColumn("o_totalprice", F.lit(price)), "orders")
+    store.compact("orders", 3)
+    last = store.history("orders").filter("version >= 3").agg(
+        F.max("version").alias("version"), F.max_by(F.size(F.filter("writes", lambda w: w["delta"])), "version").cast("long").alias("deltas"),
+        (F.max_by("file_count", "version") < F.min_by("file_count", "version")).alias("fewer_files"))
+    total = store.read("orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return total.select("*", one_row(last).alias("last")).select("o_orderstatus", "n", "total", "last.*")
+
+
 @query(
     "late_lookback",
     """WITH late AS (SELECT event_id, ts, user_id, value + 1 AS value FROM events
@@ -210,10 +233,14 @@ def schema_enforce(spark, d):
     return batch.enforce_schema(table(spark, d, "customer"), expected)
 
 
-@query("table_metadata", "SELECT count(*) AS row_count, true AS has_files, true AS has_bytes FROM lineitem")
+@query("table_metadata", "SELECT count(*) AS row_count, 5::BIGINT AS file_count, true AS bytes_agree FROM lineitem")
 def table_metadata(spark, d):
-    meta = batch.table_metadata(table(spark, d, "lineitem"), rows=True)
-    return meta.select("row_count", (F.col("file_count") > 0).alias("has_files"), (F.col("size_bytes") > F.col("file_count")).alias("has_bytes"))
+    """Of the line items written as five files; the bytes are those that a listing of the files gives."""
+    path = scratch(spark, "metadata")
+    table(spark, d, "lineitem").repartition(5).write.parquet(path)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length"))
+    meta = batch.table_metadata(spark.read.parquet(path), rows=True)
+    return meta.select("row_count", "file_count", (F.col("size_bytes") == listed.scalar()).alias("bytes_agree"))
 
 
 @query("load_audit", "SELECT 'append' AS operation, count(*) AS record_count FROM events")

@@ -5,8 +5,10 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import plan, rows
+from conftest import count_jobs, plan, rows
 from pyspark.errors import PySparkException
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,8 +219,24 @@ def test_label_encoding(spark):
 
 def test_index_encoding_matches_ml(spark):
     df = one(spark, ["b", "a", "b", "c", "a", None], "string", "color").repartition(3)
-    want = encoding.fit_indexer(df, "color").transform(df)
-    assert rows(encoding.encode_index(df, "color")) == rows(want)
+    indexer = StringIndexer(inputCol="color", outputCol="color_indexed", handleInvalid="keep")
+    assert rows(encoding.encode_index(df, "color")) == rows(indexer.fit(df).transform(df))
+    encoder = OneHotEncoder(inputCol="color_indexed", outputCol="color_encoded")
+    want = Pipeline(stages=[indexer, encoder]).fit(df)
+    out, fitted = encoding.encode_categorical(df, "color", "onehot")
+    assert rows(out) == rows(want.transform(df))
+    new = one(spark, ["c", "new", None], "string", "color")
+    assert rows(fitted.transform(new)) == rows(want.transform(new))
+    no_null = df.filter("color IS NOT NULL")
+    assert rows(encoding.encode_categorical(no_null, "color", "onehot")[0]) == rows(
+        Pipeline(stages=[indexer, encoder]).fit(no_null).transform(no_null))
+
+
+def test_modes_in_one_round(spark):
+    data = [(1, 2.5, "b", None, True), (1, 2.5, "a", None, False), (2, float("nan"), "a", None, False), (None, 1.5, "b", None, None), (2, 1.5, None, None, None)]
+    df = spark.createDataFrame(data, "i int, x double, s string, n long, b boolean")
+    assert clean.modes(df, df.columns) == {"i": 1, "x": 1.5, "s": "a", "n": 0, "b": False}
+    assert clean.modes(df, []) == {} and count_jobs(spark, lambda: clean.modes(df, df.columns)) <= 3
 
 
 def test_onehot_columns(spark):

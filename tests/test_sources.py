@@ -51,6 +51,8 @@ def test_metadata_and_audit(spark, base):
     assert batch.write_audited(df, f"{base}/t", f"{base}/audit") == 30
     meta = batch.table_metadata(spark.read.parquet(f"{base}/t"), rows=True).first()
     assert meta["file_count"] == 6 and meta["row_count"] == 60 and meta["size_bytes"] > 0
+    with pytest.raises(Exception, match="_metadata"):
+        batch.table_metadata(df)
     assert [r["record_count"] for r in spark.read.parquet(f"{base}/audit").collect()] == [30, 30]
     assert batch.column_types(df) == {"id": "bigint"}
 
