@@ -3,14 +3,15 @@
 Hosts are linked by the absolute and protocol-relative references in their pages; links within a host do not count, and
 a host without links to (from) others passes its trust (distrust) to itself. Trust starts at hosts in proportion to the
 share of their pages that a rule allows and follows the links; distrust starts in proportion to the share that a rule
-blocks and runs against them. Both are personalised PageRank, left unscaled, so that 1 is the score of a
+blocks and runs against them. They are personalised PageRank, left unscaled, so that 1 is the score of a
 host all of whose pages are seeds and which links only to itself.
 
-Distrust is a mass that all hosts with links to a blocked one divide among themselves, so it orders hosts but says little
-of any single one. Verdicts go by blame instead: the share of a host's own pages that a rule blocks or, if that is more,
-``damping`` times the mean blame of the hosts it links to, weighted by its links. Blame is between 0 and 1 and does not
-depend on how many others link to the same host. A host is blocked if its blame is at least ``least_blame`` and above
-its trust. All three are iterated until no score changes by more than the tolerance.
+Distrust is a mass that all hosts with links to a blocked one divide among themselves, so alone it orders hosts but says
+little of any single one. Regard runs against the links in the same way from the hosts that rules allow. The verdict goes
+by the share of what a host received that came from blocked hosts, distrust / (distrust + regard): it is between 0 and 1,
+linear in the seeds, and however many others link to the same blocked host, a host that reaches blocked seeds only has
+the share 1, at any distance. A host is blocked if its share is at least ``least_share`` and above its trust. All three
+scores are iterated until none changes by more than the tolerance.
 
 NULL urls and urls without ``://`` have an empty host and path; no rule fits them and they are allowed, as they are of
 no host. NULL pages hold no links. NULL ids and repeated rows are judged as any other. Other columns are ignored.
@@ -32,8 +33,8 @@ RULES = (
 )
 LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/"'?#\s>\\]+)"""
 #: Changes shrink by DAMPING in a round, so the tolerance is reached long before ROUNDS, for any number of hosts.
-DAMPING, ROUNDS, TOLERANCE, LEAST_BLAME = 0.85, 250, 1e-6, 0.5
-KINDS = ("trust", "distrust", "blame")
+DAMPING, ROUNDS, TOLERANCE, LEAST_SHARE = 0.85, 250, 1e-6, 0.5
+KINDS = ("trust", "distrust", "regard")
 #: Links of a host beyond this number are dealt out over several keys.
 SPREAD = 100_000
 
@@ -69,33 +70,28 @@ def links(pages: DataFrame, url: str, html: str) -> DataFrame:
 
 
 def flows(edges: DataFrame, hosts: DataFrame) -> DataFrame:
-    """(kind, giver, taker, share, part): the share of its score that a host gives to another, shares of a giver summing to
-    1; for blame those of a taker do, as it has the mean of the hosts it links to.
+    """(kind, giver, taker, share, part): the share of its score that a host gives to another; those of a giver sum to 1.
 
     ``part`` deals the links of a host with very many out over several join keys.
     """
-    out = edges.groupBy("src").agg(F.sum("n").alias("out"))
-    along = lambda kind, giver, taker, n: F.struct(
-        F.lit(kind).alias("kind"), F.col(giver).alias("giver"), F.col(taker).alias("taker"), n.cast("double").alias("n"))
-    n = F.col("n")
-    every = edges.join(out, "src").select(F.inline(F.array(
-        along("trust", "src", "dst", n), along("distrust", "dst", "src", n), along("blame", "dst", "src", n / F.col("out")))))
+    along = lambda kind, giver, taker: F.struct(
+        F.lit(kind).alias("kind"), F.col(giver).alias("giver"), F.col(taker).alias("taker"), F.col("n").cast("double").alias("n"))
+    every = edges.select(F.inline(F.array(along("trust", "src", "dst"), along("distrust", "dst", "src"), along("regard", "dst", "src"))))
     sums = every.groupBy("kind", "giver").agg(F.sum("n").alias("given"), F.ceil(F.count(F.lit(1)) / SPREAD).cast("int").alias("parts"))
-    share = F.when(F.col("kind") == "blame", n).otherwise(n / F.col("given"))
     return every.join(sums, ["kind", "giver"]).select(
-        "kind", "giver", "taker", share.alias("share"), "parts",
+        "kind", "giver", "taker", (F.col("n") / F.col("given")).alias("share"), "parts",
         F.pmod(F.xxhash64("taker"), F.col("parts")).cast("int").alias("part"))
 
 
 def host_scores(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING,
                 tolerance: float = TOLERANCE) -> DataFrame:
-    """(host, trust, distrust, blame) of every host that has pages; hosts that are only linked to take part but are not returned."""
+    """(host, trust, distrust, regard) of every host that has pages; hosts that are only linked to take part but are not returned."""
     share = lambda kind: F.avg(F.when(F.col("ruled") == kind, 1.0).otherwise(0.0))
     seeds = ruled.filter("host != ''").groupBy("host").agg(share("allow").alias("trust"), share("block").alias("distrust"))
     edges = stage(edges, "host-links")
     linked = edges.select(F.explode(F.array("src", "dst")).alias("host")).distinct()
     seeds = seeds.join(linked, "host", "full").na.fill(0.0)
-    seeds = seeds.withColumn("blame", F.col("distrust"))
+    seeds = seeds.withColumn("regard", F.col("trust"))
     kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("seed")) for k in KINDS))).alias("k")
     seeds = seeds.select("host", kinds).select("host", "k.kind", "k.seed")
     flow = stage(flows(edges, seeds), "host-flows")
@@ -108,8 +104,7 @@ def host_scores(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, dampin
             F.sum(F.col("share") * F.col("score")).alias("got"))
         kept = F.when(F.col("parts").isNull(), F.col("score")).otherwise(0.0)  # no links: to itself
         got_any = F.coalesce("got", F.lit(0.0))
-        new = F.when(F.col("kind") == "blame", F.greatest("seed", damping * got_any)).otherwise(
-            (1 - damping) * F.col("seed") + damping * (got_any + kept))
+        new = (1 - damping) * F.col("seed") + damping * (got_any + kept)
         after = state.join(got, ["kind", "host"], "left").select(
             "kind", "host", "seed", "parts", new.alias("score"), F.abs(new - F.col("score")).alias("change"))
         after = stage(after, "host-scores")
@@ -121,13 +116,14 @@ def host_scores(ruled: DataFrame, edges: DataFrame, rounds: int = ROUNDS, dampin
 
 
 def judge(pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html",
-          rules: Sequence[tuple[str, str, str]] = RULES, least_blame: float = LEAST_BLAME, rounds: int = ROUNDS) -> DataFrame:
-    """Every page with host, path, rule, verdict, and its host's trust, distrust and blame.
+          rules: Sequence[tuple[str, str, str]] = RULES, least_share: float = LEAST_SHARE, rounds: int = ROUNDS) -> DataFrame:
+    """Every page with host, path, rule, verdict, and its host's trust, distrust, regard and share.
 
     The rules are a configured list and are compiled into one expression.
     """
     ruled = judged_by_rules(pages, id, url, rules)
     scores = host_scores(ruled, links(pages, url, html), rounds)
-    blocked = (F.col("blame") >= least_blame) & (F.col("blame") > F.col("trust"))
+    scores = scores.withColumn("share", F.coalesce(F.try_divide("distrust", F.col("distrust") + F.col("regard")), F.lit(0.0)))
+    blocked = (F.col("share") >= least_share) & (F.col("share") > F.col("trust"))
     verdict = F.coalesce("ruled", F.when(blocked, "block").otherwise("allow"))
-    return ruled.join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), *KINDS)
+    return ruled.join(scores, "host", "left").select("page_id", "host", "path", "rule", verdict.alias("verdict"), *KINDS, "share")
