@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.skew import attach, hot_of
 from .common import ascii_lower, stage, whole_text
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -42,19 +43,21 @@ def keyed_lines(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
 
 
 def keepers(lines: DataFrame) -> DataFrame:
-    """Keys in two documents or more, with the largest of them."""
+    """Keys in two documents or more, with the largest of them and the number of their lines."""
     found = lines.groupBy(*KEY).agg(
-        F.min("doc").alias("first"), F.max("doc").alias("keeper"), F.bool_or(F.col("doc").isNull()).alias("none"))
+        F.min("doc").alias("first"), F.max("doc").alias("keeper"), F.bool_or(F.col("doc").isNull()).alias("none"), F.count(F.lit(1)).alias("n"))
     return found.filter(F.col("keeper").isNotNull() & (F.col("none") | (F.col("first") < F.col("keeper")))).drop("first", "none")
 
 
 def dropped_lines(lines: DataFrame, documents: int) -> DataFrame:
-    """(doc, h, at) of the lines that go."""
-    shared = lines.join(keepers(lines), KEY)
+    """(doc, h, at) of the lines that go; lines of keys with very many are dealt over as many tasks as they need."""
+    found = stage(keepers(lines), "line-keepers")
+    hot = hot_of(found, KEY, "n")
+    shared = attach(lines, found.drop("n"), KEY, hot, "inner", null_safe=False)
     shared = stage(shared.filter(F.col("doc").isNull() | (F.col("doc") < F.col("keeper"))).drop("keeper"), "shared-lines")
     others = shared.select(*KEY, "doc").distinct().groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
     many = others.filter(F.col("n") >= documents - 1).select(*KEY)  # the keeper is not among the others
-    return shared.join(many, KEY, "left_semi").select("doc", "h", "at")
+    return attach(shared, many, KEY, hot, "inner", null_safe=False).select("doc", "h", "at")
 
 
 def between(lines: Column, gone: Column) -> Column:

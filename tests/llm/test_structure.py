@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from featurelake.functions import ranges
+from featurelake.functions import ranges, skew
 from featurelake.llm import lines, merkle, turns
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -174,8 +174,9 @@ def test_manifest_of_nothing_and_one(spark):
 # --- lines
 
 
-@pytest.mark.parametrize("documents", [2, 3, 5])
-def test_lines(spark, documents):
+@pytest.mark.parametrize(("documents", "hot"), [(2, 2_000_000), (3, 2_000_000), (3, 4), (5, 4)])
+def test_lines(spark, monkeypatch, documents, hot):
+    monkeypatch.setattr(lines, "hot_of", lambda counts, keys, n: skew.hot_of(counts, keys, n, hot))
     rng = random.Random(13)
     pool = ["  A line that is Shared\t", "a line that is shared", "short", "", " ", "\x0bÉ line of twenty points", "another line which is long enough", "x" * 19, "y" * 20]
     rows = [(i, "\n".join(rng.choice([*pool, f"a line of its own, number {i}"]) for _ in range(rng.randint(0, 7)))) for i in range(40)]
