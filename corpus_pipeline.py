@@ -35,7 +35,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
-    return packing.pack(packing.cut(docs))
+    return packing.pack(packing.cut(docs, keep=False))
 
 
 STAGES = [

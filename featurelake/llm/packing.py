@@ -154,13 +154,17 @@ class Tokens:
 
 @cache
 def tokens_of(path: str) -> Tokens:
-    """One per Python worker, kept while its task runs."""
+    """One per Python worker."""
     return Tokens(path)
 
 
 def cut(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str | None = None, capacity: int = CAPACITY,
-        ids: bool = False) -> DataFrame:
-    """Pieces of all documents: doc_id, piece, start, length, ids_crc32, and with ``ids`` the token ids themselves."""
+        ids: bool = False, keep: bool = True) -> DataFrame:
+    """Pieces of all documents: doc_id, piece, start, length, ids_crc32, and with ``ids`` the token ids themselves.
+
+    With ``keep`` a worker remembers the words it has tokenized for its next task; without, it gives the memory back, for
+    jobs whose other stages need it.
+    """
     path = tokenizer or default_tokenizer()
     fields = list(PIECE) + ([pa.field("ids", pa.list_(pa.int32()))] if ids else [])
 
@@ -177,7 +181,7 @@ def cut(docs: DataFrame, id: str = "doc_id", text: str = "text", tokenizer: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], names=[f.name for f in fields])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * ids
-    return docs.select(F.col(id).cast("long"), F.col(text).cast("binary")).mapInArrow(released(run, tokens_of), schema)
+    return docs.select(F.col(id).cast("long"), F.col(text).cast("binary")).mapInArrow(released(run) if keep else released(run, tokens_of), schema)
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> list[list[int]]:
