@@ -33,6 +33,8 @@ SKIPPABLE = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
+#: Characters of a page that its sample record gives at most.
+SAMPLE_TEXT = 1 << 16
 #: Pages of one payload that a task takes at most.
 HOT_PAGES = 50_000
 MANIFEST = "path string, records long, bytes long"
@@ -70,7 +72,9 @@ def record(page_id, url, payload: bytes, refers_to, revisit: bool) -> bytes:
 def train(pages: DataFrame, id: str, url: str, payload: str, sample: int, size: int) -> bytes:
     """A dictionary from the ``sample`` records that come first by hash; trained in one task, ``size`` bytes at most.
 
-    Too few or too uniform records give no dictionary; the frame is then empty.
+    A bound on the hash leaves about four times that many records to choose from, however many partitions there are, and
+    a record gives its first ``SAMPLE_TEXT`` characters, so what reaches the task does not grow with the table. Too few
+    or too uniform records give no dictionary; the frame is then empty.
     """
 
     def run(batches):
@@ -86,7 +90,10 @@ def train(pages: DataFrame, id: str, url: str, payload: str, sample: int, size:
             made = b""
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([made], pa.binary())})
 
-    first = pages.select(id, url, payload).orderBy(F.xxhash64(id, payload)).limit(sample)
+    name = F.xxhash64(id, payload)
+    share = min(1.0, 4 * sample / max(1, pages.count()))
+    few = pages.filter(F.shiftrightunsigned(name, 1) <= F.lit(int(share * ((1 << 63) - 1))))
+    first = few.select(id, url, F.substring(payload, 1, SAMPLE_TEXT).alias(payload)).orderBy(F.xxhash64(id, payload)).limit(sample)
     made = first.coalesce(1).mapInArrow(run, "dictionary binary").first()
     return bytes(made[0]) if made else b""
 
