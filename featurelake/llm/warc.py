@@ -91,8 +91,8 @@ def train(pages: DataFrame, id: str, url: str, payload: str, sample: int, size:
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([made], pa.binary())})
 
     name = F.xxhash64(id, payload)
-    share = min(1.0, 4 * sample / max(1, pages.count()))
-    few = pages.filter(F.shiftrightunsigned(name, 1) <= F.lit(int(share * ((1 << 63) - 1))))
+    rows, most = max(1, pages.count()), (1 << 63) - 1
+    few = pages.filter(F.shiftrightunsigned(name, 1) <= F.lit(most * min(rows, 4 * sample) // rows))
     first = few.select(id, url, F.substring(payload, 1, SAMPLE_TEXT).alias(payload)).orderBy(F.xxhash64(id, payload)).limit(sample)
     made = first.coalesce(1).mapInArrow(run, "dictionary binary").first()
     return bytes(made[0]) if made else b""
