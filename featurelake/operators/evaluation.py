@@ -118,9 +118,7 @@ def classification_metrics(
     cells = df.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n"), F.sum(_losses(df, label, probability)).alias("loss"))
     out = metrics_of(cells, label, prediction)
     if probability is not None and probability in df.columns:
-        # the labels are looked at in the very grouping that the areas are made from
-        counts = written(score_counts(df.select(F.col(label).alias("y"), _score(df, probability).alias("s"))), "scores")
-        out = _with_areas(out, counts)
+        out = _with_areas(out, df.select(F.col(label).alias("y"), _score(df, probability).alias("s")))
     else:
         out = out.drop("logLoss")
     return out.select(*[F.round(c, digits).alias(c) for c in out.columns])
@@ -140,36 +138,39 @@ def metrics_of(cells: DataFrame, label: str, prediction: str) -> DataFrame:
     return out.withColumn("logLoss", loss.scalar())
 
 
-def _with_areas(out: DataFrame, counts: DataFrame) -> DataFrame:
+def _with_areas(out: DataFrame, rows: DataFrame) -> DataFrame:
+    """The areas added, if there are two classes; the labels are looked at in the very grouping that the areas are made from."""
+    counts = ranged_scores(rows)
     if counts.filter("other > 0").isEmpty():
         areas = areas_of(counts)
         out = out.select("*", one_row(areas).alias("__auc")).select("*", "__auc.*").drop("__auc")
     return out
 
 
-def score_counts(rows: DataFrame) -> DataFrame:
-    """Per distinct score, highest first by ``__at``: rows, positives, and rows of other labels than 0 and 1; from (y, s)."""
+def ranged_scores(rows: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Per distinct score: rows, positives, and rows of other labels than 0 and 1; from (y, s), dealt in ranges from the
+    highest score down and written."""
     y = F.col("y").cast("double")
-    return rows.groupBy((-F.col("s").cast("double")).alias("__at")).agg(
+    counts = rows.groupBy((-F.col("s").cast("double")).alias("__at")).agg(
         F.sum(F.when(y == 1.0, 1).otherwise(0)).alias("pos"), F.count(F.lit(1)).alias("n"),
         F.sum(F.when(y.isin(0.0, 1.0), 0).otherwise(F.when(y.isNotNull(), 1).otherwise(0))).alias("other"))
+    return laid_out(counts, ["__at"], "__place", partitions).withColumn("__part", part_of("__place"))
 
 
 def binary_auc(
     df: DataFrame, label: str = "label", score: str = "score", digits: int | None = 6, partitions: int | None = None
 ) -> DataFrame:
     """Exact areas under the ROC and precision-recall curves, every distinct score a threshold."""
-    out = areas_of(score_counts(df.select(F.col(label).alias("y"), F.col(score).alias("s"))), partitions)
+    out = areas_of(ranged_scores(df.select(F.col(label).alias("y"), F.col(score).alias("s")), partitions))
     return out if digits is None else out.select(*[F.round(c, digits).alias(c) for c in out.columns])
 
 
-def areas_of(counts: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The areas from counted scores.
+def areas_of(laid: DataFrame) -> DataFrame:
+    """The areas from scores counted and dealt in ranges.
 
-    Scores are dealt in ranges, from the highest down. What stands above a score is the sum of all earlier ranges, from
+    What stands above a score is the sum of all earlier ranges, from
     a table of one row per range, and of the rows before it in its own, so no task sees more than its range.
     """
-    laid = laid_out(counts.select("__at", "pos", "n"), ["__at"], "__place", partitions).withColumn("__part", part_of("__place"))
     sums = laid.groupBy("__part").agg(F.sum("pos").alias("pos"), F.sum("n").alias("n"))
     parts = Window.partitionBy(F.lit(0))  # one row per range
     earlier = parts.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -329,7 +330,7 @@ def evaluate(
         all_rows = cells.filter("stratum IS NULL").drop("stratum")
         metrics = metrics_of(all_rows, "y", "p")
         if has_p:
-            metrics = _with_areas(metrics, written(score_counts(rows.select("y", "s")), "scores"))
+            metrics = _with_areas(metrics, rows.select("y", "s"))
         else:
             metrics = metrics.drop("logLoss")
         out = {
