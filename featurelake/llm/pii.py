@@ -5,8 +5,10 @@ and mapped by a keyed Feistel permutation of that domain; the result is written
 cases and length. Equal values therefore get equal pseudonyms in every document and run of the same key, different
 values never share one, and check digits are computed again so that pseudonyms are valid themselves.
 
-Kinds: payment cards (13 to 19 digits, Luhn), IBAN (mod 97), international phone numbers, IPv4 addresses, social
+Kinds: payment cards (13 to 19 digits, Luhn), IBAN (mod 97; in lower case of known countries only), international phone
+numbers (after +, or after 00 if the country's code stands apart and no digits go before), IPv4 addresses, social
 security numbers, dates (ISO, and day or month first with a four-digit year), and the local part of e-mail addresses.
+An IBAN in lower case is linked with the one in capitals, and a number after 00 with the one after +.
 
 A shape may run on into the next number or word. Cards and IBANs end where they are valid: cards at an edge of their
 digit groups, a run without separators first, then one kind of separator, then mixed ones, longest first each; IBANs at
@@ -34,14 +36,24 @@ KINDS = ("email", "iban", "date", "ipv4", "ssn", "phone", "card")
 
 # The shapes of the kinds. Each is validated before it is replaced.
 EMAIL = r"(?P<email>(?<![\w.+%-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-IBAN = r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
+IBAN = (
+    r"(?P<iban>(?<![A-Za-z0-9])(?:[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|"
+    r"[a-z]{2}\d{2}(?: ?[a-z0-9]{4}){2,7}(?: ?[a-z0-9]{1,3})?)(?![A-Za-z0-9]))"
+)
 DATE = (
     r"(?P<date>(?<![\d./-])(?:\d{4}(?P<iso>[./-])\d{1,2}(?P=iso)\d{1,2}|"
     r"\d{1,2}(?P<day>[./-])\d{1,2}(?P=day)\d{4})(?![\d/-])(?!\.\d))"
 )
 IPV4 = r"(?P<ipv4>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d])(?!\.\d))"
 SSN = r"(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
-PHONE = r"(?P<phone>(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d))"
+#: Country codes of two digits; +1 and +7 have one, all others three.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+CODE = rf"(?:[17]|{'|'.join(sorted(TWO_DIGIT_CODES))}|(?!{'|'.join(sorted(TWO_DIGIT_CODES))})[2-9]\d\d)"
+PHONE = (
+    rf"(?P<phone>(?:(?<![\d+])\+\d{{1,3}}[ .-]?|(?<![\w+.,/-])(?<!\d[ ])00{CODE}[ .-])"
+    r"(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d))"
+)
 CARD = r"(?P<card>(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-]))"
 SHAPES = re.compile("|".join((EMAIL, IBAN, DATE, IPV4, SSN, PHONE, CARD)), re.ASCII)
 
@@ -52,9 +64,6 @@ IBAN_LENGTHS = {
         "23:AE GI IL IQ OM SO TL;24:AD CZ ES MD PK RO SA SE SK TN VG;25:LY PT ST;26:IS TR;27:BI DJ FR GR IT MC MR SM;"
         "28:AL AZ BY CY DO GT HU LB NI PL SV;29:BR EG PS QA UA;30:JO KW MU;31:MT SC;32:LC;33:RU").split(";"))
     for c in names.split()}
-#: Country codes of two digits; +1 and +7 have one, all others three.
-TWO_DIGIT_CODES = frozenset(
-    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 #: Digits of the phone numbers of a country, its code among them.
 PHONE_LENGTHS = {"1": 11, "7": 11}
 #: A phone number of unknown length has at least so many digits before it can end within its shape.
@@ -71,9 +80,9 @@ def card_ends(text: str) -> list[int]:
 
 
 def iban_ends(text: str) -> list[int]:
-    known = IBAN_LENGTHS.get(text[:2])
+    known = IBAN_LENGTHS.get(text[:2].upper())
     if known is None:
-        return edges(text)
+        return edges(text) if text[:2].isupper() else []
     return [*(e for e in edges(text)[1:] if len(text[:e].replace(" ", "")) == known), len(text)]
 
 
@@ -81,16 +90,21 @@ def phone_ends(text: str) -> list[int]:
     """The end of the number, then of the whole match."""
     fixed, found = PHONE_LENGTHS.get(phone_code(text)), []
     for e in reversed(edges(text)[1:]):
-        digits = sum(map(str.isdigit, text[:e]))
-        *_, sign, run = re.split(r"(\D)", text[:e])
+        digits = len(phone_digits(text[:e]))
+        *_, sign, run = ["", *re.split(r"(\D)", text[:e])]
         if digits == fixed if fixed else text[e] == " " and digits >= LEAST_PHONE and (len(run) > 4 or sign in ".-+"):
             found.append(e)
     return [*found, len(text)]
 
 
+def phone_digits(text: str) -> str:
+    """The digits from the country code on."""
+    return re.sub(r"\D", "", text.removeprefix("00"))
+
+
 def phone_code(text: str) -> str:
     """The country code, by the digits alone: it does not depend on how a number is parted."""
-    digits = re.sub(r"\D", "", text)
+    digits = phone_digits(text)
     return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
 
 
@@ -171,20 +185,21 @@ class Pseudonyms:
         return refill(text, body + luhn_digit(body))
 
     def iban(self, text: str) -> str | None:
-        plain = text.replace(" ", "")
+        plain = text.replace(" ", "").upper()
         country, check, account = plain[:2], plain[2:4], plain[4:]
         if (iban_rest(country, account) + int(check)) % 97 != 1:
             return None
         account = self.characters(account, f"iban|{country}")
         left = iter(f"{country}{98 - iban_rest(country, account) % 97:02d}{account}")
-        return "".join(c if c == " " else next(left) for c in text)
+        made = "".join(c if c == " " else next(left) for c in text)
+        return made.lower() if text[:2].islower() else made
 
     def phone(self, text: str) -> str | None:
-        digits = re.sub(r"\D", "", text)
+        digits = phone_digits(text)
         if not 8 <= len(digits) <= 15:
             return None
         code = phone_code(text)
-        return refill(text, code + self.digits(digits[len(code):], f"phone|{code}"))
+        return refill(text, "00" * text.startswith("00") + code + self.digits(digits[len(code):], f"phone|{code}"))
 
     def ipv4(self, text: str) -> str | None:
         parts = [int(p) for p in text.split(".")]
@@ -233,6 +248,7 @@ class Pseudonyms:
         out, spans, at, pos = [], [], 0, 0
         while m := SHAPES.search(text, pos):
             kind = m.lastgroup if m.lastgroup in KINDS else next(k for k in KINDS if m.group(k))
+            new = None
             for length in ENDS.get(kind, lambda t: [len(t)])(m.group()):
                 new = self.of(kind, m.group()[:length])
                 if new is not None:

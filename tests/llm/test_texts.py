@@ -181,7 +181,8 @@ def test_pii(spark, nothing):
     assert names.card("4111111111111111").replace(" ", "") == names.card("4111 1111 1111 1111").replace(" ", "")
     assert sorted(names.permute(i, 1000, "t") for i in range(1000)) == list(range(1000))
     assert pii.Pseudonyms(b"other").replaced(text)[0] != new
-    for odd in ("999.1.1.1", "4111111111111112", "2001-02-30", "DE00 3704 0044 0532 0130 00", "12345", ""):
+    for odd in ("999.1.1.1", "4111111111111112", "2001-02-30", "DE00 3704 0044 0532 0130 00", "12345", "",
+                "de00 3704 0044 0532 0130 00", "in12 that have been 12", "00442079460958", "1.0044 20 7946", "0012 345 678", "0021 2345 678"):
         assert names.replaced(odd) == (odd, [])
     docs = spark.createDataFrame([(1, text, 5), (1, text, 6), (None, "", 7), (2, None, 8), (3, "9" * 100_000, 9)], "doc_id long, text string, pii_spans int")
     got = pii.pseudonymize(docs, b"key").collect()
@@ -194,6 +195,8 @@ def test_pii(spark, nothing):
     ("card", "4111-1111-1111-1111", " 123"), ("card", "4111-1111-1111-1111", "-123"), ("card", "4111-1111 1111-1111", ""),
     ("iban", "AT611904300234573201", " EUR"), ("iban", "ES91 2100 0418 4502 0005 1332", " BIC"), ("iban", "DE89 3704 0044 0532 0130 00", " EUR 25"),
     ("phone", "+1 (017) 555-7713", " 24"), ("phone", "+1 017 555 7713", " 24"), ("phone", "+10175557713", " 24"), ("phone", "+44 (020) 7946-0958", " 24"),
+    ("iban", "de89 3704 0044 0532 0130 00", " eur"), ("iban", "at611904300234573201", " and"), ("phone", "0044 20 7946 0958", " of"),
+    ("phone", "001 212 555 0123", " 24"), ("phone", "00351-912-345-678", " 24"),
     ("phone", "+491701234567", " 24"), ("phone", "+49 30-1234 5678", ""), ("phone", "+49 30 1234 5678", " of"),
 ])
 def test_pii_followed_by_numbers_and_words(kind, value, after):
@@ -212,6 +215,8 @@ def test_pii_links_equal_values():
                          ("351", ["+351912345678", "+351 912 345 678"])):
         found = {re.sub(r"\D", "", names.phone(s)) for s in styles}
         assert len(found) == 1 and found.pop().startswith(code)
+    assert names.phone("0044 20 7946 0958") == "00" + names.phone("+44 20 7946 0958")[1:]
+    assert names.iban("de89 3704 0044 0532 0130 00") == names.iban("DE89 3704 0044 0532 0130 00").lower()
     assert names.email("Alice.B@x.com").lower() == names.email("alice.b@X.com").lower()
     assert [c.isupper() for c in names.email("Alice.B@x.com")] == [c.isupper() for c in "Alice.B@x.com"]
 
