@@ -2,9 +2,11 @@ import random
 
 import pytest
 from conftest import plan, rows
+from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.linalg import Vectors
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from featurelake.functions.encoding import assemble_features
@@ -142,6 +144,50 @@ def test_same_seed_same_metrics(ml):
     assert a == b
 
 
+def counted(spark, ml):
+    """The frame behind a function that counts the rows it makes."""
+    made = spark.sparkContext.accumulator(0)
+
+    def same(i):
+        made.add(1)
+        return i
+
+    return ml.withColumn("id", F.udf(same, "int")("id")), made
+
+
+def test_linear_search_equals_that_over_rows(spark, ml):
+    frame, made = counted(spark, ml.withColumn("label", F.col("f1") * 2 + F.col("f2") * F.col("f3") + 1000))
+    grid = {"regParam": [0.0, 0.1, 2.0], "elasticNetParam": [0.0, 0.5, 1.0]}
+    est = training.make_estimator("linear_regression", "regression", "features", "label")
+    got = training.cross_validate(frame, est, "regression", "label", grid, row_key="id")
+    assert made.value == 300  # not once and more per fold
+    rows_ = training.laid(frame, ["features", "label"], "id")
+    want = CrossValidator(estimator=Pipeline(stages=[est]), estimatorParamMaps=training.make_grid(est, grid), numFolds=5,
+                          evaluator=RegressionEvaluator(), foldCol=training.FOLD).fit(rows_)
+    assert got.avgMetrics == pytest.approx(want.avgMetrics, rel=1e-9) and got.stdMetrics == pytest.approx(want.stdMetrics, rel=1e-6)
+    assert training.best_params(got.bestModel) == training.best_params(want.bestModel)
+    assert got.bestModel.stages[-1].coefficients.toArray() == pytest.approx(want.bestModel.stages[-1].coefficients.toArray(), rel=1e-9)
+    assert got.bestModel.stages[-1].summary.numInstances == 300
+
+
+def test_rows_are_searched_where_moments_do_not_do(ml):
+    folded = training.laid(ml, ["features", "label", "f1"], "id", folds=2)
+    assert training.fold_points(folded, "features", "label").groupBy().sum(training.WEIGHT).first()[0] == pytest.approx(300)
+    assert training.fold_points(folded.withColumn("label", F.lit(1.0)), "features", "label") is None
+    assert training.fold_points(folded.withColumn("label", F.when(F.col("f1") > 0, 1.0)), "features", "label") is None
+    lasso = training.make_estimator("linear_regression", "regression", "features", "label")
+    assert not training.by_moments(lasso, "regression", "mae", {}) and training.by_moments(lasso, "regression", None, {"regParam": [1.0]})
+    got = training.cross_validate(ml, lasso, "regression", "label", {"regParam": [0.0]}, folds=2, metric="mae", row_key="id")
+    assert 0 < got.avgMetrics[0] < 1
+
+
+def test_training_makes_rows_once(spark, ml):
+    frame, made = counted(spark, ml)
+    results = training.train(frame, ["random_forest", "logistic_regression"], grids={"random_forest": {"numTrees": [2]}}, folds=2, max_iter=2,
+                             validation_df=frame, row_key="id")
+    assert all(r.error is None and r.validation_metrics for r in results) and made.value <= 600
+
+
 def test_estimators():
     assert training.make_estimator("logistic_regression", "classification", "f", "y", max_iter=7).getMaxIter() == 7
     assert training.make_estimator("ridge", "regression", "f", "y").getElasticNetParam() == 0.0
