@@ -34,6 +34,7 @@ FUNCTIONS, SHARE = 250, 0.74
 #: Half the first window, in standard deviations of a projected distance of 1, how windows grow, and what they find.
 FIRST, GROWTH, MOST_ROUNDS, MARGIN = 1.0, 1.1, 12, 1.2
 SHARD_ROWS, FIRST_ROWS, QUERY_ROWS = 4096, 512, 4096
+TILE = 1024  # vectors whose collisions are counted at once
 INDEX = "shard long, norm double, ids binary, vectors binary, places binary"
 FOUND = "query_id long, query long, shard long, vec_id long, score double, verified long"
 
@@ -74,40 +75,69 @@ class Shard:
         self.arrays = np.empty_like(own)
         np.put_along_axis(self.arrays, self.places.astype(np.int64), own, axis=1)
 
-    def candidates(self, centre: np.ndarray, half: float) -> np.ndarray:
-        """Numbers of the vectors in enough of the windows around ``centre``."""
-        low = np.array([a.searchsorted(c) for a, c in zip(self.arrays, centre - half, strict=True)])
-        high = np.array([a.searchsorted(c, "right") for a, c in zip(self.arrays, centre + half, strict=True)])
-        inside = (self.places - low.astype(np.uint16)[:, None]) < (high - low).astype(np.uint16)[:, None]
-        counts = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
-        return np.flatnonzero(counts >= np.ceil(SHARE * FUNCTIONS))
-
-    def search(self, q: np.ndarray, centre: np.ndarray, own_id: int, k: int, bound: float) -> tuple[np.ndarray, np.ndarray, int]:
-        """(ids, scores) of the best found, and how many vectors were verified.
-
-        ``bound`` is a score of which ``k`` others are known already; -inf if there are not.
+        # in tiles of vectors, so that a query's comparisons stay in the processor's cache
+        self.tiles = [np.ascontiguousarray(self.places[:, i : i + TILE]) for i in range(0, len(self.ids), TILE)]
+        self.gaps = [np.empty_like(t) for t in self.tiles]
+        self.inside = [np.empty(t.shape, bool) for t in self.tiles]
+
+    def windows(self, centres: np.ndarray, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query (row) and function, the first place in its window and how many there are; one search per
+        function for all queries."""
+        low, size = (np.empty((len(centres), FUNCTIONS), np.uint16) for _ in range(2))
+        for f, places in enumerate(self.arrays):
+            low[:, f] = start = places.searchsorted(centres[:, f] - halves)
+            size[:, f] = places.searchsorted(centres[:, f] + halves, "right") - start
+        return low, size
+
+    def candidates(self, low: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of the vectors in enough of a query's windows."""
+        low, size, counts = low[:, None], size[:, None], []
+        for tile, gap, inside in zip(self.tiles, self.gaps, self.inside, strict=True):
+            np.less(np.subtract(tile, low, out=gap), size, out=inside)
+            counts.append(np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8))
+        return np.flatnonzero(np.concatenate(counts) >= np.ceil(SHARE * FUNCTIONS))
+
+    def search(self, q: np.ndarray, centres: np.ndarray, own: list[int], k: int, bounds: np.ndarray) -> list[tuple]:
+        """Per query (row): (ids, scores) of the best found, and how many vectors were verified.
+
+        ``bounds`` are scores of which ``k`` others are known already; -inf if there are not.
         """
-        reach = self.norm * float(np.linalg.norm(q))
-        if bound > reach:
-            return self.ids[:0], np.empty(0), 0
-        half = FIRST if bound == -np.inf else MARGIN * np.sqrt(max(0.0, 2 - 2 * bound / reach))
-        known, rows = np.zeros(len(self.ids), bool), np.empty(0, np.int64)
-        scores = np.empty(0)
+        reach = self.norm * np.array([np.linalg.norm(v) for v in q])
+        free, out = bounds == -np.inf, [(self.ids[:0], np.empty(0), 0)] * len(q)
+        near = np.where(free, 0.0, bounds) / reach
+        halves = np.where(free, FIRST, MARGIN * np.sqrt(np.maximum(0.0, 2 - 2 * near)))
+        known, rows, scores = {}, {}, {}
+        asked = np.flatnonzero(bounds <= reach)
         for _ in range(MOST_ROUNDS):
-            fresh = self.candidates(centre, half)
-            fresh = fresh[~known[fresh]]
-            known[fresh] = True
-            fresh = fresh[self.ids[fresh] != own_id]
-            rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, self.x[fresh] @ q])
-            sure = reach * (1 - (half / MARGIN) ** 2 / 2)
-            if bound > -np.inf or (scores >= sure).sum() >= k:
+            left = []
+            for i, low, size in zip(asked, *self.windows(centres[asked], halves[asked]), strict=True):
+                fresh = self.candidates(low, size)
+                if i in known:
+                    fresh = fresh[~known[i][fresh]]
+                if free[i]:
+                    known.setdefault(i, np.zeros(len(self.ids), bool))[fresh] = True
+                fresh = fresh[self.ids[fresh] != own[i]]
+                rows[i] = np.concatenate([rows[i], fresh]) if i in rows else fresh
+                found = self.x[fresh] @ q[i]
+                scores[i] = np.concatenate([scores[i], found]) if i in scores else found
+                sure = reach[i] * (1 - (halves[i] / MARGIN) ** 2 / 2)
+                if free[i] and (scores[i] >= sure).sum() < k:
+                    left.append(i)
+                else:
+                    out[i] = self.best(rows.pop(i), scores.pop(i), k)
+                    known.pop(i, None)
+            asked = np.array(left, np.int64)
+            halves[asked] *= GROWTH
+            if not left:
                 break
-            half *= GROWTH
-        else:  # windows never held enough: every vector is verified
-            rows = np.flatnonzero(self.ids != own_id)
-            scores = self.x[rows] @ q
-        best = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[best]], scores[best], len(rows)
+        for i in asked:  # windows never held enough: every vector is verified
+            every = np.flatnonzero(self.ids != own[i])
+            out[i] = self.best(every, self.x[every] @ q[i], k)
+        return out
+
+    def best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, int]:
+        order = np.lexsort((self.ids[rows], -scores))[:k]
+        return self.ids[rows[order]], scores[order], len(rows)
 
 
 def searched(k: int):
@@ -121,9 +151,9 @@ def searched(k: int):
         q = matrix(queries.column("v"))
         centres = projections(np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(len(q))])).T
         out = []
-        names = (queries.column(c).to_pylist() for c in ("vec_id", "query", "bound"))
-        for own_id, name, bound, vector, centre in zip(*names, q, centres, strict=True):
-            ids, scores, verified = shard.search(vector, centre, own_id, k, bound)
+        own, names = (queries.column(c).to_pylist() for c in ("vec_id", "query"))
+        found = shard.search(q, centres, own, k, queries.column("bound").to_numpy())
+        for own_id, name, (ids, scores, verified) in zip(own, names, found, strict=True):
             some = (np.full(len(ids), v) for v in (own_id, name, number))
             out.append((*some, ids, scores, np.full(len(ids), verified)))
         return pa.table({n: pa.array(np.concatenate(c), t) for (n, t), c in zip(kinds.items(), zip(*out, strict=True), strict=True)})

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +170,18 @@ def test_packing(spark):
         sizes = got.groupby("sequence_id").length.sum()
         assert sizes.max() <= 2048 and len(sizes) <= -(-got.length.sum() // 2048) * (1.02 if block > 20 else 1.15) + 1
     assert packing.pack(packing.cut(docs.filter("1 = 0"))).count() == 0
+
+
+def test_windows_of_all_queries_are_found_at_once():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 16))
+    rows = pa.table({"vec_id": np.arange(1500), "v": pa.array(list(x), pa.list_(pa.float64()))})
+    shard = collisions.Shard(collisions.indexed([pa.scalar(0)], rows).to_pylist()[0])
+    q = rng.standard_normal((6, 16))
+    centres = collisions.projections(np.column_stack([q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros(6)])).T
+    low, size = shard.windows(centres, np.full(6, 1.5))
+    points = collisions.projections(collisions.filled(x, shard.norm))
+    for i in range(6):
+        inside = np.abs(points - centres[i][:, None]) <= 1.5
+        assert (size[i] == inside.sum(axis=1)).all()
+        assert (shard.candidates(low[i], size[i]) == np.flatnonzero(inside.sum(axis=0) >= np.ceil(collisions.SHARE * collisions.FUNCTIONS))).all()
