@@ -237,7 +237,7 @@ def schema_enforce(spark, d):
 def table_metadata(spark, d):
     """Of the line items written as five files; the bytes are those that a listing of the files gives."""
     path = scratch(spark, "metadata")
-    table(spark, d, "lineitem").repartition(5).write.parquet(path)
+    batch.write_files(table(spark, d, "lineitem"), path, 5)
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).agg(F.sum("length"))
     meta = batch.table_metadata(spark.read.parquet(path), rows=True)
     return meta.select("row_count", "file_count", (F.col("size_bytes") == listed.scalar()).alias("bytes_agree"))

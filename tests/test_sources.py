@@ -57,6 +57,18 @@ def test_metadata_and_audit(spark, base):
     assert batch.column_types(df) == {"id": "bigint"}
 
 
+def test_files_of_a_given_number(spark, base):
+    df = spark.range(0, 1000, 1, 1).selectExpr("id", "cast(id % 7 AS string) AS s")
+    for name, frame in (("one", df), ("more", df.repartition(9))):
+        batch.write_files(frame, f"{base}/{name}", 5)
+        back = spark.read.parquet(f"{base}/{name}")
+        meta = batch.table_metadata(back, rows=True).first()
+        assert (meta["file_count"], meta["row_count"]) == (5, 1000) and rows(back) == rows(df)
+    batch.write_files(df.limit(0), f"{base}/none", 5)
+    assert spark.read.schema(df.schema).parquet(f"{base}/none").count() == 0
+    assert spark.conf.get(batch.UNION, "true") == "true"
+
+
 def test_jdbc_options():
     assert jdbc.jdbc_options("u", table="t")["dbtable"] == "t"
     assert jdbc.jdbc_options("u", query="select 1")["query"] == "select 1"
