@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Texts, slices
+from .words import BATCH, Texts, slices
 
 #: Text bytes for each bucket of the key space, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 1_000_000, 256
@@ -50,14 +50,14 @@ def unpacked(payload: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
-def low_bytes(keys: np.ndarray) -> np.ndarray:
-    """The lower five bytes of every key."""
-    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+def low_bytes(keys: np.ndarray, width: int = 5) -> np.ndarray:
+    """The lower five bytes of every key, or as many as ``width``."""
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width])
 
 
-def from_low_bytes(data: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(data) // 5, 8), np.uint8)
-    out[:, :5] = data.reshape(-1, 5)
+def from_low_bytes(data: np.ndarray, width: int = 5) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(-1, width)
     return out.view("<u8").reshape(-1)
 
 
@@ -67,29 +67,48 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
 
 
-def bucket_count(docs: DataFrame, text: str) -> int:
+def bucket_count(docs: DataFrame, text: str, bucket_bytes: int = BUCKET_BYTES, least: int = LEAST_BUCKETS) -> int:
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    return max(least, -(-size // bucket_bytes))
 
 
-def sent(docs: DataFrame, keys: Keys, buckets: int) -> DataFrame:
-    """Messages of all batches of ``docs`` (doc_id, text_hash, text)."""
+def sent(docs: DataFrame, keys: Keys, buckets: int, batch_bytes: int = 0, slice_bytes: int = BATCH) -> DataFrame:
+    """Messages of all batches of ``docs`` (doc_id, text_hash, text).
+
+    A batch is a slice of the text, or as many slices as have ``batch_bytes``, of which only the keys are held.
+    """
 
     def run(batches):
-        made = 0
+        made, held, size, docs = 0, [], 0, 0
+
+        def batch() -> pa.RecordBatch:
+            number = made | TaskContext.get().partitionId() << 32
+            return messages(batch_messages(*(np.concatenate(x) for x in zip(*held, strict=True)), number, buckets))
+
         for b in batches:
-            for at, column in slices(b.column(2)):
+            for at, column in slices(b.column(2), slice_bytes):
                 for first in range(0, len(column), MOST_DOCS):
-                    part = column.slice(first, MOST_DOCS)
-                    ids, hashes = (b.column(k).slice(at + first, len(part)) for k in (0, 1))
-                    owner, found, sizes = keys(Texts(part))
-                    yield messages(batch_messages(ids, hashes, owner, found, sizes, made | TaskContext.get().partitionId() << 32, buckets))
-                    made += 1
+                    texts = Texts(column.slice(first, MOST_DOCS))
+                    if held and (size >= batch_bytes or docs + len(texts.starts) > MOST_DOCS):
+                        yield batch()
+                        made, held, size, docs = made + 1, [], 0, 0
+                    ids, hashes = (b.column(k).slice(at + first, len(texts.starts)) for k in (0, 1))
+                    owner, found, sizes = keys(texts)
+                    known = ids.is_valid().to_numpy(zero_copy_only=False)
+                    held.append((ids.fill_null(0).to_numpy().copy(), known, hashes.to_numpy().copy(), owner + docs, found, sizes))
+                    size, docs = size + len(texts.bytes), docs + len(texts.starts)
+        if held:
+            yield batch()
 
     return docs.select("doc_id", "text_hash", "text").mapInArrow(run, MESSAGE)
 
 
-def batch_messages(ids, hashes, owner, found, sizes, batch: int, buckets: int) -> list[tuple]:
+def home(batch: int, buckets: int) -> int:
+    """The bucket that passes on what a batch keeps to itself; numbers have the task in their upper half."""
+    return ((batch >> 32) * 97 + (batch & 0xFFFFFFFF)) % buckets
+
+
+def batch_messages(ids, known, hashes, owner, found, sizes, batch: int, buckets: int) -> list[tuple]:
     to = ((found >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
     names = to << np.uint64(40) | found & LOW  # what tells keys apart from here on
     order = np.argsort(names, kind="stable")
@@ -99,9 +118,8 @@ def batch_messages(ids, hashes, owner, found, sizes, batch: int, buckets: int) -
     distinct = names[new]
     common = counts >= max(COMMON_LEAST, -(-len(sizes) // COMMON_SHARE))
     apart = np.repeat(common, counts)
-    known = ids.is_valid().to_numpy(zero_copy_only=False)
-    own = parts(ids.fill_null(0).to_numpy(), known, hashes.to_numpy(), sizes.astype(np.int32), distinct[common], counts[common].astype(np.int32), owner[apart])
-    rows = [(batch % buckets, batch, "docs", own)]
+    own = parts(ids, known, hashes, sizes.astype(np.int32), distinct[common], counts[common].astype(np.int32), owner[apart])
+    rows = [(home(batch, buckets), batch, "docs", own)]
     owner, shown = owner[~apart], np.where(common, 0, counts)
     ends = np.cumsum(shown)
     bucket = (distinct >> np.uint64(40)).astype(np.int64)
@@ -162,9 +180,9 @@ class Answers:
         self.totals = np.concatenate(totals) if totals else np.empty(0, np.int32)
 
 
-def shared_keys(docs: DataFrame, keys: Keys, finish: Callable[[Answers], pa.Table], schema: str) -> DataFrame:
-    """``finish`` of every batch of ``docs`` (doc_id long, text_hash long, text)."""
-    asked = sent(docs, keys, bucket_count(docs, "text"))
+def shared_keys(docs: DataFrame, keys: Keys, finish: Callable[[Answers], pa.Table], schema: str, buckets: int | None = None, **sizes: int) -> DataFrame:
+    """``finish`` of every batch of ``docs`` (doc_id long, text_hash long, text); ``sizes`` go to ``sent``."""
+    asked = sent(docs, keys, buckets or bucket_count(docs, "text"), **sizes)
     answers = asked.groupBy("bucket").applyInArrow(answered, MESSAGE)
 
     def finished(table: pa.Table) -> pa.Table:

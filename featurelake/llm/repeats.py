@@ -2,10 +2,10 @@
 
 Every 50-byte string is named by the least hash of its 24-byte substrings, so equal strings have equal names wherever
 they stand. Names that several documents have (``postings``) select the text that takes part; its strings of one name are
-runs, cut into pieces of at most 76 bytes, and the pieces of all documents meet in the bucket of their name. A bucket builds the
-transform of its different pieces with the common prefixes of their sorted suffixes (``bwt``); suffixes that share 50
-bytes are one string, and it is removed in every document but those of its least id. Buckets are bounded by bytes of text,
-and equal pieces enter the transform once, so a passage of a third of all documents is one piece there.
+runs, cut into pieces of at most 76 bytes, and the pieces of all documents meet in the bucket of their name. A bucket builds, for
+a share of the names at a time, the transform of its different pieces with the common prefixes of their sorted suffixes
+(``bwt``); suffixes that share 50 bytes are one string, and it is removed in every document but those of its least id. Buckets
+are bounded by bytes of text, and equal pieces enter the transform once, so a passage of a third of all documents is one piece there.
 
 Texts are UTF-8 bytes; NULL and empty texts have none and lose none. Strings never cross documents. Documents of one id
 do not count as earlier than each other; documents without an id lose nothing and take nothing from others. Repeated
@@ -22,12 +22,19 @@ from pyspark.sql import functions as F
 
 from .bwt import common_windows
 from .common import stage
-from .postings import LOW, MESSAGE, Answers, bucket_count, from_low_bytes, keyed, low_bytes, messages, parts, shared_keys, unpacked
+from .postings import LOW, MESSAGE, Answers, bucket_count, from_low_bytes, home, keyed, low_bytes, messages, parts, shared_keys, unpacked
 from .words import Texts, mix, powers, slices, substring_hashes
 
 WIDTH, SEED = 50, 24
 MOST_WINDOWS = WIDTH - SEED + 1
 NO_ID = -(1 << 63)  # stands for NULL
+#: Bytes of text whose hashes are made at once, of text or pieces of a batch, of text of a bucket, and of pieces of a transform.
+#: Every batch sends every bucket a message, so both are large; there are ``LEAST_BUCKETS`` of them at least, to be dealt evenly.
+SLICE_BYTES, BATCH_BYTES, BUCKET_BYTES, SHARE_BYTES = 1 << 18, 1 << 23, 1 << 23, 1 << 20
+LEAST_BUCKETS = 1024
+#: Bits of a name that select text, and bytes of it that go with a piece: names that agree in them only bring text that nothing
+#: else has to the transform, which tells it apart.
+PICK, NAME_BYTES = np.int64((1 << 32) - 1), 3
 
 
 def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -45,19 +52,24 @@ def runs(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         span *= 2
     if span < MOST_WINDOWS:
         least = np.minimum(least[: span - MOST_WINDOWS], least[MOST_WINDOWS - span :])
-    counts = np.maximum(texts.ends - texts.starts - WIDTH + 1, 0)
-    owner = np.repeat(np.arange(len(counts)), counts)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    name = mix(least[place + texts.starts[owner]] ^ np.uint64(WIDTH))  # least hashes are small: spread them again
-    if not len(owner):
-        return empty, empty, empty, name
-    new = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])]))
-    return owner[new], place[new], np.diff(np.append(new, len(owner))), name[new]
+    edge = np.ones(len(least) + 1, bool)
+    np.not_equal(least[1:], least[:-1], out=edge[1:-1])
+    whose = np.flatnonzero(texts.ends - texts.starts >= WIDTH)
+    begun, closed = texts.starts[whose], texts.ends[whose] - WIDTH + 1
+    edge[begun] = edge[closed] = True
+    at = np.flatnonzero(edge)
+    first = np.searchsorted(at, begun)
+    counts = np.searchsorted(at, closed) - first  # what follows crosses the end of the text
+    owner = np.repeat(whose, counts)
+    taken = np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(len(owner))
+    start = at[taken]
+    name = mix(least[start] ^ np.uint64(WIDTH))  # least hashes are small: spread them again
+    return owner, start - texts.starts[owner], at[taken + 1] - start, name
 
 
 def distinct_names(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     owner, _, _, name = runs(texts)
-    order = np.lexsort((name, owner))
+    order = np.argsort(name, kind="stable")  # runs are in the order of their texts
     owner, name = owner[order], name[order]
     if len(owner):
         kept = np.concatenate([[True], (owner[1:] != owner[:-1]) | (name[1:] != name[:-1])])
@@ -70,7 +82,7 @@ def shared_names(batch: Answers) -> pa.Table:
     order = np.argsort(batch.owners, kind="stable")
     counts = np.bincount(batch.owners, minlength=len(batch.ids))
     some = np.flatnonzero(counts)
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts[some])]), pa.int32()), pa.array(batch.keys[order].astype(np.int64)))
+    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts[some])]), pa.int32()), pa.array(batch.keys[order].astype(np.uint32).view(np.int32)))
     return pa.table({"doc_id": batch.ids[some], "text_hash": batch.hashes[some], "names": lists})
 
 
@@ -78,44 +90,63 @@ def pieces_sent(docs: DataFrame, buckets: int) -> DataFrame:
     """Messages of all batches of ``docs`` (doc_key, text_hash, text, names): per bucket its pieces, and where they stood."""
 
     def run(batches):
-        made = 0
+        made, held, size, docs, most = 0, [], 0, 0, 0
+
+        def batch() -> pa.RecordBatch:
+            number = made | TaskContext.get().partitionId() << 32
+            return messages(piece_messages(*(np.concatenate(x) for x in zip(*held, strict=True)), number, buckets))
+
         for b in batches:
-            for at, column in slices(b.column(2)):
+            for at, column in slices(b.column(2), SLICE_BYTES):
                 ids, hashes, names = (b.column(k).slice(at, len(column)) for k in (0, 1, 3))
-                yield messages(piece_messages(ids.to_numpy(), hashes.to_numpy(), names, Texts(column), made | TaskContext.get().partitionId() << 32, buckets))
-                made += 1
+                texts = Texts(column)
+                owner, start, windows, to, name = pieces(texts, names.flatten().to_numpy(), buckets)
+                held.append((ids.to_numpy().copy(), hashes.to_numpy().copy(), texts.bytes.copy(), owner + docs, size + texts.starts[owner] + start, start, windows, to, name))
+                size, docs, most = size + len(texts.bytes), docs + len(ids), most + int(windows.sum()) + (WIDTH - 1) * len(windows)
+                if max(size, most) >= BATCH_BYTES:
+                    yield batch()
+                    made, held, size, docs, most = made + 1, [], 0, 0, 0
+        if held:
+            yield batch()
 
     return docs.select("doc_key", "text_hash", "text", "names").mapInArrow(run, MESSAGE)
 
 
-def piece_messages(ids, hashes, names: pa.ListArray, texts: Texts, batch: int, buckets: int) -> list[tuple]:
+def pieces(texts: Texts, names: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
+    """(text number, start, windows, bucket, name) of the runs with one of ``names``, cut into pieces.
+
+    A name that one text here shares with others is shared wherever it stands, so the texts' names are one list.
+    """
     owner, start, windows, name = runs(texts)
     to = ((name >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
     name = (to << np.uint64(40) | name & LOW).astype(np.int64)
-    first = np.searchsorted(owner, np.arange(len(ids) + 1))
-    taken = np.zeros(len(owner), bool)
-    for i in range(len(ids)):
-        taken[first[i] : first[i + 1]] = np.isin(name[first[i] : first[i + 1]], names[i].values.to_numpy())
+    names, pick = np.sort(names.view(np.uint32)), (name & PICK).astype(np.uint32)
+    taken = names[np.minimum(np.searchsorted(names, pick), len(names) - 1)] == pick if len(names) else np.zeros(len(name), bool)
     owner, start, windows, to, name = owner[taken], start[taken], windows[taken], to[taken].astype(np.int64), name[taken]
     many = -(-windows // MOST_WINDOWS)  # text of a short period has one name for long
     part = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     owner, start, windows, to, name = (np.repeat(x, many) for x in (owner, start, windows, to, name))
-    start, windows = start + part * MOST_WINDOWS, np.minimum(windows - part * MOST_WINDOWS, MOST_WINDOWS)
+    return owner, start + part * MOST_WINDOWS, np.minimum(windows - part * MOST_WINDOWS, MOST_WINDOWS), to, name
+
+
+def piece_messages(ids, hashes, data, owner, begun, start, windows, to, name, batch: int, buckets: int) -> list[tuple]:
     order = np.argsort(to, kind="stable")
-    owner, start, windows, to, name = (x[order] for x in (owner, start, windows, to, name))
+    owner, begun, start, windows, to, name = (x[order] for x in (owner, begun, start, windows, to, name))
     edges = np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1], [True]])) if len(to) else np.zeros(1, np.int64)
-    own = parts(ids.astype(np.int64), hashes.astype(np.int64), to[edges[:-1]].astype(np.int32), np.diff(edges).astype(np.int32),
-                owner.astype(np.int32), start.astype(np.int32), windows.astype(np.uint8))
-    rows = [(batch % buckets, batch, "docs", own)]
-    lengths = windows + WIDTH - 1
-    begun = start + texts.starts[owner]
-    for a, z in zip(edges[:-1], edges[1:], strict=True):
-        ends = np.cumsum(lengths[a:z])
-        places = np.repeat(begun[a:z] - ends + lengths[a:z], lengths[a:z]) + np.arange(ends[-1])
-        rows.append((int(to[a]), batch, "keys", parts(ids[owner[a:z]].astype(np.int64), windows[a:z].astype(np.uint8), low_bytes(name[a:z]), texts.bytes[places])))
+    own = parts(ids, hashes, to[edges[:-1]].astype(np.int32), np.diff(edges).astype(np.int32), owner.astype(np.int32), start.astype(np.int32), windows.astype(np.uint8))
+    rows = [(home(batch, buckets), batch, "docs", own)]
+    for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        kept = data[places(begun[a:z], windows[a:z] + WIDTH - 1)]
+        rows.append((int(to[a]), batch, "keys", parts(ids[owner[a:z]], windows[a:z].astype(np.uint8), low_bytes(name[a:z], NAME_BYTES), kept)))
     return rows
 
 
+def places(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places from each start on, one stretch after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)
+
+
 def later(docs: np.ndarray, windows: np.ndarray, names: np.ndarray, data: np.ndarray) -> np.ndarray:
     """For every window of every piece, whether a document with a smaller id has its string.
 
@@ -142,6 +173,24 @@ def later(docs: np.ndarray, windows: np.ndarray, names: np.ndarray, data: np.nda
     return by_window[here] < np.repeat(docs, counts)
 
 
+def shares_later(docs: np.ndarray, windows: np.ndarray, names: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """``later`` of a bucket's pieces, in shares of their names: a transform is one of few bytes, whatever the bucket's size."""
+    shares = -(-len(data) // SHARE_BYTES)
+    if shares < 2:
+        return later(docs, windows, names, data)
+    share = (names * np.uint64(shares)) >> np.uint64(8 * NAME_BYTES)
+    order = np.argsort(share, kind="stable")
+    counts, lengths = windows.astype(np.int64), windows.astype(np.int64) + WIDTH - 1
+    first, begun = np.cumsum(counts) - counts, np.cumsum(lengths) - lengths
+    out = np.empty(counts.sum(), bool)
+    edges = np.searchsorted(share[order], np.arange(shares + 1, dtype=np.uint64))
+    for a, z in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        own = order[a:z]
+        if len(own):
+            out[places(first[own], counts[own])] = later(docs[own], windows[own], names[own], data[places(begun[own], lengths[own])])
+    return out
+
+
 def judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """The answers of one bucket: for each batch a bit per window of its pieces."""
     rows, asked = [], []
@@ -150,9 +199,9 @@ def judged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
             rows.append((0, batch, about, payload))
         else:
             ids, windows, names, data = unpacked(payload, "i8", "u1", "u1", "u1")
-            asked.append((batch, ids, windows, from_low_bytes(names), data))
+            asked.append((batch, ids, windows, from_low_bytes(names, NAME_BYTES), data))
     if asked:
-        found = later(*(np.concatenate([x[k] for x in asked]) for k in (1, 2, 3, 4)))
+        found = shares_later(*(np.concatenate([x[k] for x in asked]) for k in (1, 2, 3, 4)))
         at = 0
         for batch, _, windows, _, _ in asked:
             n = int(windows.sum(dtype=np.int64))
@@ -177,27 +226,35 @@ def spans(table: pa.Table) -> pa.Table:
     edges = np.concatenate([[0], np.cumsum(pieces)])
     lost = [bits[b][: counts[a:z].sum()] for b, a, z in zip(to.tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
     lost = np.concatenate(lost).astype(bool) if lost else np.empty(0, bool)
-    place = np.repeat(start.astype(np.int64) - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-    owner, place = np.repeat(owner, counts)[lost], place[lost]
-    order = np.lexsort((place, owner))
-    owner, place = owner[order], place[order]
+    # runs of lost windows of a piece, then in the order of the texts
+    first, last = np.cumsum(counts) - counts, np.cumsum(counts) - 1
+    opens, closes = lost.copy(), lost.copy()
+    opens[1:] &= ~lost[:-1]
+    closes[:-1] &= ~lost[1:]
+    opens[first], closes[last] = lost[first], lost[last]
+    opens, closes = np.flatnonzero(opens), np.flatnonzero(closes)
+    piece = np.searchsorted(first, opens, "right") - 1
+    owner, shift = owner[piece].astype(np.int64), start[piece] - first[piece]
+    opens, closes = opens + shift, closes + shift + WIDTH
+    order = np.argsort(owner << 32 | opens)
+    owner, opens, closes = owner[order], opens[order], closes[order]
     if not len(owner):
         return pa.table({"doc_key": pa.array([], pa.int64()), "text_hash": pa.array([], pa.int64()), "starts": pa.array([], pa.list_(pa.int64())), "ends": pa.array([], pa.list_(pa.int64()))})
-    apart = (owner[1:] != owner[:-1]) | (place[1:] > place[:-1] + WIDTH)
+    apart = (owner[1:] != owner[:-1]) | (opens[1:] > closes[:-1])
     first, last = np.concatenate([[True], apart]), np.concatenate([apart, [True]])
     per_doc = np.bincount(owner[first], minlength=len(ids))
     some = np.flatnonzero(per_doc)
     offsets = pa.array(np.concatenate([[0], np.cumsum(per_doc[some])]), pa.int32())
     return pa.table({
-        "doc_key": ids[some], "text_hash": hashes[some], "starts": pa.ListArray.from_arrays(offsets, pa.array(place[first])),
-        "ends": pa.ListArray.from_arrays(offsets, pa.array(place[last] + WIDTH))})
+        "doc_key": ids[some], "text_hash": hashes[some], "starts": pa.ListArray.from_arrays(offsets, pa.array(opens[first])),
+        "ends": pa.ListArray.from_arrays(offsets, pa.array(closes[last]))})
 
 
 def found(rows: DataFrame) -> DataFrame:
     """(doc_key, text_hash, starts, ends): the byte spans that rows (doc_key, text_hash, text) lose, if any."""
     known = rows.filter(F.col("doc_key") != NO_ID).withColumnRenamed("doc_key", "doc_id")
-    buckets = bucket_count(known, "text")
-    names = shared_keys(known, distinct_names, shared_names, "doc_id long, text_hash long, names array<long>")
+    buckets = bucket_count(known, "text", BUCKET_BYTES, LEAST_BUCKETS)
+    names = shared_keys(known, distinct_names, shared_names, "doc_id long, text_hash long, names array<int>", buckets, batch_bytes=BATCH_BYTES, slice_bytes=SLICE_BYTES)
     names = stage(names.dropDuplicates(["doc_id", "text_hash"]).withColumnRenamed("doc_id", "doc_key"), "shared-names")
     asked = pieces_sent(rows.join(names, ["doc_key", "text_hash"]), buckets)
     answers = asked.groupBy("bucket").applyInArrow(judged, MESSAGE)

@@ -96,6 +96,82 @@ def test_repeated_bytes(docs, nothing, corpus):
     assert repeats.remove(nothing).count() == 0
 
 
+def test_repeated_bytes_messages(spark, monkeypatch):
+    """Some megabytes of a task's text are one batch, which sends a bucket one message."""
+    from featurelake.llm import postings
+
+    rng = random.Random(10)
+    texts = [" ".join(words(rng, 10_000)) for _ in range(40)]
+    texts += [t[len(t) // 2 :] + texts[i - 1][: len(t) // 2] for i, t in enumerate(texts[:10])]
+    assert 2_500_000 < sum(len(t.encode()) for t in texts) < 5_000_000
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    known = postings.keyed(rows, "doc_id", "text")
+    asked, sent = [], postings.sent
+    monkeypatch.setattr(postings, "sent", lambda *a, **b: asked.append(sent(*a, **b)) or asked[-1])
+    found = repeats.found(known.withColumnRenamed("doc_id", "doc_key"))
+    assert asked[0].select("batch").distinct().count() == 1
+    names = postings.shared_keys(known, repeats.distinct_names, repeats.shared_names, "doc_id long, text_hash long, names array<int>")
+    both = known.join(names, ["doc_id", "text_hash"]).withColumnRenamed("doc_id", "doc_key").coalesce(1)
+    assert repeats.pieces_sent(both, postings.LEAST_BUCKETS).count() <= postings.LEAST_BUCKETS + 1
+    data = [t.encode() for t in texts]
+    least = {}
+    for i, t in enumerate(data):
+        for k in range(len(t) - 49):
+            least.setdefault(hash(t[k : k + 50]), i)
+    lost = {}
+    for i, t in enumerate(data):
+        for k in range(len(t) - 49):
+            if least[hash(t[k : k + 50])] < i:
+                if i in lost and lost[i][-1][1] >= k:
+                    lost[i][-1][1] = k + 50
+                else:
+                    lost.setdefault(i, []).append([k, k + 50])
+    assert len(lost) >= 10
+    assert {r.doc_key: list(map(list, zip(r.starts, r.ends, strict=True))) for r in found.collect()} == lost
+
+
+def test_batches_spread():
+    """What batches keep to themselves passes through many buckets, whatever the number of buckets."""
+    from featurelake.llm import postings
+
+    empty = [[]] * 6
+    import numpy as np
+
+    for buckets in (256, 1000, 1024):
+        seen = [postings.batch_messages(*(np.array(x, np.uint64) for x in empty), made | task << 32, buckets)[0][0] for task in range(200) for made in range(4)]
+        assert max(map(seen.count, seen)) <= 12 and max(seen) < buckets
+
+
+def test_repeated_bytes_shares(monkeypatch):
+    """A bucket's pieces in shares of a few bytes, against brute force and against one share."""
+    import numpy as np
+
+    rng = random.Random(11)
+    seeds = [bytes(rng.choice(b"abc") for _ in range(50)) for _ in range(12)]
+    strings, names, ids = [], [], []
+    for _ in range(400):
+        k = rng.randrange(12)
+        strings.append(bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 3))) + seeds[k] + bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 3))))
+        names.append((k << 20) + k)  # of 24 bits
+        ids.append(rng.randrange(100))
+    args = np.array(ids), np.array([len(s) - 49 for s in strings], np.uint8), np.array(names, np.uint64), np.frombuffer(b"".join(strings), np.uint8)
+    least = {}
+    for i, name, s in zip(ids, names, strings, strict=True):
+        for k in range(len(s) - 49):
+            key = name, s[k : k + 50]
+            least[key] = min(i, least.get(key, i))
+    wanted = [least[name, s[k : k + 50]] < i for i, name, s in zip(ids, names, strings, strict=True) for k in range(len(s) - 49)]
+    for size in (1 << 20, 5_000, 300):
+        monkeypatch.setattr(repeats, "SHARE_BYTES", size)
+        assert repeats.shares_later(*args).tolist() == wanted
+
+
+@pytest.mark.parametrize("width", [1, 3, 6])
+def test_common_windows_of_wide_words(width, monkeypatch):
+    monkeypatch.setattr(bwt, "NARROW", 0)
+    test_common_windows(width)
+
+
 @pytest.mark.parametrize("width", [1, 3, 6])
 def test_common_windows(width):
     import numpy as np
